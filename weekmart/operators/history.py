@@ -13,16 +13,9 @@ from weekmart.operators.series import last_weeks
 
 
 def replace_weeks(
-    base: DataFrame, new: DataFrame, columns: Sequence[str] | None = None,
-    week: str = WEEK, last: int | None = None,
+    base: DataFrame, new: DataFrame, columns: Sequence[str] | None = None, week: str = WEEK,
 ) -> DataFrame:
-    """New data wins by week: base rows of weeks not in ``new``, plus all of ``new``.
-
-    ``last`` limits the replaced weeks to the latest ones of the new data; only those new weeks are
-    then taken over too, so that no week is present twice.
-    """
-    if last is not None:
-        new = last_weeks(new, last, week)
+    """New data wins by week: base rows of weeks not in ``new``, plus all of ``new``."""
     kept = base.join(new.select(week).distinct(), week, "left_anti")
     columns = list(columns or base.columns)
     return kept.select(*columns).unionByName(new.select(*columns))
@@ -33,7 +26,8 @@ def replace_recent_weeks(
 ) -> DataFrame:
     """The older rule: only the latest weeks are replaced, yet all new rows are appended.
 
-    Weeks older than ``last`` weeks of the delivery appear twice if base already had them.
+    Weeks of the delivery older than its ``last`` latest appear twice if base already had them;
+    ``replace_weeks`` is the corrected rule.
     """
     recent = last_weeks(new, last, week).select(week).distinct()
     columns = list(columns or base.columns)

@@ -54,19 +54,22 @@ def last_mapping(mapping: DataFrame, key: str, value: str, order: str) -> DataFr
 
 def map_left(
     df: DataFrame, mapping: DataFrame, keys: Mapping[str, str], values: Sequence[str],
-    normalize: Callable[[Column], Column] = as_is, dedupe: bool = True,
+    normalize: Callable[[Column], Column] | Mapping[str, Callable[[Column], Column]] = as_is,
+    dedupe: bool = True,
 ) -> DataFrame:
     """Left join on normalized keys ``{fact column: mapping column}``, adding ``values``.
 
-    A null key matches a null key in the mapping, as the reports have always treated blanks.
+    ``normalize`` is one function for all keys or one per fact column. A null key matches a null
+    key in the mapping, as the reports have always treated blanks.
     """
+    rule = {c: normalize if callable(normalize) else normalize.get(c, as_is) for c in keys}
     side = mapping.select(
-        *[normalize(F.col(m)).alias(f"_k{i}") for i, m in enumerate(keys.values())], *values)
+        *[rule[c](F.col(m)).alias(f"_k{i}") for i, (c, m) in enumerate(keys.items())], *values)
     if dedupe:
         side = side.distinct()
     condition = F.lit(True)
     for i, column in enumerate(keys):
-        condition = condition & normalize(df[column]).eqNullSafe(side[f"_k{i}"])
+        condition = condition & rule[column](df[column]).eqNullSafe(side[f"_k{i}"])
     return df.join(side, condition, "left").drop(*[f"_k{i}" for i in range(len(keys))])
 
 
