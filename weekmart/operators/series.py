@@ -4,7 +4,8 @@ The raw fact is aggregated to (segment, week) first. From then on a segment owns
 per week, so hashing by the segment columns gives partitions of bounded size whatever the skew of
 the raw keys was. Gaps are filled by stepping from one row to the next inside a segment, and last
 year / baseline values are carried forward by a small week lookup, so there is neither a product of
-two tables nor a self-join, and every step after the aggregation shares one shuffle.
+two tables nor a self-join, and every step after the aggregation shares one shuffle. The aggregate
+is checkpointed where several branches of a plan start from it, so the raw fact is read once.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekmart.operators.calendar import WEEK
+from weekmart.session import materialize
 
 LARGEST_WEEK_KEY = 999_999  # a week key is YYYYWW, so a table of distinct weeks has a known bound
 LOOKUPS: Mapping[str, str] = {"lbs_ly": "yoy_week", "lbs_baseline": "baseline_week"}
@@ -75,8 +77,8 @@ def densify(df: DataFrame, dims: Sequence[str], week: str = WEEK, value: str = "
     """
     if "city" in df.columns:
         df = df.withColumn("city", F.coalesce("city", F.lit("NA")))
-    series = sum_to_grain(df, dims, week, value)
-    weeks = present_weeks(df, week)
+    series = materialize(sum_to_grain(df, dims, week, value))
+    weeks = present_weeks(series, week)
     placed = (
         series.filter(complete_segment(dims)).repartition(*dims)
         .join(F.broadcast(weeks), week)
@@ -131,8 +133,8 @@ def add_prior_periods(
     lookups: Mapping[str, str] = LOOKUPS, week: str = WEEK, value: str = "lbs",
 ) -> DataFrame:
     """Sum to grain, then add the value of each row's last-year and baseline week (null if absent)."""
-    series = sum_to_grain(df, dims, week, value)
-    weeks = present_weeks(df, week)
+    series = materialize(sum_to_grain(df, dims, week, value))
+    weeks = present_weeks(series, week)
     lookup = period_lookup(weeks, calendar, lookups, week)
     carried = carry_periods(series.repartition(*dims), dims, lookup, lookups, week, value)
     return (

@@ -46,6 +46,7 @@ def without_totals(df: DataFrame, column: str = "branch", label: str = "Total")
 def read_regional(spark: SparkSession, path, schema: StructType) -> DataFrame:
     """Regional report: blank text means null, subtotal rows dropped, pounds with thousands commas."""
     raw = without_totals(snake_headers(read_delimited(spark, path, schema, null_value=" ")))
+    raw = raw.withColumns({c: F.nullif(F.col(c), F.lit("")) for c in raw.columns})
     return raw.withColumn("lbs", to_number(F.col("lbs")))
 
 
