@@ -52,14 +52,27 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
         "ship_date": F.col("l_shipdate").cast("date"), "order_date": F.col("o_orderdate").cast("date")})
 
 
+def described_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines with part, order, customer and nation.
+
+    Customers are joined to orders before the orders meet their lines: that join then moves one row
+    per order, not one per line.
+    """
+    items, orders, customer, nation, part = (
+        table(spark, sf, t) for t in ("lineitem", "orders", "customer", "nation", "part"))
+    buyers = orders.join(
+        customer.join(nation, customer.c_nationkey == nation.n_nationkey), orders.o_custkey == customer.c_custkey)
+    return (
+        items.join(part, items.l_partkey == part.p_partkey)
+        .join(buyers, items.l_orderkey == F.col("o_orderkey"))
+        .withColumns({"ship_date": F.col("l_shipdate").cast("date"), "order_date": F.col("o_orderdate").cast("date")})
+    )
+
+
 def sellout(spark: SparkSession, sf: str) -> DataFrame:
     """Order lines as a conformed weekly sell-out fact; one market segment has lost its label."""
-    customer, nation, part = (table(spark, sf, t) for t in ("customer", "nation", "part"))
     return (
-        lines(spark, sf)
-        .join(customer, F.col("o_custkey") == customer.c_custkey)
-        .join(nation, customer.c_nationkey == nation.n_nationkey)
-        .join(part, F.col("l_partkey") == part.p_partkey)
+        described_lines(spark, sf)
         .select(
             d.iso_week_key(F.col("ship_date")).alias(WEEK), "ship_date", "order_date",
             F.col("n_name").alias("state"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weekmart.catalog.base import calendar, iso, lines, query, sellout, table, with_ctes
+from weekmart.catalog.base import calendar, described_lines, iso, lines, query, sellout, table, with_ctes
 from weekmart.functions import clean as c
 from weekmart.functions import dates as d
 from weekmart.operators import calendar as cal
@@ -35,19 +35,12 @@ def raw_lines(spark, sf):
 
     One market segment is missing; ``state`` is a code by nation number, one of them unknown.
     """
-    customer, part = table(spark, sf, "customer"), table(spark, sf, "part")
-    nation = table(spark, sf, "nation")
     codes = F.array(*[F.lit(x) for x in CODES])
     code = F.get(codes, F.col("c_nationkey") * 2)
-    return (
-        lines(spark, sf).join(customer, F.col("o_custkey") == customer.c_custkey)
-        .join(nation, customer.c_nationkey == nation.n_nationkey)
-        .join(part, F.col("l_partkey") == part.p_partkey)
-        .withColumns({
-            "market_segment": F.nullif("c_mktsegment", F.lit("BUILDING")),
-            "state": F.when(F.col("c_nationkey") == 3, "XX").when(F.col("c_nationkey") == 4, "tn").otherwise(code),
-        })
-    )
+    return described_lines(spark, sf).withColumns({
+        "market_segment": F.nullif("c_mktsegment", F.lit("BUILDING")),
+        "state": F.when(F.col("c_nationkey") == 3, "XX").when(F.col("c_nationkey") == 4, "tn").otherwise(code),
+    })
 
 
 RAW = f"""

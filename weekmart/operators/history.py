@@ -9,14 +9,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekmart.operators.calendar import WEEK
-from weekmart.operators.series import last_weeks
+from weekmart.operators.series import latest_weeks
+from weekmart.session import checked_broadcast
 
 
 def replace_weeks(
     base: DataFrame, new: DataFrame, columns: Sequence[str] | None = None, week: str = WEEK,
 ) -> DataFrame:
     """New data wins by week: base rows of weeks not in ``new``, plus all of ``new``."""
-    kept = base.join(new.select(week).distinct(), week, "left_anti")
+    kept = base.join(checked_broadcast(new.select(week).distinct()), week, "left_anti")
     columns = list(columns or base.columns)
     return kept.select(*columns).unionByName(new.select(*columns))
 
@@ -29,22 +30,23 @@ def replace_recent_weeks(
     Weeks of the delivery older than its ``last`` latest appear twice if base already had them;
     ``replace_weeks`` is the corrected rule.
     """
-    recent = last_weeks(new, last, week).select(week).distinct()
+    recent = F.broadcast(latest_weeks(new, last, week))
     columns = list(columns or base.columns)
     return base.join(recent, week, "left_anti").select(*columns).unionByName(new.select(*columns))
 
 
 def _winning_file(df: DataFrame, week: str, order: str, latest: bool) -> DataFrame:
     pick = F.max if latest else F.min
-    winners = df.groupBy(week).agg(pick(order).alias(order))
-    condition = [df[week].eqNullSafe(winners[week]), df[order] == winners[order]]
-    return df.join(winners, reduce(lambda a, b: a & b, condition), "left_semi")
+    winners = checked_broadcast(df.groupBy(F.col(week).alias("_week")).agg(pick(order).alias("_order")))
+    wins = F.col(week).eqNullSafe(F.col("_week")) & (F.col(order) == F.col("_order"))
+    return df.join(winners, wins, "left_semi")
 
 
 def latest_file_wins(df: DataFrame, week: str = WEEK, order: str = "file_order") -> DataFrame:
     """Keep, per week, the rows of the last file that delivered it.
 
-    The winner per week comes from a small aggregate; the rows are never gathered by week.
+    The winner per week comes from an aggregate that is broadcast, so the rows are neither shuffled
+    nor gathered by week.
     """
     return _winning_file(df, week, order, latest=True)
 
@@ -77,7 +79,7 @@ def side_by_side(left: DataFrame, right: DataFrame, order_left: str, order_right
 
 def missing_weeks(target: DataFrame, new: DataFrame, week: str = WEEK) -> DataFrame:
     """Rows of ``new`` whose week the target does not have."""
-    return new.join(target.select(week).distinct(), week, "left_anti")
+    return new.join(checked_broadcast(target.select(week).distinct()), week, "left_anti")
 
 
 def next_missing_weeks(target: DataFrame, new: DataFrame, limit: int = 10, week: str = WEEK) -> DataFrame:

@@ -1,8 +1,9 @@
 """Joins that conform raw labels to shared dimensions.
 
-No join here forces a broadcast: mapping tables come from the caller, and Spark broadcasts a side
-when its measured size is under ``spark.sql.autoBroadcastJoinThreshold``; beyond that it sorts and
-merges, and adaptive execution splits hot keys.
+Mapping tables come from the caller, so their joins carry no hint: Spark broadcasts a side when its
+measured size is under ``spark.sql.autoBroadcastJoinThreshold``; beyond that it sorts and merges, and
+adaptive execution splits hot keys. Key listings are counted before they are broadcast. Only the
+state table, whose 56 rows are fixed here, is broadcast as it is.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weekmart.session import checked_broadcast
+
 # fixed values: US state and territory names by abbreviation
 STATE_NAMES: Mapping[str, str] = {
     "AL": "Alabama", "AK": "Alaska", "AS": "American Samoa", "AZ": "Arizona", "AR": "Arkansas",
@@ -75,14 +78,15 @@ def map_left(
 
 def states(spark: SparkSession) -> DataFrame:
     """State dimension: abbreviation and name."""
-    return spark.createDataFrame(list(STATE_NAMES.items()), "state string, state_name string")
+    rows = [F.struct(F.lit(code).alias("state"), F.lit(name).alias("state_name")) for code, name in STATE_NAMES.items()]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def attach_state(df: DataFrame, unmatched: str | None = NO_STATE, repairs: Mapping[str, str] | None = None) -> DataFrame:
     """State name by abbreviation. Unmatched rows get ``unmatched`` in both columns, if given."""
     if repairs:
         df = df.replace(dict(repairs), subset=["state"])
-    df = df.join(states(df.sparkSession), "state", "left")
+    df = df.join(F.broadcast(states(df.sparkSession)), "state", "left")
     if unmatched is None:
         return df
     unknown = F.col("state_name").isNull()
@@ -95,7 +99,7 @@ def attach_state(df: DataFrame, unmatched: str | None = NO_STATE, repairs: Mappi
 def state_code(df: DataFrame, name: str = "state_name", code: str = "state_code") -> DataFrame:
     """State abbreviation by name; null if unknown."""
     side = states(df.sparkSession).select(F.col("state_name").alias(name), F.col("state").alias(code))
-    return df.join(side, name, "left")
+    return df.join(F.broadcast(side), name, "left")
 
 
 def attach_province(
@@ -117,12 +121,12 @@ def attach_market(df: DataFrame, markets: DataFrame, clean: bool = True) -> Data
 
 def keep_listed(df: DataFrame, listing: DataFrame, column: str) -> DataFrame:
     """Rows whose value is in the listing (semi join; null never is)."""
-    return df.join(listing.select(column), column, "left_semi")
+    return df.join(checked_broadcast(listing.select(column).distinct()), column, "left_semi")
 
 
 def drop_listed(df: DataFrame, listing: DataFrame, column: str) -> DataFrame:
     """Rows whose value is not in the listing; rows with a null value stay."""
-    return df.join(listing.select(column), column, "left_anti")
+    return df.join(checked_broadcast(listing.select(column).distinct()), column, "left_anti")
 
 
 def excluded_counts(df: DataFrame, listing: DataFrame, column: str) -> DataFrame:

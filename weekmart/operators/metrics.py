@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekmart.operators.history import side_by_side
+from weekmart.session import checked_broadcast
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], value: str, keep_null: bool = True, name: str | None = None) -> DataFrame:
@@ -101,7 +102,7 @@ def season_change(
 def keep_large(df: DataFrame, key: str, value: str, threshold: float) -> DataFrame:
     """Rows of the keys whose total exceeds the threshold."""
     large = df.groupBy(key).agg(F.sum(value).alias("_total")).filter(F.col("_total") > threshold)
-    return df.join(large.select(key), key, "left_semi")
+    return df.join(checked_broadcast(large.select(key)), key, "left_semi")
 
 
 def week_year_matrix(df: DataFrame, week: str, year: str, value: str, years: Sequence[int]) -> DataFrame:

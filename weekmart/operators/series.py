@@ -227,7 +227,11 @@ def add_share(df: DataFrame, over: Sequence[str], value: str = "lbs", name: str
     return df.join(totals, list(over), "left").withColumn(name, F.try_divide(value, "_total")).drop("_total")
 
 
+def latest_weeks(df: DataFrame, n: int, week: str = WEEK) -> DataFrame:
+    """The ``n`` latest distinct weeks, one row each."""
+    return df.select(week).filter(F.col(week).isNotNull()).distinct().orderBy(F.desc(week)).limit(n)
+
+
 def last_weeks(df: DataFrame, n: int, week: str = WEEK) -> DataFrame:
-    """Rows of the ``n`` latest distinct weeks."""
-    recent = df.select(week).filter(F.col(week).isNotNull()).distinct().orderBy(F.desc(week)).limit(n)
-    return df.join(F.broadcast(recent), week, "left_semi")
+    """Rows of the ``n`` latest distinct weeks; the ``n`` keys are broadcast."""
+    return df.join(F.broadcast(latest_weeks(df, n, week)), week, "left_semi")

@@ -6,7 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+BROADCAST_ROWS = 300_000
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -21,6 +23,7 @@ def local_session(cores: str = "8", app: str = "weekmart", memory: str = "8g") -
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -60,3 +63,13 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def checked_broadcast(keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A narrow key table, broadcast if it has at most ``limit`` rows.
+
+    The keys are checkpointed and counted, so the decision rests on their real number. A longer
+    table is returned without a hint: Spark then shuffles both sides and splits hot keys.
+    """
+    rows = materialize(keys)
+    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows

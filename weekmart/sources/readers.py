@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,8 @@ from pyspark.sql.types import StructType
 
 from weekmart.functions.clean import to_number
 from weekmart.operators.history import stack
-from weekmart.sources.schemas import snake
+from weekmart.session import BROADCAST_ROWS
+from weekmart.sources.schemas import snake, text
 
 DAY = r"(\d{4}-\d{2}-\d{2})"
 DAY_MONTH_YEAR = r"(\d{2} (?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) \d{4})"
@@ -101,18 +104,43 @@ def with_file_date(df: DataFrame, name: str, pattern: str = DAY, fmt: str = "yyy
     return df.withColumn(name, date_in(file_path(), pattern, fmt))
 
 
+def file_headers(spark: SparkSession, path: str | Sequence[str], name_glob: str | None = None) -> dict[str, list[str]]:
+    """Header line of every file below a path.
+
+    The listing reads no content, and a header read stops at the first line, so this touches a few
+    bytes per file; the reads run side by side.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
+    listing = reader.load(path if isinstance(path, str) else list(path)).select("path")
+    paths = sorted(row.path for row in listing.toLocalIterator())
+    with ThreadPoolExecutor(8) as pool:
+        headers = pool.map(lambda p: spark.read.option("header", "true").csv(p).columns, paths)
+        return dict(zip(paths, headers))
+
+
 def read_shared(spark: SparkSession, path, schema: StructType, day: str = "week_beginning_date") -> DataFrame:
     """Deliveries whose last header holds the week date, e.g. ``2024-03-24 11``.
 
-    All files are read in one plan as positional text. Their header lines, one per file, give the
-    date; that table is as long as the file listing the driver already holds, so it is broadcast.
+    All files are read in one pass as positional text. The date of each file comes from its header;
+    that table has one row per file of the listing and is broadcast while the listing is short.
     """
-    fields = schema.fieldNames()
-    raw = read_delimited(spark, path, schema, header=False).withColumn("_file", F.col("_metadata.file_path"))
-    is_header = F.col(f"`{fields[0]}`").eqNullSafe(F.lit(fields[0]))
-    headers = raw.filter(is_header).select("_file", date_in(F.col(f"`{fields[-1]}`")).alias(day)).dropDuplicates(["_file"])
-    rows = raw.filter(~is_header).join(F.broadcast(headers), "_file").drop("_file")
-    return snake_headers(rows)
+    first = schema.fieldNames()[0]
+    headers = file_headers(spark, path)
+    dates = [(file, re.search(DAY, columns[-1]).group(1)) for file, columns in headers.items()]
+    by_file = spark.createDataFrame(dates, "_file string, _day string")
+    by_file = by_file.select(plain_path(F.col("_file")).alias("_file"), F.col("_day").cast("date").alias(day))
+    if len(dates) <= BROADCAST_ROWS:
+        by_file = F.broadcast(by_file)
+    raw = read_delimited(spark, path, schema, header=False).withColumn("_file", plain_path(F.col("_metadata.file_path")))
+    rows = raw.filter(~F.col(f"`{first}`").eqNullSafe(F.lit(first)))
+    return snake_headers(rows.join(by_file, "_file", "left").drop("_file"))
+
+
+def plain_path(path: Column) -> Column:
+    """Path in one spelling, whether listed or taken from a row's metadata."""
+    return F.replace(F.regexp_replace(path, r"^file:/+", "/"), F.lit("%20"), F.lit(" "))
 
 
 def read_matching(spark: SparkSession, folder: str, token: str, repairs: Mapping[str, str] | None = None) -> DataFrame:
@@ -120,20 +148,10 @@ def read_matching(spark: SparkSession, folder: str, token: str, repairs: Mapping
 
     Files are grouped by header line, so the plan grows with the number of layouts, not of files.
     """
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", f"*{token}*").option("recursiveFileLookup", "true")
-        .load(folder).select("path").orderBy("path")
-    )
     layouts: dict[tuple[str, ...], list[str]] = {}
-    for row in listing.toLocalIterator():
-        columns = spark.read.option("header", "true").csv(row.path).columns
-        layouts.setdefault(tuple(c.lower() for c in columns), []).append(row.path)
-    frames = []
-    for columns, paths in layouts.items():
-        schema = StructType()
-        for c in columns:
-            schema = schema.add(c, "string")
-        frames.append(read_delimited(spark, paths, schema))
+    for path, columns in file_headers(spark, folder, f"*{token}*").items():
+        layouts.setdefault(tuple(c.lower() for c in columns), []).append(path)
+    frames = [read_delimited(spark, paths, text(*columns)) for columns, paths in layouts.items()]
     out = stack(*frames)
     if repairs and "consolidated category" in out.columns:
         out = out.replace(dict(repairs), subset=["consolidated category"])

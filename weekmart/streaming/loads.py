@@ -1,7 +1,9 @@
 """Incremental loads: new files are picked up as a stream and merged with the batch load modes.
 
-``availableNow`` drains what has arrived and stops, so the job can be scheduled weekly; a batch that
-is repeated after a failure leaves the same table, because both load modes are idempotent.
+``availableNow`` drains all that has arrived as one batch and stops, so the job can be scheduled
+weekly; a batch that is repeated after a failure leaves the same table, because both load modes are
+idempotent. Batches are not cut by file count: a week split over two batches would be appended only
+in part, or replaced by its second half.
 """
 
 from __future__ import annotations
@@ -14,13 +16,8 @@ from pyspark.sql.types import StructType
 from weekmart.sources.sinks import append_missing_weeks, write_partitions
 
 
-def file_stream(
-    spark: SparkSession, folder: str, schema: StructType, fmt: str = "parquet", files_per_batch: int | None = None,
-) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(schema)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(folder)
+def file_stream(spark: SparkSession, folder: str, schema: StructType, fmt: str = "parquet", **options: str) -> DataFrame:
+    return spark.readStream.format(fmt).schema(schema).options(**options).load(folder)
 
 
 def _drain(stream: DataFrame, checkpoint: str, load: Callable[[DataFrame], None]) -> None:
