@@ -8,6 +8,6 @@ __all__ = ["REGISTRY", "load"]
 def load():
     """Import all query modules and return the registry."""
     from weekmart.catalog import (  # noqa: F401
-        analytic, cleaning, dates, history, mappings, marts, metrics, quality, sellin, sinks, sources, streams,
+        analytic, cleaning, dates, history, mappings, marts, metrics, models, quality, sellin, sinks, sources, streams,
     )
     return REGISTRY

@@ -170,6 +170,18 @@ def share_of_week(spark, sf):
     return a.manufacturer_report(sellout(spark, sf), ["brand"], calendar(spark), spec)
 
 
+@query("a19_share_of_total", with_ctes(["sellout"], GRAIN, select="""
+SELECT *, lbs / nullif(sum(lbs) OVER (PARTITION BY calendar_week_year, state), 0) AS wt FROM grain"""))
+def share_of_total(spark, sf):
+    return s.add_share(s.sum_to_grain(sellout(spark, sf), DIMS), [WEEK, "state"])
+
+
+@query("a20_last_weeks", with_ctes(["sellout"], GRAIN, select="""
+SELECT * FROM grain WHERE calendar_week_year IN (SELECT DISTINCT calendar_week_year FROM grain ORDER BY 1 DESC LIMIT 26)"""))
+def last_weeks(spark, sf):
+    return s.last_weeks(s.sum_to_grain(sellout(spark, sf), DIMS), 26)
+
+
 @query("a20_last_26_weeks", analysis_sql(["brand", "category"], """
 SELECT *, 'Returns' AS distributor FROM analyzed WHERE calendar_week_year IN (
   SELECT DISTINCT calendar_week_year FROM analyzed ORDER BY 1 DESC LIMIT 26)"""))

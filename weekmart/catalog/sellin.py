@@ -93,13 +93,8 @@ SELECT week_end AS calendar_week, p_type AS category_desc, sum(l_quantity) AS ac
 WHERE l_returnflag IN ('N') AND l_linestatus IN ('O') AND n_name IN ('NATION_3', 'NATION_7') AND order_date <= {CUTOFF}
 GROUP BY 1, 2"""))
 def sellin_extract(spark, sf):
-    return p.star_extract(
-        cal.complete_weeks(fact(spark, sf), "accounting_date", AS_OF),
-        [Link(product(spark, sf).select("product_id", "category"), ID), Link(days(spark, sf), DAY),
-         Link(customer(spark, sf), CUSTOMER_KEYS)],
-        [F.col("org").isin("N"), F.col("channel").isin("O"), F.col("level1").isin("NATION_3", "NATION_7")],
-        {"calendar_week": F.col("week_end"), "category_desc": F.col("category")},
-        {"actual_volume_lbs": F.col("weight_lbs")})
+    tables = p.SellinTables(fact(spark, sf), product(spark, sf), days(spark, sf), customer(spark, sf))
+    return p.sellin_extract(tables, ["N"], ["O"], ["NATION_3", "NATION_7"], AS_OF)
 
 
 def wide_links(spark, sf):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,15 +63,16 @@ def fill_measures(df: DataFrame, measures: Iterable[str] = MEASURES, fix_defects
 
 def analyze(
     df: DataFrame, dims: Sequence[str], calendar: DataFrame, begin: int = 201910, end: int = 202009,
-    densify: bool = True, fix_defects: bool = False,
-    week_columns: Sequence[str] = SUNDAY_WEEK,
+    densify: bool = True, fix_defects: bool = False, week_columns: Sequence[str] = SUNDAY_WEEK,
+    last_weeks: int | None = None, share: bool = False,
 ) -> DataFrame:
     """Segment-by-week analysis of a weekly fact (``dims``, week key, ``lbs``).
 
     The fact is read once: its (segment, week) sums are checkpointed. They are then hashed by
     segment, and all that follows - carried periods, gap filling, windows - shares that one shuffle.
     With ``densify=False`` only observed rows are analyzed, and segments with a null key keep
-    their rows but get no window measures.
+    their rows but get no window measures. ``last_weeks`` keeps the latest weeks after the windows
+    have seen all of them; ``share`` adds ``wt``, the part of a segment in its week's total.
     """
     dims = list(dims)
     if "city" in dims and densify:
@@ -86,16 +87,25 @@ def analyze(
     rows = s.fill_gaps(carried, dims, values) if densify else carried.filter("_seen").fillna(0.0, subset=values)
 
     attributes = ["yoy_week", "baseline_week", *week_columns, "covid_week"]
-    dated = add_calendar(weeks.select("_pos", WEEK), calendar, attributes)
-    rows = rows.join(F.broadcast(dated), "_pos")
+    dated = add_calendar(weeks, calendar, attributes)
+    if share:
+        week_totals = series.filter(whole).groupBy(WEEK).agg(F.sum("lbs").alias("_total"))
+        dated = dated.join(week_totals, WEEK, "left")
+    rows = rows.drop("_last").join(F.broadcast(dated), "_pos")
 
     measures = s.rolling_columns(dims, "_pos", fix_defects=fix_defects)
     measures["lbs_precovid"] = s.preperiod_column(dims, "_pos", begin, end)
     if not densify:
         measures = {name: F.when(whole, column) for name, column in measures.items()}
     rows = rows.withColumns(measures)
+    if last_weeks is not None:
+        rows = rows.filter(F.col("_pos") > F.col("_last") - last_weeks)
+    weight = []
+    if share:
+        rows = rows.withColumn("wt", F.when(whole, F.try_divide("lbs", "_total")))
+        weight = ["wt"]
     rows = fill_measures(round_measures(rows), fix_defects=fix_defects)
-    return rows.select(*dims, WEEK, *MEASURES, *attributes)
+    return rows.select(*dims, WEEK, *MEASURES, *attributes, *weight)
 
 
 def report_columns(dims: Sequence[str], spec: ReportSpec, available: Sequence[str]) -> list[str]:
@@ -113,21 +123,16 @@ def segment_report(df: DataFrame, dims: Sequence[str], calendar: DataFrame, spec
     Segment labels are merged after the analysis without summing again, so a merged label repeats
     per week, as the reports always had it.
     """
-    out = analyze(df, dims, calendar, spec.begin, spec.end, spec.densify, spec.fix_defects, spec.week_columns)
-    if spec.share:
-        out = s.add_share(out, [WEEK])
+    out = analyze(df, dims, calendar, spec.begin, spec.end, spec.densify, spec.fix_defects, spec.week_columns,
+                  spec.last_weeks, spec.share)
     if spec.segment_column:
         out = relabel(out, spec.segment_column, spec.segment_labels)
-    if spec.last_weeks:
-        out = s.last_weeks(out, spec.last_weeks)
     out = out.withColumn(spec.label_column, F.lit(spec.label))
     return out.select(*report_columns(dims, spec, out.columns))
 
 
 def manufacturer_report(df: DataFrame, dims: Sequence[str], calendar: DataFrame, spec: ReportSpec) -> DataFrame:
     """Manufacturer layout: country label, Monday-Sunday weeks, share of the week for brands."""
-    from dataclasses import replace
-
     return segment_report(df, dims, calendar, replace(
         spec, label_column="country", week_columns=MONDAY_WEEK, segment_column=None))
 

@@ -50,6 +50,33 @@ def star_extract(
         *[F.sum(column).alias(name) for name, column in sums.items()])
 
 
+@dataclass(frozen=True)
+class SellinTables:
+    """The warehouse star: fact, product (product_id, category), calendar days (accounting_date,
+    week_end) and customer (customer_id, channel, org, level1)."""
+
+    fact: DataFrame
+    product: DataFrame
+    days: DataFrame
+    customer: DataFrame
+
+
+def sellin_extract(
+    tables: SellinTables, orgs: Sequence[str], channels: Sequence[str], customers: Sequence[str], as_of,
+) -> DataFrame:
+    """Sell-in pounds by week end and category for one distributor's customers, complete weeks only."""
+    return star_extract(
+        cal.complete_weeks(tables.fact, "accounting_date", as_of),
+        [Link(tables.product.select("product_id", "category"), {"product_id": "product_id"}),
+         Link(tables.days.select("accounting_date", "week_end"), {"accounting_date": "accounting_date"}),
+         Link(tables.customer.select("customer_id", "channel", "org", "level1"),
+              {"customer_id": "customer_id", "channel": "channel", "org": "org"})],
+        [F.col("org").isin(*orgs), F.col("channel").isin(*channels), F.col("level1").isin(*customers)],
+        {"calendar_week": F.col("week_end"), "category_desc": F.col("category")},
+        {"actual_volume_lbs": F.col("weight_lbs")},
+    )
+
+
 def prepare_sellin(
     df: DataFrame, calendar: DataFrame, keep_unmatched: bool = False,
 ) -> DataFrame:

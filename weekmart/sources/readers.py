@@ -15,6 +15,10 @@ from weekmart.operators.history import stack
 from weekmart.session import BROADCAST_ROWS
 from weekmart.sources.schemas import snake, text
 
+# the positions Windows-1252 fills with characters and Latin-1 with control codes
+WINDOWS_BYTES = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+LATIN_CONTROLS = "".join(map(chr, WINDOWS_BYTES))
+WINDOWS_CHARACTERS = bytes(WINDOWS_BYTES).decode("cp1252")
 DAY = r"(\d{4}-\d{2}-\d{2})"
 DAY_MONTH_YEAR = r"(\d{2} (?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) \d{4})"
 
@@ -25,8 +29,11 @@ def read_delimited(
 ) -> DataFrame:
     """Delimited files with a declared schema; gzip is recognized by the file name.
 
-    ``recursive`` walks all folders below the path, ``name_glob`` selects by file name.
+    ``recursive`` walks all folders below the path, ``name_glob`` selects by file name. Spark reads no
+    ``cp1252``; such files are read as Latin-1, and the few characters that differ are translated.
     """
+    windows = encoding.lower() in ("cp1252", "windows-1252")
+    encoding = "ISO-8859-1" if windows else encoding
     options = {"header": str(header).lower(), "sep": sep, "encoding": encoding, "enforceSchema": "true"}
     if null_value is not None:
         options["nullValue"] = null_value
@@ -34,7 +41,11 @@ def read_delimited(
         options["recursiveFileLookup"] = "true"
     if name_glob:
         options["pathGlobFilter"] = name_glob
-    return spark.read.options(**options).schema(schema).csv(path if isinstance(path, str) else list(path))
+    df = spark.read.options(**options).schema(schema).csv(path if isinstance(path, str) else list(path))
+    if windows:
+        texts = [f.name for f in schema if f.dataType.simpleString() == "string"]
+        df = df.withColumns({c: F.translate(F.col(f"`{c}`"), LATIN_CONTROLS, WINDOWS_CHARACTERS) for c in texts})
+    return df
 
 
 def snake_headers(df: DataFrame) -> DataFrame:
