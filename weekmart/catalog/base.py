@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from weekmart.functions import dates as d
 from weekmart.operators.calendar import WEEK, build_calendar
@@ -37,8 +38,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. Its schema is read from the file footer once per process."""
+    path = f"{sf}/{name}.parquet"
+    if path not in SCHEMAS:
+        SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(SCHEMAS[path]).parquet(path)
 
 
 def calendar(spark: SparkSession) -> DataFrame:

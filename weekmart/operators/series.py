@@ -35,7 +35,7 @@ def sum_to_grain(df: DataFrame, dims: Sequence[str], week: str = WEEK, value: st
     return df.groupBy(*dims, week).agg(F.coalesce(F.sum(value), F.lit(0.0)).alias(value))
 
 
-def present_weeks(df: DataFrame, week: str = WEEK) -> DataFrame:
+def distinct_weeks(df: DataFrame, week: str = WEEK) -> DataFrame:
     """Distinct weeks in the data with a dense position ``_pos`` and the largest position ``_last``.
 
     The key range is enforced, so the result is small enough to broadcast whatever the data holds.
@@ -48,6 +48,11 @@ def present_weeks(df: DataFrame, week: str = WEEK) -> DataFrame:
         week, (F.col("_index") + 1).alias("_pos"), "_last")
 
 
+def present_weeks(df: DataFrame, week: str = WEEK) -> DataFrame:
+    """The distinct weeks checkpointed: they are needed both before and after gaps are filled."""
+    return materialize(distinct_weeks(df, week))
+
+
 def fill_gaps(df: DataFrame, dims: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Give every segment a row for each position 1.._last, with zero values where it had none.
 
@@ -90,17 +95,16 @@ def densify(df: DataFrame, dims: Sequence[str], week: str = WEEK, value: str = "
     )
 
 
-def period_lookup(weeks: DataFrame, calendar: DataFrame, lookups: Mapping[str, str], week: str = WEEK) -> DataFrame:
+def period_lookup(weeks: DataFrame, lookups: Mapping[str, str], week: str = WEEK) -> DataFrame:
     """For every source week, the positions it feeds and as what: itself, last year, baseline.
 
-    At most ``1 + len(lookups)`` rows per week present in the data.
+    ``weeks`` carries the calendar columns the lookups name. The result has at most
+    ``1 + len(lookups)`` rows per week present in the data.
     """
-    side = calendar.select(F.col(WEEK).alias(week), *lookups.values()).dropDuplicates([week])
     roles = [F.struct(F.lit("").alias("_role"), F.col(week).alias("_source"))]
     roles += [F.struct(F.lit(name).alias("_role"), F.col(column).alias("_source")) for name, column in lookups.items()]
     return (
-        weeks.join(side, week, "left")
-        .select("_pos", "_last", F.explode(F.array(*roles)).alias("_r"))
+        weeks.select("_pos", "_last", F.explode(F.array(*roles)).alias("_r"))
         .select("_pos", "_last", "_r._role", F.col("_r._source").alias(week))
         .filter(F.col(week).isNotNull())
     )
@@ -135,7 +139,8 @@ def add_prior_periods(
     """Sum to grain, then add the value of each row's last-year and baseline week (null if absent)."""
     series = materialize(sum_to_grain(df, dims, week, value))
     weeks = present_weeks(series, week)
-    lookup = period_lookup(weeks, calendar, lookups, week)
+    side = calendar.select(F.col(WEEK).alias(week), *lookups.values()).dropDuplicates([week])
+    lookup = period_lookup(weeks.join(side, week, "left"), lookups, week)
     carried = carry_periods(series.repartition(*dims), dims, lookup, lookups, week, value)
     return (
         carried.filter("_seen")

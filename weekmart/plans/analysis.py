@@ -52,13 +52,15 @@ class ReportSpec:
 
 def round_measures(df: DataFrame, measures: Iterable[str] = MEASURES, digits: int = 2) -> DataFrame:
     """Round half to even."""
-    return df.withColumns({m: F.bround(F.col(m), digits) for m in measures if m in df.columns})
+    wanted = set(measures)
+    return df.selectExpr(*[f"bround(`{c}`, {digits}) AS `{c}`" if c in wanted else f"`{c}`" for c in df.columns])
 
 
 def fill_measures(df: DataFrame, measures: Iterable[str] = MEASURES, fix_defects: bool = False) -> DataFrame:
     """Nulls to 0, and to 2 in two lag columns unless ``fix_defects``."""
     two = () if fix_defects else FILLED_WITH_TWO
-    return df.fillna({m: 2.0 if m in two else 0.0 for m in measures if m in df.columns})
+    fill = {m: "2D" if m in two else "0D" for m in measures}
+    return df.selectExpr(*[f"coalesce(`{c}`, {fill[c]}) AS `{c}`" if c in fill else f"`{c}`" for c in df.columns])
 
 
 def analyze(
@@ -78,20 +80,19 @@ def analyze(
     if "city" in dims and densify:
         df = df.withColumn("city", F.coalesce("city", F.lit("NA")))
     series = materialize(s.sum_to_grain(df.filter(F.col(WEEK).isNotNull()), dims))
-    weeks = s.present_weeks(series)
-    lookup = s.period_lookup(weeks, calendar, s.LOOKUPS)
+    attributes = ["yoy_week", "baseline_week", *week_columns, "covid_week"]
+    weeks = materialize(add_calendar(s.distinct_weeks(series), calendar, attributes))
+    lookup = s.period_lookup(weeks, s.LOOKUPS)
     whole = s.complete_segment(dims)
     kept = series.filter(whole) if densify else series
     carried = s.carry_periods(kept.repartition(*dims), dims, lookup, s.LOOKUPS)
     values = ["lbs", *s.LOOKUPS]
     rows = s.fill_gaps(carried, dims, values) if densify else carried.filter("_seen").fillna(0.0, subset=values)
 
-    attributes = ["yoy_week", "baseline_week", *week_columns, "covid_week"]
-    dated = add_calendar(weeks, calendar, attributes)
     if share:
         week_totals = series.filter(whole).groupBy(WEEK).agg(F.sum("lbs").alias("_total"))
-        dated = dated.join(week_totals, WEEK, "left")
-    rows = rows.drop("_last").join(F.broadcast(dated), "_pos")
+        weeks = weeks.join(week_totals, WEEK, "left")
+    rows = rows.drop("_last").join(F.broadcast(weeks), "_pos")
 
     measures = s.rolling_columns(dims, "_pos", fix_defects=fix_defects)
     measures["lbs_precovid"] = s.preperiod_column(dims, "_pos", begin, end)

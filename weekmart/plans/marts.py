@@ -13,6 +13,7 @@ from weekmart.operators import mapping as m
 from weekmart.operators.history import first_file_wins, stack
 from weekmart.operators.metrics import keep_large
 from weekmart.plans.sellin import Link, star_extract
+from weekmart.session import materialize
 
 COMPILED = (
     "city", "region", "segment_l1", "segment_l2", "service_type", "consolidated_category", "distributor", "lbs",
@@ -81,13 +82,13 @@ def fair_share(
     """Share files of several period lengths in one row per key, large categories only.
 
     Measures arrive as text with commas and dashes. Previous and current opportunity keep separate
-    columns.
+    columns. The combined table is read twice, for the totals and for the rows, hence checkpointed.
     """
     cleaned = {
         period: frame.withColumns({x: c.dash_number(F.col(x), keep_sign) for x in measures})
         for period, frame in periods.items()
     }
-    combined = m.combine_periods(cleaned, keys, measures)
+    combined = materialize(m.combine_periods(cleaned, keys, measures))
     return keep_large(combined, threshold_key, threshold_measure, threshold)
 
 
