@@ -168,11 +168,13 @@ def shared_files(spark, sf):
         "ASYS Code": F.concat(F.col("l_partkey").cast("string"), F.lit(".0")), "ASYS": F.col("p_name"),
         "GTIN": F.lpad(F.col("l_partkey").cast("string"), 12, "0"), "MFG Number": F.col("l_partkey").cast("string"),
     }
-    paths = []
+    stored = staging_path(spark, "s8")
+    raw.select(*[v.alias(k) for k, v in row.items()], F.format_number("l_quantity", 1).alias("LBS"),
+               F.year("order_date").alias("year")).write.partitionBy("year").parquet(stored)
+    rows, paths = spark.read.parquet(stored), []
     for year in range(1995, 2002):
-        rows = raw.filter(F.year("order_date") == year)
-        paths.append(csv_folder(rows.select(
-            *[v.alias(k) for k, v in row.items()], F.format_number("l_quantity", 1).alias(f"{year}-01-07 1")), f"s8-{year}"))
+        part = rows.filter(F.col("year") == year).drop("year").withColumnRenamed("LBS", f"{year}-01-07 1")
+        paths.append(csv_folder(part, f"s8-{year}"))
     return paths
 
 

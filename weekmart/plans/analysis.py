@@ -63,10 +63,19 @@ def fill_measures(df: DataFrame, measures: Iterable[str] = MEASURES, fix_defects
     return df.selectExpr(*[f"coalesce(`{c}`, {fill[c]}) AS `{c}`" if c in fill else f"`{c}`" for c in df.columns])
 
 
+def week_attributes(week_columns: Sequence[str]) -> list[str]:
+    return ["yoy_week", "baseline_week", *week_columns, "covid_week"]
+
+
+def week_table(df: DataFrame, calendar: DataFrame, week_columns: Sequence[str] = SUNDAY_WEEK) -> DataFrame:
+    """The weeks present in ``df`` with position and calendar columns, checkpointed."""
+    return materialize(add_calendar(s.distinct_weeks(df), calendar, week_attributes(week_columns)))
+
+
 def analyze(
     df: DataFrame, dims: Sequence[str], calendar: DataFrame, begin: int = 201910, end: int = 202009,
     densify: bool = True, fix_defects: bool = False, week_columns: Sequence[str] = SUNDAY_WEEK,
-    last_weeks: int | None = None, share: bool = False,
+    last_weeks: int | None = None, share: bool = False, weeks: DataFrame | None = None,
 ) -> DataFrame:
     """Segment-by-week analysis of a weekly fact (``dims``, week key, ``lbs``).
 
@@ -75,13 +84,19 @@ def analyze(
     With ``densify=False`` only observed rows are analyzed, and segments with a null key keep
     their rows but get no window measures. ``last_weeks`` keeps the latest weeks after the windows
     have seen all of them; ``share`` adds ``wt``, the part of a segment in its week's total.
+    ``weeks`` is the ``week_table`` of a fact that is aggregated and checkpointed already: it is then
+    read as it is.
     """
     dims = list(dims)
     if "city" in dims and densify:
         df = df.withColumn("city", F.coalesce("city", F.lit("NA")))
-    series = materialize(s.sum_to_grain(df.filter(F.col(WEEK).isNotNull()), dims))
-    attributes = ["yoy_week", "baseline_week", *week_columns, "covid_week"]
-    weeks = materialize(add_calendar(s.distinct_weeks(series), calendar, attributes))
+    series = s.sum_to_grain(df, dims)
+    if weeks is None:
+        series = materialize(series)
+        weeks = week_table(series, calendar, week_columns)
+    # rows without a week go after the checkpoint: a filter before it would compute a derived key twice
+    series = series.filter(F.col(WEEK).isNotNull())
+    attributes = week_attributes(week_columns)
     lookup = s.period_lookup(weeks, s.LOOKUPS)
     whole = s.complete_segment(dims)
     kept = series.filter(whole) if densify else series
@@ -118,14 +133,16 @@ def report_columns(dims: Sequence[str], spec: ReportSpec, available: Sequence[st
     return columns + (["wt"] if "wt" in available else [])
 
 
-def segment_report(df: DataFrame, dims: Sequence[str], calendar: DataFrame, spec: ReportSpec) -> DataFrame:
+def segment_report(
+    df: DataFrame, dims: Sequence[str], calendar: DataFrame, spec: ReportSpec, weeks: DataFrame | None = None,
+) -> DataFrame:
     """Analysis of one grain in the standard output layout.
 
     Segment labels are merged after the analysis without summing again, so a merged label repeats
     per week, as the reports always had it.
     """
     out = analyze(df, dims, calendar, spec.begin, spec.end, spec.densify, spec.fix_defects, spec.week_columns,
-                  spec.last_weeks, spec.share)
+                  spec.last_weeks, spec.share, weeks)
     if spec.segment_column:
         out = relabel(out, spec.segment_column, spec.segment_labels)
     out = out.withColumn(spec.label_column, F.lit(spec.label))
@@ -144,8 +161,9 @@ def several_grains(
     """One report per grain from a single pass over the fact.
 
     The fact is summed once to the union of all grain columns and checkpointed; every grain then
-    starts from that much smaller frame.
+    starts from that much smaller frame, and all share one week table.
     """
     union = list(dict.fromkeys(c for dims in grains.values() for c in dims))
-    base = materialize(s.sum_to_grain(df.filter(F.col(WEEK).isNotNull()), union))
-    return {name: segment_report(base, dims, calendar, spec) for name, dims in grains.items()}
+    base = materialize(s.sum_to_grain(df, union))
+    weeks = week_table(base, calendar, spec.week_columns)
+    return {name: segment_report(base, dims, calendar, spec, weeks) for name, dims in grains.items()}
