@@ -269,7 +269,7 @@ def fiscal_week(spark, sf):
     day = F.col("o_orderdate").cast("date")
     number = F.floor((F.dayofyear(day) - 1) / 7) + 1
     orders = table(spark, sf, "orders").select("o_orderkey", d.year_week_text(F.year(day), number).alias("fiscal"))
-    return cal.attach_fiscal_week(orders, calendar(spark), "fiscal", "fiscal_week_gfs").drop("fiscal")
+    return cal.attach_fiscal_week(orders, calendar(spark), "fiscal", "fiscal_week_two").drop("fiscal")
 
 
 @query("j9_valid_week", with_ctes(["sellout", "calendar"], select="""

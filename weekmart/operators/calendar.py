@@ -49,8 +49,8 @@ def build_calendar(
             d.iso_week_key(F.date_sub(mon, 364)).alias("yoy_week"),
             (F.lit(baseline_year * 100) + F.least(d.iso_week(mon), F.lit(52))).cast("int").alias("baseline_week"),
             covid.cast("int").alias("covid_week"),
-            fiscal.cast("int").alias("fiscal_week_sysco"),
-            fiscal.cast("int").alias("fiscal_week_gfs"),
+            fiscal.cast("int").alias("fiscal_week_one"),
+            fiscal.cast("int").alias("fiscal_week_two"),
         )
     )
 

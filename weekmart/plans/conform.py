@@ -131,7 +131,7 @@ def _conform_canada_file(df: DataFrame, maps: Dictionaries, cities: tuple[str, .
 def conform_canada_one_file(df: DataFrame, maps: Dictionaries, calendar: DataFrame, cities: tuple[str, ...] = ()) -> DataFrame:
     """Older file of the first Canadian source: province, city list, distributor fiscal week."""
     df = _conform_canada_file(df, maps, cities)
-    df = cal.attach_fiscal_week(df, calendar, "fiscal_week", "fiscal_week_sysco")
+    df = cal.attach_fiscal_week(df, calendar, "fiscal_week", "fiscal_week_one")
     return df.withColumnsRenamed({"volume_lbs": "lbs", "category": "consolidated_category"})
 
 
@@ -139,7 +139,7 @@ def conform_canada_two_file(df: DataFrame, maps: Dictionaries, calendar: DataFra
     """Older file of the second Canadian source: fiscal year and week as separate numbers."""
     df = _conform_canada_file(df, maps, cities)
     df = df.withColumn("fiscal_key", d.year_week_text(F.col("fiscal_year"), F.col("fiscal_week")))
-    df = cal.attach_fiscal_week(df, calendar, "fiscal_key", "fiscal_week_gfs").drop("fiscal_key")
+    df = cal.attach_fiscal_week(df, calendar, "fiscal_key", "fiscal_week_two").drop("fiscal_key")
     df = df.withColumnsRenamed({"total_lbs": "lbs", "product_category": "consolidated_category"})
     return df.withColumn("consolidated_category", c.category_prefix(F.col("consolidated_category")))
 
