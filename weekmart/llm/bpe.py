@@ -20,11 +20,12 @@ import regex
 import tokenizers
 from pyspark.sql import DataFrame
 
-from weekmart.llm.text import prepare, code_points, column_udf, distinct_spans, pieces, spread, utf8
+from weekmart.llm.text import code_points, column_udf, distinct_spans, pieces, prepare, same_spans, span_hashes, spread, utf8
 
 NONE = np.int64(1) << np.int64(62)
 LETTER, NUMBER, SPACE = 1, 2, 3
-CACHED_WORDS = 300_000
+CACHED_WORDS = 600_000
+SLOT_BITS = 21
 ROW_CELLS = 1 << 19
 
 
@@ -212,37 +213,89 @@ def pre_tokens(kinds: np.ndarray, points: np.ndarray, offsets: np.ndarray, whole
     return starts, np.append(starts[1:], count)
 
 
+class WordMemory:
+    """Ids of words seen before, found by hash and confirmed by content; holds at most CACHED_WORDS words.
+
+    An open-addressing table of numpy arrays, looked up for many words at a time.
+    """
+
+    def __init__(self):
+        self.shift = np.uint64(64 - SLOT_BITS)
+        self.keys = np.zeros(1 << SLOT_BITS, np.uint64)
+        self.places = np.full(1 << SLOT_BITS, -1, np.int32)
+        self.points = np.zeros(0, np.uint32)
+        self.ids = np.zeros(0, np.int32)
+        self.point_ends, self.id_ends = np.zeros(1, np.int64), np.zeros(1, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.id_ends) - 1
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash, -1 if it is not there."""
+        found = np.full(len(hashes), -1, np.int64)
+        left, slot = np.arange(len(hashes)), (hashes >> self.shift).astype(np.int64)
+        while len(left):
+            place = self.places[slot]
+            hit = (place >= 0) & (self.keys[slot] == hashes[left])
+            found[left[hit]] = place[hit]
+            on = (place >= 0) & ~hit
+            left, slot = left[on], (slot[on] + 1) & ((1 << SLOT_BITS) - 1)
+        return found
+
+    def add(self, hashes: np.ndarray, points: np.ndarray, lengths: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Remember words of different hashes that are not there yet."""
+        place = np.arange(len(self), len(self) + len(hashes), dtype=np.int32)
+        left, slot = np.arange(len(hashes)), (hashes >> self.shift).astype(np.int64)
+        while len(left):
+            free = self.places[slot] < 0
+            self.places[slot[free]] = place[left[free]]
+            won = self.places[slot] == place[left]
+            self.keys[slot[won]] = hashes[left[won]]
+            left, slot = left[~won], (slot[~won] + 1) & ((1 << SLOT_BITS) - 1)
+        self.points, self.ids = np.concatenate([self.points, points]), np.concatenate([self.ids, ids])
+        self.point_ends = np.append(self.point_ends, self.point_ends[-1] + np.cumsum(lengths))
+        self.id_ends = np.append(self.id_ends, self.id_ends[-1] + np.cumsum(counts))
+
+
 class PreTokenCoder:
-    """Encodes texts by pre-token: each different pre-token is encoded once and remembered.
+    """Encodes texts by pre-token: each different pre-token is encoded once and remembered while there is room.
 
-    ``encode_words`` returns the ids of a list of pre-tokens and the number of ids of each. The memory holds at most
-    CACHED_WORDS pre-tokens and starts again when full, so it is bounded for any input.
+    ``encode_words`` returns the ids of a list of pre-tokens and the number of ids of each.
     """
 
     def __init__(self, vocabulary: Vocabulary, encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.kinds, self.special, self.encode_words = vocabulary.kinds, vocabulary.special, encode_words
-        special = self.special
-        self.marks = re.compile("(" + "|".join(re.escape(s) for s in special) + ")") if special else None
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {s: k for k, s in enumerate(self.special)}
-        self.ids = np.array([*self.special.values()], np.int32)
-        self.starts = np.arange(len(self.special), dtype=np.int64)
-        self.counts = np.ones(len(self.special), np.int64)
-
-    def _places(self, words: list[str]) -> np.ndarray:
-        """Where the memory holds each of the (different) words; unknown ones are encoded first."""
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self._clear()
-        new = [w for w in words if w not in self.known]
-        if new:
-            ids, counts = self.encode_words(new)
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
-            self.counts = np.concatenate([self.counts, counts])
-            self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
-        return np.array([self.known[w] for w in words], np.int64)
+        self.marks = re.compile("(" + "|".join(re.escape(s) for s in self.special) + ")") if self.special else None
+        self.memory = WordMemory()
+
+    def _encode_new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different words; one that spells a special token is that token."""
+        plain = [w for w in words if w not in self.special]
+        ids, counts = self.encode_words(plain) if plain else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+        if len(plain) == len(words):
+            return ids.astype(np.int32), counts
+        parts = iter(np.split(ids, np.cumsum(counts)[:-1]) if plain else [])
+        each = [np.array([self.special[w]]) if w in self.special else next(parts) for w in words]
+        return np.concatenate(each).astype(np.int32), np.array([len(e) for e in each], np.int64)
+
+    def _places(self, joined: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Where the memory holds each of the given different words; unknown ones are encoded first."""
+        if len(self.memory) + len(hashes) > CACHED_WORDS:
+            self.memory = WordMemory()
+        memory, lengths = self.memory, ends - starts
+        places = memory.find(hashes)
+        old = np.flatnonzero(places >= 0)
+        at = memory.point_ends[places[old]]
+        if (memory.point_ends[places[old] + 1] - at != lengths[old]).any() or not same_spans(
+                points, starts[old], memory.points, at, lengths[old]):  # another word of that hash: start again
+            memory = self.memory = WordMemory()
+            places[:] = -1
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            ids, counts = self._encode_new([joined[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+            places[new] = np.arange(len(memory), len(memory) + len(new))
+            memory.add(hashes[new], points[spread(starts[new], lengths[new])], lengths[new], ids, counts)
+        return places
 
     def _split(self, joined: str, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of the parts into which special tokens cut the texts, and which parts are special."""
@@ -261,11 +314,13 @@ class PreTokenCoder:
         if self.marks and self.marks.search(joined):
             parts, whole = self._split(joined, ends_at)
         starts, ends = pre_tokens(self.kinds, points, parts, whole)
-        first, inverse = distinct_spans(points, starts, ends)
-        places = self._places([joined[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())])[inverse]
-        lengths = self.counts[places]
+        hashes = span_hashes(points, starts, ends)
+        first, inverse = distinct_spans(points, starts, ends, hashes)
+        places = self._places(joined, points, starts[first], ends[first], hashes[first])[inverse]
+        begins = self.memory.id_ends[places]
+        lengths = self.memory.id_ends[places + 1] - begins
         before = np.append(0, np.cumsum(lengths))
-        return self.ids[spread(self.starts[places], lengths)], np.diff(before[np.searchsorted(starts, ends_at)])
+        return self.memory.ids[spread(begins, lengths)], np.diff(before[np.searchsorted(starts, ends_at)])
 
 
 def _opened_encoder(definition):

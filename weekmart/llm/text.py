@@ -108,7 +108,9 @@ def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """All positions of the given spans, one span after another."""
     ends = np.cumsum(lengths)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    kind = np.int32 if total + int(starts.max(initial=0)) < 1 << 31 else np.int64
+    return np.arange(total, dtype=kind) + np.repeat((starts - (ends - lengths)).astype(kind), lengths)
 
 
 def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -139,16 +141,21 @@ def distinct_values(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[fresh], inverse
 
 
-def distinct_spans(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def same_spans(one: np.ndarray, one_starts: np.ndarray, two: np.ndarray, two_starts: np.ndarray, lengths: np.ndarray) -> bool:
+    """Whether each span of the first symbols equals its counterpart of the same length in the second."""
+    return bool((one[spread(one_starts, lengths)] == two[spread(two_starts, lengths)]).all())
+
+
+def distinct_spans(
+    symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
     """An index of one span of each different content, and for every span its position in that list.
 
     Hashes propose, contents decide: should two different spans share a hash, contents are compared one by one.
     """
-    first, inverse = distinct_values(span_hashes(symbols, starts, ends))
+    first, inverse = distinct_values(span_hashes(symbols, starts, ends) if hashes is None else hashes)
     like, lengths = first[inverse], ends - starts
-    same = bool((lengths == lengths[like]).all()) and bool(
-        (symbols[spread(starts, lengths)] == symbols[spread(starts[like], lengths)]).all())
-    if same:
+    if bool((lengths == lengths[like]).all()) and same_spans(symbols, starts, symbols, starts[like], lengths):
         return first, inverse
     seen: dict[bytes, int] = {}
     index = []

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weekmart.llm.bpe import Definition, PreTokenCoder, Vocabulary
+from weekmart.llm.bpe import Definition, PreTokenCoder, Vocabulary, byte_letters
 from weekmart.llm.text import prepare, pieces, utf8
 
 MAGIC = b"TOKS8B01"
@@ -34,10 +34,20 @@ READ_BYTES = 4 << 20
 COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = 60 // COUNTS
 FULL = np.uint64(60)
+_SMALL = np.array([max(1, k.bit_length()) for k in range(1 << 16)], np.uint8)
+
+
+def library_ids(model: tokenizers.models.Model, letters: list[str], words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids that the library's merges give each pre-token, one after another, and the number of ids of each."""
+    table = dict(enumerate(letters))
+    each = [[t.id for t in model.tokenize(w.encode().decode("latin-1").translate(table))] for w in words]
+    return np.array([i for e in each for i in e], np.int32), np.array([len(e) for e in each], np.int64)
 
 
 def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits that each id needs, 1 at least."""
+    if ids.max() < len(_SMALL):
+        return _SMALL[ids.astype(np.int64)]
     bits = np.ones(len(ids), np.uint8)
     for width in range(1, 64):
         over = ids >= np.uint64(1 << width)
@@ -54,13 +64,16 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not count:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     bits = _widths(ids)
-    selector = np.zeros(count, np.int64)
+    selector = np.zeros(count, np.int8)
     widest, span = bits.copy(), 1
     for s in range(len(COUNTS) - 1, 0, -1):
         while span < COUNTS[s]:  # widest[i]: of the next `span` ids; past the end nothing is needed
             widest[:max(0, count - span)] = np.maximum(widest[:max(0, count - span)], bits[span:])
             span += 1
-        selector[widest <= WIDTHS[s]] = s
+        fits = widest <= WIDTHS[s]
+        if not fits.any():
+            break
+        np.copyto(selector, np.int8(s), where=fits)
     step = COUNTS[selector].tolist()
     starts, at = [], 0
     while at < count:
@@ -74,8 +87,10 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     words[chosen == 0] |= np.arange(len(escapes), dtype=np.uint64)
     for s in range(1, len(COUNTS)):
         of = np.flatnonzero(chosen == s)
+        at, word = starts[of], words[of]
         for k in range(COUNTS[s]) if len(of) else ():
-            words[of] |= padded[starts[of] + k] << np.uint64(k * WIDTHS[s])
+            word |= padded[at + k] << np.uint64(k * WIDTHS[s])
+        words[of] = word
     return words, escapes
 
 
@@ -159,6 +174,7 @@ def write_token_files(
 ) -> DataFrame:
     """Encode whole texts and write their ids in ascending order of ``id``; returns the manifest.
 
+    Texts are cut into pre-tokens here, and the tokenizers library's merges give each different one its ids.
     The texts are spread by ranges of ``id`` (nulls first; equal ids in any order), each task encodes its range and writes files
     of about FILE_IDS ids that it names itself. The manifest, a Parquet table that Spark commits in ``folder/manifest``, lists
     those of successful attempts only: a lost executor's files are left out. Null and empty texts have no ids but ``end_id``.
@@ -172,16 +188,9 @@ def write_token_files(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(shared.value)
-        library = tokenizers.Tokenizer.from_str(shared.value.model)
-        library.no_truncation()
-        library.no_padding()
-
-        def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-            each = [e.ids for e in library.encode_batch_fast(words, add_special_tokens=False)]
-            counts = np.array([len(e) for e in each], np.int64)
-            return np.array([i for e in each for i in e], np.int32), counts
-
-        coder = PreTokenCoder(vocabulary, encode_words)
+        model = tokenizers.Tokenizer.from_str(shared.value.model).model
+        letters = byte_letters()
+        coder = PreTokenCoder(vocabulary, lambda words: library_ids(model, letters, words))
         system, root = _at(folder)
         system.create_dir(f"{root}/ids", recursive=True)
         part, held, size, number = TaskContext.get().partitionId(), [], 0, 0
@@ -203,7 +212,7 @@ def write_token_files(
             for a, b in pieces(offsets):
                 ids, counts = coder.encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
                 if extra:
-                    whole = np.full(len(ids) + len(counts), end_id, np.int64)
+                    whole = np.full(len(ids) + len(counts), end_id, np.int32)
                     taken = np.ones(len(whole), bool)
                     taken[np.cumsum(counts + 1) - 1] = False
                     whole[taken] = ids
