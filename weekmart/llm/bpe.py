@@ -26,6 +26,7 @@ NONE = np.int64(1) << np.int64(62)
 LETTER, NUMBER, SPACE = 1, 2, 3
 CACHED_WORDS = 600_000
 SLOT_BITS = 21
+_coders: dict[tuple[str, str], "PreTokenCoder"] = {}
 ROW_CELLS = 1 << 19
 
 
@@ -323,10 +324,22 @@ class PreTokenCoder:
         return self.memory.ids[spread(begins, lengths)], np.diff(before[np.searchsorted(starts, ends_at)])
 
 
+def kept_coder(definition: Definition, kind: str, build: Callable[[Vocabulary], PreTokenCoder]) -> PreTokenCoder:
+    """The coder of this process: a task that runs where another has run finds the words that it encoded."""
+    key = (kind, definition.model)
+    if key not in _coders:
+        _coders.clear()
+        _coders[key] = build(Vocabulary(definition))
+    return _coders[key]
+
+
+def merging_coder(vocabulary: Vocabulary) -> PreTokenCoder:
+    return PreTokenCoder(vocabulary, lambda words: vocabulary.merge_words([w.encode() for w in words]))
+
+
 def _opened_encoder(definition):
     def opened():
-        vocabulary = Vocabulary(definition.value)
-        coder = PreTokenCoder(vocabulary, lambda words: vocabulary.merge_words([w.encode() for w in words]))
+        coder = kept_coder(definition.value, "merges", merging_coder)
 
         def apply(column: pa.Array) -> pa.Array:
             data, offsets = utf8(column)

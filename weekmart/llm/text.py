@@ -143,7 +143,9 @@ def distinct_values(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def same_spans(one: np.ndarray, one_starts: np.ndarray, two: np.ndarray, two_starts: np.ndarray, lengths: np.ndarray) -> bool:
     """Whether each span of the first symbols equals its counterpart of the same length in the second."""
-    return bool((one[spread(one_starts, lengths)] == two[spread(two_starts, lengths)]).all())
+    tiled = len(lengths) and one_starts[0] == 0 and (one_starts[1:] == (one_starts + lengths)[:-1]).all()
+    first = one[: one_starts[-1] + lengths[-1]] if tiled else one[spread(one_starts, lengths)]
+    return bool((first == two[spread(two_starts, lengths)]).all())
 
 
 def distinct_spans(

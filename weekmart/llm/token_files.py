@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from weekmart.llm.bpe import Definition, PreTokenCoder, Vocabulary, byte_letters
+from weekmart.llm.bpe import Definition, PreTokenCoder, Vocabulary, byte_letters, kept_coder
 from weekmart.llm.text import prepare, pieces, utf8
 
 MAGIC = b"TOKS8B01"
@@ -39,11 +39,18 @@ _SMALL = np.array([max(1, k.bit_length()) for k in range(1 << 16)], np.uint8)
 
 def library_ids(model: tokenizers.models.Model, letters: list[str], words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids that the library's merges give each pre-token, one after another, and the number of ids of each."""
-    table = dict(enumerate(letters))
-    each = [[t.id for t in model.tokenize(w.encode().decode("latin-1").translate(table))] for w in words]
+    table, space = dict(enumerate(letters)), letters[32]
+    spelt = [  # printable ASCII signs but the space stand for themselves
+        w.replace(" ", space) if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(table) for w in words]
+    each = [[t.id for t in tokens] for tokens in map(model.tokenize, spelt)]
     return np.array([i for e in each for i in e], np.int32), np.array([len(e) for e in each], np.int64)
 
 
+def library_coder(vocabulary: Vocabulary, definition: str) -> PreTokenCoder:
+    model, letters = tokenizers.Tokenizer.from_str(definition).model, byte_letters()
+    return PreTokenCoder(vocabulary, lambda words: library_ids(model, letters, words))
+
+
 def _widths(ids: np.ndarray) -> np.ndarray:
     """Bits that each id needs, 1 at least."""
     if ids.max() < len(_SMALL):
@@ -187,10 +194,7 @@ def write_token_files(
     extra = [] if end_id is None else [end_id]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(shared.value)
-        model = tokenizers.Tokenizer.from_str(shared.value.model).model
-        letters = byte_letters()
-        coder = PreTokenCoder(vocabulary, lambda words: library_ids(model, letters, words))
+        coder = kept_coder(shared.value, "library", lambda vocabulary: library_coder(vocabulary, shared.value.model))
         system, root = _at(folder)
         system.create_dir(f"{root}/ids", recursive=True)
         part, held, size, number = TaskContext.get().partitionId(), [], 0, 0
