@@ -17,7 +17,7 @@ import weekmart
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 8 << 20
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
 _MIX = np.uint64(0xD6E8FEB86659FD93)
