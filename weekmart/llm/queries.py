@@ -143,6 +143,57 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+OP4_SQL = f"""
+WITH f AS (
+  SELECT row_number() OVER () AS rid, doc_id, concat_ws('/', source, lang, doc_id::VARCHAR) AS path, text FROM documents),
+t AS (SELECT * FROM (VALUES {', '.join(f"({k}, '{a}', '{b}')" for k, (a, b) in enumerate(licenses.TEMPLATES))}) v(template, license, notice)),
+tt AS (
+  SELECT template, license, term, count(*) AS n
+  FROM (SELECT template, license, unnest(regexp_extract_all(lower(notice), '{licenses.TOKEN}')) AS term FROM t) GROUP BY ALL),
+df AS (
+  SELECT term, count(*) AS df FROM (SELECT DISTINCT rid, unnest(regexp_extract_all(lower(text), '{licenses.TOKEN}')) AS term FROM f)
+  WHERE term IN (SELECT term FROM tt) GROUP BY term),
+weighted AS (
+  SELECT template, license, tt.term, n, ln((1 + files) / (1 + coalesce(df, 0))) + 1 AS idf
+  FROM tt CROSS JOIN (SELECT count(*) AS files FROM f) LEFT JOIN df ON tt.term = df.term),
+w AS (SELECT template, license, term, idf, (1 + ln(n)) * idf AS w FROM weighted),
+known AS (SELECT DISTINCT term, idf FROM w),
+other AS (SELECT avg(idf) AS other FROM known),
+spans AS (
+  SELECT rid, 0 AS line, regexp_extract_all(lower(text), '{licenses.TOKEN}') AS terms FROM f WHERE text IS NOT NULL
+  UNION ALL
+  SELECT rid, line, regexp_extract_all(lower(lines[line]), '{licenses.TOKEN}')
+  FROM (SELECT rid, lines, unnest(range(1, len(lines) + 1)) AS line FROM (SELECT rid, string_split(text, chr(10)) AS lines FROM f WHERE text IS NOT NULL))),
+vec AS (
+  SELECT rid, line, c.term, (1 + ln(n)) * coalesce(idf, other) AS v, idf IS NOT NULL AS listed
+  FROM (SELECT rid, line, term, count(*) AS n FROM (SELECT rid, line, unnest(terms) AS term FROM spans) GROUP BY ALL) c
+  LEFT JOIN known ON c.term = known.term CROSS JOIN other),
+len1 AS (SELECT rid, line, sqrt(sum(v * v)) AS length FROM vec GROUP BY ALL),
+len2 AS (SELECT template, sqrt(sum(w * w)) AS length FROM w GROUP BY template),
+dots AS (SELECT rid, line, template, license, sum(v * w) AS dot FROM vec JOIN w ON vec.term = w.term WHERE listed GROUP BY ALL),
+cos AS (
+  SELECT rid, line, license, round(dot / (len1.length * len2.length), 6) AS score
+  FROM dots JOIN len1 USING (rid, line) JOIN len2 USING (template)),
+hit AS (SELECT doc_id, path, line::INTEGER AS line, license, score FROM cos JOIN f USING (rid) WHERE score >= {licenses.MIN_COSINE}),
+best AS (
+  SELECT doc_id, path, arg_min(license, (-score, line, license)) AS license, max(score) AS score,
+    arg_min(line, (-score, line, license)) AS line, bool_or(line = 0) AS covers
+  FROM hit GROUP BY doc_id, path),
+licensed AS (
+  SELECT regexp_replace(path, '/?[^/]*$', '') AS above, arg_min(license, (-score, path, license)) AS license
+  FROM best WHERE covers GROUP BY above),
+dirs AS (SELECT DISTINCT regexp_replace(path, '/?[^/]*$', '') AS directory FROM f),
+ups AS (
+  SELECT directory, depth, array_to_string(string_split(directory, '/')[1:depth], '/') AS above
+  FROM (SELECT directory, unnest(range(0, CASE WHEN directory = '' THEN 1 ELSE len(string_split(directory, '/')) + 1 END)) AS depth FROM dirs)),
+near AS (
+  SELECT directory, arg_max(license, depth) AS inherited, arg_max(above, depth) AS inherited_from FROM ups JOIN licensed USING (above) GROUP BY directory)
+SELECT f.doc_id, f.path, b.license AS own_license, b.score, b.line,
+  CASE WHEN b.license IS NULL THEN inherited_from END AS inherited_from, coalesce(b.license, inherited) AS license
+FROM f LEFT JOIN best b ON f.doc_id IS NOT DISTINCT FROM b.doc_id AND f.path = b.path
+LEFT JOIN near ON near.directory = regexp_replace(f.path, '/?[^/]*$', '')
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_decontamination, op2_exact_top_k, op3_simhash, op4_licenses, op5_token_files, op6_language, op7_sharding, op8_quality, op9_bpe, op10_secrets)}
-SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_exact_top_k": OP2_SQL}
+SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_exact_top_k": OP2_SQL, "op4_licenses": OP4_SQL}

@@ -43,7 +43,7 @@ def communication_matrix(rows: list[int], sizes: list[int], seed: int) -> np.nda
     rng = np.random.default_rng(seed)
     matrix = np.zeros((len(rows), len(sizes)), np.int64)
     before = np.append(0, np.cumsum(rows))
-    open_parts = [(0, len(rows), list(sizes))]
+    open_parts = [(0, len(rows), list(sizes))] if rows else []
     while open_parts:
         first, last, held = open_parts.pop()
         if last - first == 1:

@@ -89,7 +89,8 @@ def variants(max_bits: int):
     for low, width, wild in segments(max_bits):
         part = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << width) - 1)) if width < 64 else F.col("fp")
         for bit in range(width) if wild else [None]:
-            left = part if bit is None else part.bitwiseAND(F.lit(((1 << width) - 1) & ~(1 << bit)))
+            mask = ((1 << width) - 1) & ~(1 << bit) if bit is not None else 0
+            left = part if bit is None else part.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
             keys.append(F.xxhash64(F.lit(number), left) if width > 32 else F.lit(number << 32).bitwiseOR(left))
             number += 1
     return F.array(*keys)
