@@ -2,7 +2,7 @@ import pytest
 
 from weekmart.operators import history as h
 from weekmart.operators.calendar import WEEK
-from weekmart.session import checked_broadcast, staging_path
+from weekmart.session import staging_path
 from weekmart.sources import sinks as k
 from weekmart.streaming import loads
 
@@ -45,13 +45,26 @@ def test_stack_fills_missing_columns(spark, rows):
 
 def test_side_by_side(spark, rows):
     a, b = spark.createDataFrame([(2, "b"), (1, "a")], "i int, l string"), spark.createDataFrame([(9, "y"), (5, "x")], "j int, r string")
-    assert rows(h.side_by_side(a, b, "i", "j"), "l", "r") == [("a", "x"), ("b", "y")]
+    assert rows(h.side_by_side(a, b, "i", "j", 2), "l", "r") == [("a", "x"), ("b", "y")]
 
 
-def test_checked_broadcast(spark):
-    short, long = checked_broadcast(spark.range(3), 3), checked_broadcast(spark.range(4), 3)
-    assert "ResolvedHint" in short._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in long._jdf.queryExecution().analyzed().toString()
+def test_rows_without_a_week_are_replaced_once(spark, base, rows):
+    new = spark.createDataFrame([("a", None, 90.0), ("a", 202001, 10.0)], SCHEMA)
+    once = h.replace_weeks(base, new)
+    assert rows(once, "lbs") == [(10.0,), (2.0,), (3.0,), (90.0,)] and rows(h.replace_weeks(once, new)) == rows(once)
+
+
+def test_missing_weeks_with_nulls_and_a_half_written_week(spark, rows):
+    path = staging_path(spark, "k5-half")
+    week = spark.createDataFrame([("a", 202001, 1.0), ("a", None, 9.0)], SCHEMA)
+    for _ in range(2):
+        k.append_missing_weeks(week, path, WEEK)
+    assert rows(read(spark, path)) == [("a", 202001, 1.0), ("a", None, 9.0)]
+    more = spark.createDataFrame([("a", 202002, 2.0), ("b", 202002, 3.0)], SCHEMA)
+    more.limit(1).write.mode("append").partitionBy(WEEK).parquet(path)  # what a failed load left
+    for _ in range(2):
+        k.append_missing_weeks(more, path, WEEK)
+    assert rows(read(spark, path)) == [("a", 202001, 1.0), ("a", 202002, 2.0), ("a", None, 9.0), ("b", 202002, 3.0)]
 
 
 def read(spark, path):

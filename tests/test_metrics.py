@@ -49,7 +49,7 @@ def test_keep_large_drops_null_keys(fact, rows):
 
 def test_matrix(spark, rows):
     frame = spark.createDataFrame([(1, 2020, 5.0), (1, 2021, 7.0), (2, 2020, 9.0)], "week int, year int, lbs double")
-    assert rows(g.week_year_matrix(frame, "week", "year", "lbs", [2020, 2021])) == [(1, 5.0, 7.0), (2, 9.0, None)]
+    assert rows(g.week_year_matrix(frame, "week", "year", "lbs")) == [(1, 5.0, 7.0), (2, 9.0, None)]
 
 
 def test_top_and_last(fact):

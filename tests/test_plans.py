@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weekmart.operators import history as h
+from weekmart.operators import metrics as g
 from weekmart.operators import series as s
 from weekmart.operators.calendar import WEEK
 from weekmart.plans import analysis as a
@@ -48,7 +49,7 @@ def test_grain_reads_only_its_columns(stored):
     assert text.count("Exchange") == 1 and "partial_sum" in text
 
 
-def test_history_is_not_shuffled(stored, no_auto_broadcast):
+def test_history_is_not_shuffled(stored):
     new = stored.filter(F.col(WEEK) > 202040)
     text = plan(h.replace_weeks(stored, new))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
@@ -61,3 +62,8 @@ def test_prior_periods_need_no_self_join(stored, calendar, no_auto_broadcast):
     text = plan(s.add_prior_periods(stored, DIMS, calendar))
     assert len([line for line in text.splitlines() if "Exchange hashpartitioning(seg" in line]) == 1
     assert "FileScan" not in text
+
+
+def test_keys_do_not_read_the_fact_again(stored):
+    for df in (h.latest_file_wins(stored.withColumn("file_order", F.lit(1))), s.last_weeks(stored, 3), g.keep_large(stored, DIMS[0], "lbs", 1.0)):
+        assert plan(df).count("FileScan") == 2  # the fact and the staged keys

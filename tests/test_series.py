@@ -39,10 +39,11 @@ def test_densify_size_is_segments_times_weeks(spark):
     assert dense.agg(F.sum("lbs")).first()[0] == 500.0
 
 
-def test_invalid_week_key_is_an_error(spark):
-    fact = spark.createDataFrame([("a", 20200101, 1.0)], SCHEMA)
-    with pytest.raises(Exception, match="not a YYYYWW week key"):
-        s.densify(fact, ["seg"]).collect()
+def test_invalid_week_keys_are_left_out_and_counted(spark, rows):
+    fact = spark.createDataFrame([("a", 20200101, 1.0), ("a", 202054, 2.0), ("a", None, 4.0), ("a", 202001, 8.0)], SCHEMA)
+    assert rows(s.densify(fact, ["seg"]), WEEK, "lbs") == [(202001, 8.0)]
+    assert rows(s.invalid_weeks(fact)) == [(20200101, 1, 1.0), (202054, 1, 2.0), (None, 1, 4.0)]
+    assert rows(s.incomplete_segments(fact.withColumn("seg", F.nullif("seg", F.lit("a"))), ["seg"])) == [(None, 4, 15.0)]
 
 
 def test_prior_periods_across_a_53_week_year(spark, calendar, rows):

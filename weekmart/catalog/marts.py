@@ -71,7 +71,7 @@ def combined_sales(spark, sf):
 
 
 @query("m4_inventory", with_ctes(["lines"], """
-sold AS (SELECT DISTINCT 'M' || l_partkey AS maker_sku_id, l_returnflag AS brand_type FROM lines WHERE l_linenumber = 1)""", select="""
+sold AS (SELECT DISTINCT 'M' || l_partkey AS maker_sku_id, l_returnflag AS brand_type FROM lines)""", select="""
 SELECT o_orderdate::DATE AS date, CAST(o_orderdate::DATE + (7 - isodow(o_orderdate))::INT AS DATE) AS week_ending_sun, maker_sku_id, category,
   CASE WHEN category IS NULL THEN NULL WHEN contains(category, 'Potato') THEN 'Potato' ELSE 'Prepared Foods' END AS consolidated_category,
   brand_type, sum(l_quantity) AS on_hand
@@ -79,7 +79,7 @@ FROM (SELECT o_orderdate, l_partkey, 'M' || l_partkey AS maker_sku_id, l_quantit
 LEFT JOIN (SELECT p_partkey, CASE p_type WHEN 'PROMO' THEN 'Sweet Potato' ELSE p_type END AS category FROM part WHERE p_size > 3) ON p_partkey = l_partkey
 LEFT JOIN sold USING (maker_sku_id) GROUP BY ALL"""))
 def inventory(spark, sf):
-    """Stock per order date and item; attributes come from first order lines only."""
+    """Stock per order date and item; attributes come from all order lines."""
     raw = lines(spark, sf)
     snapshots = raw.groupBy(F.lpad(F.col("l_partkey").cast("string"), 14, "0").alias("manufacturer_gtin"), F.col("order_date").alias("date")).agg(
         F.sum("l_quantity").alias("on_hand"))
@@ -90,7 +90,7 @@ def inventory(spark, sf):
     products = part.filter("p_size > 3").select(
         F.concat(F.lit("M"), F.col("p_partkey").cast("string")).alias("maker_sku_id"),
         F.when(F.col("p_type") == "PROMO", "Sweet Potato").otherwise(F.col("p_type")).alias("category"))
-    sales = raw.filter("l_linenumber = 1").select(
+    sales = raw.select(
         F.concat(F.lit("M"), F.col("l_partkey").cast("string")).alias("maker_sku_id"), F.col("l_returnflag").alias("brand_type"))
     out = p.inventory(snapshots, skus, products, sales, ["brand_type"])
     keys = ["date", "week_ending_sun", "maker_sku_id", "category", "consolidated_category", "brand_type"]

@@ -42,7 +42,7 @@ def value_counts_with_null(spark, sf):
     return g.value_counts(sellout(spark, sf), "segment_l1", keep_null=True)
 
 
-PROFILED = ("user_id", "event_type", "props", "day")
+PROFILED = ("event_id", "user_id", "event_type", "props", "value", "ts", "day")
 
 
 @query("g5_profile_columns", " UNION ALL ".join(
@@ -60,14 +60,23 @@ def row_count(spark, sf):
 
 @query("g6_describe", """
 SELECT 'l_quantity' AS "column", count(*) AS count, round(avg(l_quantity), 6) AS mean, round(stddev_samp(l_quantity), 6) AS std,
-  min(l_quantity) AS "min", max(l_quantity) AS "max" FROM lineitem
-UNION ALL SELECT 'l_linenumber', count(*), round(avg(l_linenumber), 6), round(stddev_samp(l_linenumber), 6), min(l_linenumber), max(l_linenumber)
+  min(l_quantity) AS "min", quantile_cont(l_quantity, 0.25) AS q25, quantile_cont(l_quantity, 0.5) AS q50,
+  quantile_cont(l_quantity, 0.75) AS q75, max(l_quantity) AS "max" FROM lineitem
+UNION ALL SELECT 'l_linenumber', count(*), round(avg(l_linenumber), 6), round(stddev_samp(l_linenumber), 6), min(l_linenumber),
+  quantile_cont(l_linenumber::DOUBLE, 0.25), quantile_cont(l_linenumber::DOUBLE, 0.5), quantile_cont(l_linenumber::DOUBLE, 0.75), max(l_linenumber)
 FROM lineitem""")
 def describe(spark, sf):
     out = g.describe(table(spark, sf, "lineitem"), ["l_quantity", "l_linenumber"])
     return out.withColumns({x: F.round(x, 6) for x in ("mean", "std")})
 
 
+@query("g6_describe_text", with_ctes(["sellout"], select="\nUNION ALL ".join(f"""
+SELECT '{x}' AS "column", sum(rows)::BIGINT AS count, count(*) AS "unique", arg_min(value, (-rows, value)) AS top, max(rows) AS freq
+FROM (SELECT {x} AS value, count(*) AS rows FROM sellout WHERE {x} IS NOT NULL GROUP BY 1)""" for x in ("state", "segment_l1", "category"))))
+def describe_text(spark, sf):
+    return g.describe_text(sellout(spark, sf), ["state", "segment_l1", "category"])
+
+
 @query("g7_distinct_combinations", over_sellout("""
 SELECT DISTINCT state, segment_l1, segment_l2 FROM sellout WHERE segment_l1 IS NOT NULL"""))
 def distinct_combinations(spark, sf):
@@ -135,7 +144,7 @@ YEARS = tuple(range(1995, 2002))
     f"sum(lbs) FILTER (calendar_week_year // 100 = {y}) AS y{y}" for y in YEARS) + " FROM sellout GROUP BY 1"))
 def week_year_matrix(spark, sf):
     rows = sellout(spark, sf).withColumns({"week": F.col(WEEK) % 100, "year": F.floor(F.col(WEEK) / 100)})
-    return g.week_year_matrix(rows, "week", "year", "lbs", YEARS)
+    return g.week_year_matrix(rows, "week", "year", "lbs")
 
 
 @query("g13_state_volume_recent", over_sellout("""

@@ -10,6 +10,7 @@ from weekmart.catalog.base import query, sellout, with_ctes
 from weekmart.catalog.mappings import PRODUCT_SQL, RAW, REGIONAL_LABELS, MAPPED, regional, regional_raw
 from weekmart.functions import clean as c
 from weekmart.operators import quality as q
+from weekmart.operators import series as s
 from weekmart.operators.calendar import WEEK
 
 CONFORMED = f"""
@@ -75,16 +76,41 @@ def weekly_difference(spark, sf):
 
 
 @query("d5_difference_summary", with_ctes(["sellout"], PAIRS, select=" UNION ALL ".join(f"""
-SELECT '{x}' AS "column", count(*) AS count, round(avg({x}), 6) AS mean, round(stddev_samp({x}), 6) AS std, min({x}) AS "min", max({x}) AS "max"
+SELECT '{x}' AS "column", count(*) AS count, round(avg({x}), 6) AS mean, round(stddev_samp({x}), 6) AS std, min({x}) AS "min",
+  quantile_cont({x}, 0.25) AS q25, quantile_cont({x}, 0.5) AS q50, quantile_cont({x}, 0.75) AS q75, max({x}) AS "max"
 FROM pairs""" for x in ("before", "after", "change"))))
 def difference_summary(spark, sf):
     out = q.difference_summary(*old_and_new(spark, sf), WEEK)
     return out.withColumns({x: F.round(x, 6) for x in ("mean", "std")})
 
 
-@query("d6_welch_test", with_ctes(["sellout"], PAIRS, select="""
-SELECT round(d / sqrt(a + b), 9) AS t, round((a + b) * (a + b) / (a * a / (n - 1) + b * b / (n - 1)), 6) AS df FROM (
-  SELECT avg(before) - avg(after) AS d, var_samp(before) / count(*) AS a, var_samp(after) / count(*) AS b, count(*) AS n FROM pairs)"""))
+# the p-value by Simpson's rule over the density of Student's t
+@query("d6_welch_test", with_ctes(["sellout"], PAIRS, """
+welch AS (
+  SELECT d / sqrt(a + b) AS t, (a + b) * (a + b) / (a * a / (n - 1) + b * b / (n - 1)) AS df FROM (
+    SELECT avg(before) - avg(after) AS d, var_samp(before) / count(*) AS a, var_samp(after) / count(*) AS b, count(*) AS n FROM pairs)),
+steps AS (
+  SELECT t, df, abs(t) / 2000 AS h, CASE WHEN k IN (0, 2000) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END AS c, k * abs(t) / 2000 AS x
+  FROM welch CROSS JOIN (SELECT unnest(range(0, 2001)) AS k))""", select="""
+SELECT round(t, 9) AS t, round(df, 6) AS df,
+  round(1 - 2 * sum(h / 3 * c * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(df * pi()) * pow(1 + x * x / df, -(df + 1) / 2)), 6) AS p
+FROM steps GROUP BY t, df"""))
 def welch_test(spark, sf):
-    out = q.welch(q.weekly_difference(*old_and_new(spark, sf), WEEK))
-    return out.select(F.round("t", 9).alias("t"), F.round("df", 6).alias("df"))
+    out = q.welch_test(q.weekly_difference(*old_and_new(spark, sf), WEEK))
+    return out.select(F.round("t", 9).alias("t"), F.round("df", 6).alias("df"), F.round("p", 6).alias("p"))
+
+
+# every seventh item has lost its week, every eleventh has a key that is no week
+@query("d4_invalid_weeks", with_ctes(["sellout"], select="""
+SELECT w AS calendar_week_year, count(*) AS rows, sum(lbs) AS lbs FROM (
+  SELECT CASE WHEN sku_id % 7 = 0 THEN NULL WHEN sku_id % 11 = 0 THEN calendar_week_year * 10 ELSE calendar_week_year END AS w, lbs FROM sellout)
+WHERE w IS NULL OR w > 999953 GROUP BY 1"""))
+def invalid_weeks(spark, sf):
+    week = F.when(F.col("sku_id") % 7 == 0, F.lit(None)).when(F.col("sku_id") % 11 == 0, F.col(WEEK) * 10).otherwise(F.col(WEEK))
+    return s.invalid_weeks(sellout(spark, sf).withColumn(WEEK, week))
+
+
+@query("d4_incomplete_segments", with_ctes(["sellout"], select="""
+SELECT state, segment_l1, count(*) AS rows, sum(lbs) AS lbs FROM sellout WHERE segment_l1 IS NULL GROUP BY ALL"""))
+def incomplete_segments(spark, sf):
+    return s.incomplete_segments(sellout(spark, sf), ["state", "segment_l1"])

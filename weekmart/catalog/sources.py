@@ -87,28 +87,37 @@ def weekly_file(spark, sf):
         "MFG #": F.lpad(F.col("l_partkey").cast("string"), 10, "0"), "PIM #": F.lit("1"), "ASYS #": F.col("l_partkey").cast("string"),
         "Product Description": F.col("p_name"), "Pack Size": F.lit("6/5 LB"), "Vendor #": F.lpad(F.col("l_suppkey").cast("string"), 6, "0"),
         "Vendor": F.lit("V"), "Brand": F.col("p_brand"), "Brand Type": F.lit("B"),
+        **{f"Attribute {k}": F.lit(f"a{k}") for k in range(1, 6)},
         "Year Week": d.iso_week_key(F.col("ship_date")).cast("string"), "LB Current": F.format_number(F.col("l_quantity") * 100, 0),
     }
     return raw.select(*[v.alias(k) for k, v in row.items()])
 
 
+def weekly_files(spark, sf):
+    """Two deliveries of the weekly report: one in the usual layout, one in another order with a further column."""
+    rows = weekly_file(spark, sf)
+    odd = F.col("`MFG #`").cast("int") % 2 == 1
+    other = rows.withColumn("Remark", F.lit("x, y")).filter(odd)
+    return [csv_folder(rows.filter(~odd), "s3a"), csv_folder(other.select(*other.columns[::-1]), "s3b")]
+
+
 @query("s3_read_weekly_report", """
 SELECT lpad(l_partkey::VARCHAR, 10, '0') AS mfg_number, lpad(l_suppkey::VARCHAR, 6, '0') AS vendor_number,
   CAST(isoyear(l_shipdate) AS INTEGER) AS year, sum(l_quantity) * 100 AS lbs
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL""")
 def read_weekly_report(spark, sf):
-    out = r.read_weekly(spark, csv_folder(weekly_file(spark, sf), "s3"), sc.NATIONAL_US_WEEKLY)
+    out = r.read_weekly(spark, weekly_files(spark, sf), sc.NATIONAL_US_WEEKLY)
     year = F.floor(F.col("calendar_week") / 100).cast("int").alias("year")
     return out.groupBy("mfg_number", "vendor_number", year).agg(F.sum("lbs").alias("lbs"))
 
 
 @query("s4_wide_to_long", with_ctes(["sellout"], select="""
 SELECT state, category, w AS calendar_week, x.lbs FROM (SELECT DISTINCT state, category FROM sellout)
-CROSS JOIN (SELECT unnest(range(199601, 199653))::INTEGER AS w) LEFT JOIN (
+CROSS JOIN (SELECT DISTINCT calendar_week_year AS w FROM sellout) LEFT JOIN (
   SELECT state, category, calendar_week_year AS w, nullif(sum(lbs), 26) AS lbs FROM sellout GROUP BY ALL) x USING (state, category, w)"""))
 def wide_to_long(spark, sf):
-    """A sheet with one column per week of 1996, a blank column, and dashes for missing values."""
-    weeks = list(range(199601, 199653))
+    """A sheet with one column per week, a blank column, and dashes for missing values."""
+    weeks = sorted(row[0] for row in sellout(spark, sf).select(WEEK).distinct().collect())
     cells = [F.coalesce(F.nullif(F.sum(F.when(F.col(WEEK) == w, F.col("lbs"))), F.lit(26.0)).cast("string"), F.lit("-")).alias(str(w))
              for w in weeks]
     wide = sellout(spark, sf).groupBy("state", "category").agg(F.lit(None).cast("string").alias(" "), *cells)
@@ -118,11 +127,12 @@ def wide_to_long(spark, sf):
 def report_rows(raw):
     """Lines in the national report layout."""
     row = {
-        "Division": F.lit(" D1 "), "Account Number": F.concat(F.col("o_custkey").cast("string"), F.lit(".0")),
+        "Division": F.lit(" D1 "), "Sales Manager": F.lit("m"), "Sales Rep Number": F.lit("7"), "Sales Rep": F.lit("r"), "Account Number": F.concat(F.col("o_custkey").cast("string"), F.lit(".0")),
         "Account Name": F.lower("c_name"), "Address": F.lit(" street "), "City": F.lower("n_name"), "State": F.lower("state"),
         "Postal Code": F.col("c_nationkey").cast("string"), "Customer Class": F.col("o_orderpriority"),
         "Segment": F.concat(F.coalesce("market_segment", F.lit("")), F.lit(" ")), "Account Type": F.col("o_orderstatus"),
-        "Vendor": F.lit("V"), "Manufacturer": F.col("p_brand"), "Brand": F.col("p_brand"), "Sub-Category": F.col("p_type"),
+        "Vendor": F.lit("V"), "Manufacturer": F.col("p_brand"), "Brand": F.col("p_brand"), "Brand Type": F.lit("B"),
+        "Product Category": F.lit("c"), "Sub-Category": F.col("p_type"),
         "GTIN": F.col("l_partkey").cast("string"), "MFR SKU": F.col("l_partkey").cast("string"), "Dist SKU": F.col("l_suppkey").cast("string"),
         "Item Name": F.col("p_name"),
         "Pack": F.when(F.col("p_size") > 10, F.concat(F.col("p_size").cast("string"), F.lit("/5 LB/x"))).otherwise("6"),
@@ -148,14 +158,14 @@ SELECT l_returnflag AS flag, count(*) AS rows, sum(l_quantity) AS lbs FROM linei
 def folders_by_name(spark, sf):
     items = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("folder"), F.col("l_returnflag").alias("flag"), "l_quantity")
     path = csv_folder(items, "s6", partition=("folder",))
-    out = r.read_delimited(spark, path, sc.text("flag", "l_quantity"), recursive=True, name_glob="*.csv")
+    out = r.read_delimited(spark, path, sc.text("flag", "l_quantity"), recursive=True, name_glob="part-*.csv")
     return out.groupBy("flag").agg(F.count("*").alias("rows"), F.sum(c.to_number(F.col("l_quantity"))).alias("lbs"))
 
 
 @query("s7_read_selected_columns", with_ctes(["sellout"], select="""
 SELECT state AS market, calendar_week_year AS calendar_week, sum(lbs) * 100 AS lbs FROM sellout GROUP BY ALL"""))
 def read_selected_columns(spark, sf):
-    out = r.read_weekly(spark, csv_folder(weekly_file(spark, sf), "s7"), sc.NATIONAL_US_WEEKLY)
+    out = r.read_weekly(spark, weekly_files(spark, sf), sc.NATIONAL_US_WEEKLY)
     return out.select("market", "calendar_week", "lbs").groupBy("market", "calendar_week").agg(F.sum("lbs").alias("lbs"))
 
 
@@ -172,7 +182,7 @@ def shared_files(spark, sf):
     raw.select(*[v.alias(k) for k, v in row.items()], F.format_number("l_quantity", 1).alias("LBS"),
                F.year("order_date").alias("year")).write.partitionBy("year").parquet(stored)
     rows, paths = spark.read.parquet(stored), []
-    for year in range(1995, 2002):
+    for year in sorted(row[0] for row in rows.select("year").distinct().collect()):
         part = rows.filter(F.col("year") == year).drop("year").withColumnRenamed("LBS", f"{year}-01-07 1")
         paths.append(csv_folder(part, f"s8-{year}"))
     return paths
@@ -305,14 +315,14 @@ def gzip_tsv(spark, sf):
 @query("s18_json_records", """
 SELECT event_id AS id, event_type AS name, CAST(ts AS DATE)::VARCHAR AS realtime_start FROM events WHERE event_type LIKE '%r%'""")
 def json_records(spark, sf):
-    """One document per user with the array of the user's events."""
+    """One document per day, a file of its own, with the array of the day's events."""
     events = table(spark, sf, "events").select(
         "user_id", F.col("event_id").alias("id"), F.col("event_type").alias("name"), F.col("ts").cast("date").cast("string").alias("realtime_start"))
-    documents = events.groupBy("user_id").agg(F.collect_list(F.struct("id", "realtime_start", "name")).alias("releases"))
+    documents = events.withColumn("day", F.col("realtime_start")).groupBy("day").agg(
+        F.collect_list(F.struct("id", "realtime_start", "name")).alias("releases"))
     path = staging_path(spark, "s18")
-    documents.select("releases").write.json(path)
-    rows = spark.read.schema(sc.RELEASES).json(path).select(F.inline("releases"))
-    return rows.filter(F.col("name").contains("r")).select("id", "name", "realtime_start")
+    documents.write.partitionBy("day").json(path)
+    return r.read_releases(spark, path, sc.RELEASES, contains="r").select("id", "name", "realtime_start")
 
 
 @query("s19_snapshot_date", with_ctes(["lines"], select="""
@@ -335,12 +345,13 @@ def dates_in_name(spark, sf):
 
 
 @query("s21_date_from_folder", """
-SELECT CAST(o_orderdate AS DATE) AS folder_date, count(*) AS rows FROM orders GROUP BY 1""")
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS folder_date, count(*) AS rows FROM orders GROUP BY 1""")
 def date_from_folder(spark, sf):
-    day = F.col("o_orderdate").cast("date").cast("string")
-    path = F.concat(F.lit("/data/Weekly Files/"), day, F.lit("/Inv/file.csv"))
-    rows = table(spark, sf, "orders").select(r.date_in(path).alias("folder_date"))
-    return rows.groupBy("folder_date").agg(F.count("*").alias("rows"))
+    """One folder of files per month of orders, named by its first day."""
+    day = F.trunc(F.col("o_orderdate").cast("date"), "month").cast("string").alias("folder")
+    path = csv_folder(table(spark, sf, "orders").select(day, "o_orderkey"), "s21", partition=("folder",))
+    files = r.read_delimited(spark, path, sc.text("o_orderkey"), recursive=True)
+    return r.with_file_date(files, "folder_date").groupBy("folder_date").agg(F.count("*").alias("rows"))
 
 
 @query("s22_read_history", with_ctes(["sellout"], select="""
@@ -378,8 +389,8 @@ def load_national_report(spark, sf):
     raw = raw_lines(spark, sf)
     raw.select(*report_rows(raw), F.concat(F.year("order_date").cast("string"), F.lit("-01-01 - "), F.year("order_date").cast("string"),
                F.lit("-01-07")).alias("report")).write.option("header", "true").partitionBy("report").csv(root)
-    files = r.read_delimited(spark, root, sc.NATIONAL_US_REPORT, recursive=True)
-    named = r.snake_headers(files.withColumn("first_date", F.get(r.dates_in(r.file_path()), 0)))
+    files = r.read_by_header(spark, root, sc.NATIONAL_US_REPORT.fieldNames())
+    named = r.snake_headers(files.withColumn("first_date", F.get(r.dates_in(F.col(r.FILE)), 0)).drop(r.FILE))
     return p.load_national_report(named).withColumn("segment", F.nullif("segment", F.lit("")))
 
 

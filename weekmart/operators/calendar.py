@@ -56,20 +56,23 @@ def build_calendar(
 
 
 def add_calendar(df: DataFrame, calendar: DataFrame, columns, week: str = WEEK) -> DataFrame:
-    """Attach calendar columns by week key; weeks the calendar lacks get nulls."""
-    side = calendar.select(F.col(WEEK).alias(week), *[c for c in columns if c not in df.columns])
-    return df.join(side.dropDuplicates([week]), week, "left")
+    """Attach calendar columns by week key; weeks the calendar lacks get nulls, of repeated ones the smallest row counts."""
+    wanted = [c for c in columns if c not in df.columns]
+    if not wanted:
+        return df
+    side = calendar.groupBy(F.col(WEEK).alias(week)).agg(F.min(F.struct(*wanted)).alias("_side"))
+    return df.join(side.select(week, "_side.*"), week, "left")
 
 
 def attach_week(df: DataFrame, calendar: DataFrame, day: str, calendar_day: str, how: str = "left") -> DataFrame:
-    """Date to week key through one of the calendar's start or end dates."""
-    side = calendar.select(F.col(calendar_day).alias("_day"), F.col(WEEK)).dropDuplicates(["_day"])
+    """Date to week key through one of the calendar's start or end dates; the earliest week if several have it."""
+    side = calendar.groupBy(F.col(calendar_day).alias("_day")).agg(F.min(WEEK).alias(WEEK))
     return df.join(side, F.col(day) == F.col("_day"), how).drop("_day")
 
 
 def attach_fiscal_week(df: DataFrame, calendar: DataFrame, fiscal_week: str, calendar_fiscal: str) -> DataFrame:
-    """Distributor fiscal week to calendar week key."""
-    side = calendar.select(F.col(calendar_fiscal).alias(fiscal_week), F.col(WEEK)).dropDuplicates([fiscal_week])
+    """Distributor fiscal week to calendar week key; the earliest week if several share it."""
+    side = calendar.groupBy(F.col(calendar_fiscal).alias(fiscal_week)).agg(F.min(WEEK).alias(WEEK))
     return df.join(side, fiscal_week, "left")
 
 
@@ -85,10 +88,10 @@ def known_weeks_only(df: DataFrame, week: str = WEEK) -> DataFrame:
 
 
 def current_week(calendar: DataFrame, as_of: datetime.date) -> DataFrame:
-    """The one-row frame with the week whose Monday-Sunday span holds ``as_of``."""
+    """The one-row frame with the week whose Monday-Sunday span holds ``as_of``; an error if the calendar has none."""
     day = F.lit(as_of)
     return calendar.filter((F.col("week_starting_mon") <= day) & (F.col("week_ending_sun") >= day)).select(
-        F.max(WEEK).alias(WEEK))
+        F.coalesce(F.max(WEEK), F.raise_error(F.lit(f"the calendar has no week of {as_of}")).cast("int")).alias(WEEK))
 
 
 def before_current_week(df: DataFrame, calendar: DataFrame, as_of: datetime.date, week: str = WEEK) -> DataFrame:

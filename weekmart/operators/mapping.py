@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekmart.session import checked_broadcast
+from weekmart.session import staged
 
 # fixed values: US state and territory names by abbreviation
 STATE_NAMES: Mapping[str, str] = {
@@ -121,12 +121,12 @@ def attach_market(df: DataFrame, markets: DataFrame, clean: bool = True) -> Data
 
 def keep_listed(df: DataFrame, listing: DataFrame, column: str) -> DataFrame:
     """Rows whose value is in the listing (semi join; null never is)."""
-    return df.join(checked_broadcast(listing.select(column).distinct()), column, "left_semi")
+    return df.join(staged(listing.select(column).distinct()), column, "left_semi")
 
 
 def drop_listed(df: DataFrame, listing: DataFrame, column: str) -> DataFrame:
     """Rows whose value is not in the listing; rows with a null value stay."""
-    return df.join(checked_broadcast(listing.select(column).distinct()), column, "left_anti")
+    return df.join(staged(listing.select(column).distinct()), column, "left_anti")
 
 
 def excluded_counts(df: DataFrame, listing: DataFrame, column: str) -> DataFrame:

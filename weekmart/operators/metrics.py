@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekmart.operators.history import side_by_side
-from weekmart.session import checked_broadcast
+from weekmart.session import staged
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], value: str, keep_null: bool = True, name: str | None = None) -> DataFrame:
@@ -42,14 +42,28 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, standard deviation, min, max per column, one row per column."""
+    """Count, mean, standard deviation, min, quartiles, max per column, one row per column.
+
+    Quartiles are exact and interpolated; tasks send one count per distinct value.
+    """
+    def quartile(c: str, share: float) -> Column:
+        return F.percentile(F.col(c).cast("double"), share)
+
     cells = [F.struct(
         F.lit(c).alias("column"), F.count(c).alias("count"), F.avg(c).alias("mean"),
-        F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"),
+        F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
+        quartile(c, 0.25).alias("q25"), quartile(c, 0.5).alias("q50"), quartile(c, 0.75).alias("q75"), F.max(c).cast("double").alias("max"),
     ) for c in columns]
     return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
 
 
+def describe_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, number of values, most frequent value (the first in order of several) and its frequency, one row per column."""
+    order = F.struct((-F.col("rows")).alias("less"), "value")
+    return profile(df, columns).groupBy("column").agg(
+        F.sum("rows").alias("count"), F.count("*").alias("unique"), F.min_by("value", order).alias("top"), F.max("rows").alias("freq"))
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows"))
 
@@ -96,19 +110,19 @@ def season_change(
             F.col(period).alias(period_name), change_name)
     a = season(this, "period", "change")
     b = season(other, "other_period", "other_change")
-    return side_by_side(a, b, "period", "other_period")
+    return side_by_side(a, b, "period", "other_period", last)
 
 
 def keep_large(df: DataFrame, key: str, value: str, threshold: float) -> DataFrame:
     """Rows of the keys whose total exceeds the threshold."""
     large = df.groupBy(key).agg(F.sum(value).alias("_total")).filter(F.col("_total") > threshold)
-    return df.join(checked_broadcast(large.select(key)), key, "left_semi")
+    return df.join(staged(large.select(key)), key, "left_semi")
 
 
-def week_year_matrix(df: DataFrame, week: str, year: str, value: str, years: Sequence[int]) -> DataFrame:
-    """One row per week number, one column per year."""
-    cells = [F.sum(F.when(F.col(year) == y, F.col(value))).alias(f"y{y}") for y in years]
-    return df.groupBy(week).agg(*cells)
+def week_year_matrix(df: DataFrame, week: str, year: str, value: str) -> DataFrame:
+    """One row per week number, one column per year that the data holds; rows without a year make no column."""
+    label = F.concat(F.lit("y"), F.col(year).cast("string"))
+    return df.withColumn("_year", F.coalesce(label, F.lit("_none"))).groupBy(week).pivot("_year").agg(F.sum(value)).drop("_none")
 
 
 def totals_and_members(df: DataFrame, period: str, member: str, value: str, members: Sequence[str]) -> DataFrame:

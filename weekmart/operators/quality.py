@@ -72,6 +72,13 @@ def welch(pairs: DataFrame, a: str = "before", b: str = "after") -> DataFrame:
     )
 
 
+def welch_test(pairs: DataFrame, a: str = "before", b: str = "after") -> DataFrame:
+    """Statistic, degrees of freedom and two-sided p-value: one row, from the one row ``welch`` returns."""
+    row = welch(pairs, a, b).first()
+    p = None if row.t is None or row.df is None else two_sided_p(row.t, row.df)
+    return pairs.sparkSession.createDataFrame([(row.t, row.df, p)], "t double, df double, p double")
+
+
 def two_sided_p(t: float, df: float) -> float:
     """Two-sided p-value of Student's t: the regularized incomplete beta function by its continued
     fraction. Applied to the single row ``welch`` returns."""

@@ -16,9 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekmart.operators.calendar import WEEK
-from weekmart.session import materialize
+from weekmart.session import materialize, staged
 
-LARGEST_WEEK_KEY = 999_999  # a week key is YYYYWW, so a table of distinct weeks has a known bound
 LOOKUPS: Mapping[str, str] = {"lbs_ly": "yoy_week", "lbs_baseline": "baseline_week"}
 
 
@@ -35,17 +34,31 @@ def sum_to_grain(df: DataFrame, dims: Sequence[str], week: str = WEEK, value: st
     return df.groupBy(*dims, week).agg(F.coalesce(F.sum(value), F.lit(0.0)).alias(value))
 
 
+def valid_key(week: Column) -> Column:
+    """True where a key has the form YYYYWW with a week from 1 to 53."""
+    return week.between(100_001, 999_953) & (week % 100).between(1, 53)
+
+
+def invalid_weeks(df: DataFrame, week: str = WEEK, value: str = "lbs") -> DataFrame:
+    """Rows and volume by key of what no weekly series can hold: missing keys and keys that are no week."""
+    kept = F.coalesce(valid_key(F.col(week)), F.lit(False))
+    return df.filter(~kept).groupBy(week).agg(F.count("*").alias("rows"), F.coalesce(F.sum(value), F.lit(0.0)).alias(value))
+
+
+def incomplete_segments(df: DataFrame, dims: Sequence[str], value: str = "lbs") -> DataFrame:
+    """Rows and volume by segment of the segments that densifying drops because a grain column is null."""
+    return df.filter(~complete_segment(dims)).groupBy(*dims).agg(F.count("*").alias("rows"), F.coalesce(F.sum(value), F.lit(0.0)).alias(value))
+
+
 def distinct_weeks(df: DataFrame, week: str = WEEK) -> DataFrame:
-    """Distinct weeks in the data with a dense position ``_pos`` and the largest position ``_last``.
+    """Distinct valid weeks in the data with a dense position ``_pos`` and the largest position ``_last``.
 
-    The key range is enforced, so the result is small enough to broadcast whatever the data holds.
+    Keys that are no week (``invalid_weeks`` counts them) take no part, like rows without a key. Four-digit
+    years of 53 weeks bound the result at 477,000 rows, so numbering it in order is cheap.
     """
-    key = F.col(week)
-    checked = F.when(key.between(0, LARGEST_WEEK_KEY), key).otherwise(
-        F.raise_error(F.concat(F.lit("not a YYYYWW week key: "), key.cast("string"))).cast("int"))
-    every = df.filter(key.isNotNull()).agg(F.array_sort(F.collect_set(checked.cast("int"))).alias("_all"))
-    return every.select(F.posexplode("_all").alias("_index", week), F.size("_all").alias("_last")).select(
-        week, (F.col("_index") + 1).alias("_pos"), "_last")
+    every = df.select(F.col(week).cast("int").alias(week)).filter(valid_key(F.col(week))).distinct()
+    return every.select(
+        week, F.row_number().over(Window.orderBy(week)).alias("_pos"), F.count("*").over(Window.partitionBy()).cast("int").alias("_last"))
 
 
 def present_weeks(df: DataFrame, week: str = WEEK) -> DataFrame:
@@ -238,5 +251,5 @@ def latest_weeks(df: DataFrame, n: int, week: str = WEEK) -> DataFrame:
 
 
 def last_weeks(df: DataFrame, n: int, week: str = WEEK) -> DataFrame:
-    """Rows of the ``n`` latest distinct weeks; the ``n`` keys are broadcast."""
-    return df.join(F.broadcast(latest_weeks(df, n, week)), week, "left_semi")
+    """Rows of the ``n`` latest distinct weeks, whose ``n`` keys are staged."""
+    return df.join(staged(latest_weeks(df, n, week)), week, "left_semi")

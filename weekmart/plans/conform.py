@@ -172,9 +172,15 @@ REPORT_COLUMNS = (
 )
 
 
+def maker_sku(df: DataFrame) -> DataFrame:
+    """The maker's item number under one name; where a file has both columns, the first filled one counts."""
+    known = [x for x in ("mfr_sku", "mfg_number") if x in df.columns]
+    return df.withColumn("maker_sku_id", F.coalesce(*known)).drop(*known) if known else df
+
+
 def load_national_report(raw: DataFrame, name_date: str = "first_date") -> DataFrame:
     """National report file to its table; the week starts the day before the first date in its name."""
-    df = raw.withColumnsRenamed({"mfr_sku": "maker_sku_id", "mfg_number": "maker_sku_id", "gtin": "manufacturer_gtin"})
+    df = maker_sku(raw).withColumnRenamed("gtin", "manufacturer_gtin")
     df = df.withColumns({
         "manufacturer_gtin": F.col("manufacturer_gtin").cast("string"),
         "account_number": c.strip_decimal(F.col("account_number")),
@@ -195,8 +201,7 @@ SHARED_COLUMNS = (
 
 def load_national_shared(raw: DataFrame, regions: DataFrame) -> DataFrame:
     """Shared-table file to its table: rows with a market and a plain segment, market cleaned."""
-    df = raw.withColumnsRenamed({
-        "asys": "asys_description", "asys_code": "asys_id", "gtin": "manufacturer_gtin", "mfg_number": "maker_sku_id"})
+    df = maker_sku(raw).withColumnsRenamed({"asys": "asys_description", "asys_code": "asys_id", "gtin": "manufacturer_gtin"})
     df = c.drop_containing(df.dropna(subset=["market"]), "pyramid_segment")
     df = df.withColumns({"asys_id": c.strip_decimal(F.col("asys_id")), "lbs": c.to_number(F.col("lbs"))})
     return m.attach_market(df, regions).select(*SHARED_COLUMNS)
@@ -228,5 +233,5 @@ def load_mapping(raw: DataFrame, keys: tuple[str, ...], renames: Mapping[str, st
 
 def read_national_report_folder(spark, folder: str, schema, glob: str | None = None) -> DataFrame:
     """All report files below a folder, with the first date of each file's name."""
-    df = r.read_delimited(spark, folder, schema, recursive=True, name_glob=glob)
-    return r.snake_headers(df.withColumn("first_date", F.get(r.dates_in(r.file_name()), 0)))
+    df = r.read_by_header(spark, folder, schema.fieldNames(), glob)
+    return r.snake_headers(df.withColumn("first_date", F.get(r.dates_in(r.last_part(F.col(r.FILE))), 0)).drop(r.FILE))

@@ -12,7 +12,7 @@ from weekmart.operators.quality import unmapped
 from weekmart.plans.analysis import ReportSpec, several_grains
 from weekmart.plans.conform import Dictionaries
 from weekmart.plans.sellin import compare
-from weekmart.session import materialize
+from weekmart.session import staged
 
 
 @dataclass(frozen=True)
@@ -37,12 +37,12 @@ def run_model(
 ) -> dict[str, DataFrame]:
     """History, one report per grain, the comparison with sell-in, and the unmapped keys.
 
-    The history feeds all reports and is checkpointed once.
+    Conformed rows and merged history feed several results each, so they are staged as Parquet, of which each reads its columns.
     """
-    fact = materialize(model.conform(raw, maps, calendar))
+    fact = staged(model.conform(raw, maps, calendar), "fact")
     history = fact.select(*model.columns)
     if base is not None:
-        history = materialize(replace_weeks(base, history, model.columns))
+        history = staged(replace_weeks(base, history, model.columns), "history")
     out = {"history": history}
     out |= several_grains(history, model.grains, calendar, model.spec)
     if sellin is not None:

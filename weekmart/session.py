@@ -6,9 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 300_000
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -65,11 +63,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def checked_broadcast(keys: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A narrow key table, broadcast if it has at most ``limit`` rows.
+def staged(keys: DataFrame, label: str = "keys") -> DataFrame:
+    """A narrow key table, written to the shared folder and read again.
 
-    The keys are checkpointed and counted, so the decision rests on their real number. A longer
-    table is returned without a hint: Spark then shuffles both sides and splits hot keys.
+    The planner then knows its size in bytes and broadcasts it only below Spark's own threshold; the
+    table it was taken from is not read a second time by the plan that uses the keys.
     """
-    rows = materialize(keys)
-    return F.broadcast(rows) if rows.limit(limit + 1).count() <= limit else rows
+    path = staging_path(keys.sparkSession, label)
+    keys.write.parquet(path)
+    return keys.sparkSession.read.schema(keys.schema).parquet(path)

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import re
+import csv
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +11,14 @@ from pyspark.sql.types import StructType
 
 from weekmart.functions.clean import to_number
 from weekmart.operators.history import stack
-from weekmart.session import BROADCAST_ROWS
+from weekmart.session import staged
 from weekmart.sources.schemas import snake, text
 
 # the positions Windows-1252 fills with characters and Latin-1 with control codes
 WINDOWS_BYTES = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
 LATIN_CONTROLS = "".join(map(chr, WINDOWS_BYTES))
 WINDOWS_CHARACTERS = bytes(WINDOWS_BYTES).decode("cp1252")
+FILE = "_file"
 DAY = r"(\d{4}-\d{2}-\d{2})"
 DAY_MONTH_YEAR = r"(\d{2} (?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) \d{4})"
 
@@ -75,8 +75,8 @@ def read_sections(spark: SparkSession, first: str, others: Sequence[str], schema
 
 
 def read_weekly(spark: SparkSession, path, schema: StructType) -> DataFrame:
-    """National weekly report: ids stay text, week and pounds renamed."""
-    raw = snake_headers(read_delimited(spark, path, schema))
+    """National weekly report: columns by header name, ids stay text, week and pounds renamed."""
+    raw = snake_headers(read_by_header(spark, path, schema.fieldNames()).drop(FILE))
     raw = raw.withColumnsRenamed({"year_week": "calendar_week", "lb_current": "lbs"})
     return raw.withColumns({"calendar_week": F.col("calendar_week").try_cast("int"), "lbs": to_number(F.col("lbs"))})
 
@@ -115,55 +115,86 @@ def with_file_date(df: DataFrame, name: str, pattern: str = DAY, fmt: str = "yyy
     return df.withColumn(name, date_in(file_path(), pattern, fmt))
 
 
-def file_headers(spark: SparkSession, path: str | Sequence[str], name_glob: str | None = None) -> dict[str, list[str]]:
-    """Header line of every file below a path.
+def plain_path(path: Column) -> Column:
+    """Path in one spelling, whether listed or taken from a row's metadata."""
+    return F.replace(F.regexp_replace(path, r"^file:/+", "/"), F.lit("%20"), F.lit(" "))
+
+
+def last_part(path: Column) -> Column:
+    """The file name at the end of a path."""
+    return F.element_at(F.split(path, "/"), -1)
+
 
-    The listing reads no content, and a header read stops at the first line, so this touches a few
-    bytes per file; the reads run side by side.
+def lines_with_header(spark: SparkSession, path: str | Sequence[str], name_glob: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Lines below a path (FILE, value), and each file's header line (FILE, header), found in one pass over the files.
+
+    The headers are a staged table of one row per file; no file is listed or opened by the driver.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = spark.read.option("recursiveFileLookup", "true")
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
-    listing = reader.load(path if isinstance(path, str) else list(path)).select("path")
-    paths = sorted(row.path for row in listing.toLocalIterator())
-    with ThreadPoolExecutor(8) as pool:
-        headers = pool.map(lambda p: spark.read.option("header", "true").csv(p).columns, paths)
-        return dict(zip(paths, headers))
+    every = reader.text(path if isinstance(path, str) else list(path)).select(
+        plain_path(F.col("_metadata.file_path")).alias(FILE), F.col("_metadata.file_block_start").alias("_start"), "value")
+    numbered = every.filter("_start = 0").select(FILE, "value", F.monotonically_increasing_id().alias("_at"))
+    first = F.ltrim(F.min_by("value", "_at"), F.lit("\ufeff"))
+    headers = staged(numbered.groupBy(FILE).agg(first.alias("header")), "headers")
+    return every.filter("value <> ''").select(FILE, "value"), headers
 
 
-def read_shared(spark: SparkSession, path, schema: StructType, day: str = "week_beginning_date") -> DataFrame:
-    """Deliveries whose last header holds the week date, e.g. ``2024-03-24 11``.
+def positions(count: int) -> StructType:
+    return text(*[f"c{k}" for k in range(count)])
 
-    All files are read in one pass as positional text. The date of each file comes from its header;
-    that table has one row per file of the listing and is broadcast while the listing is short.
-    """
-    first = schema.fieldNames()[0]
-    headers = file_headers(spark, path)
-    dates = [(file, re.search(DAY, columns[-1]).group(1)) for file, columns in headers.items()]
-    by_file = spark.createDataFrame(dates, "_file string, _day string")
-    by_file = by_file.select(plain_path(F.col("_file")).alias("_file"), F.col("_day").cast("date").alias(day))
-    if len(dates) <= BROADCAST_ROWS:
-        by_file = F.broadcast(by_file)
-    raw = read_delimited(spark, path, schema, header=False).withColumn("_file", plain_path(F.col("_metadata.file_path")))
-    rows = raw.filter(~F.col(f"`{first}`").eqNullSafe(F.lit(first)))
-    return snake_headers(rows.join(by_file, "_file", "left").drop("_file"))
 
+def read_by_header(
+    spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, name_glob: str | None = None, lower: bool = False,
+) -> DataFrame:
+    """Comma-separated files by the names in each file's own header, as text, with the path in FILE.
 
-def plain_path(path: Column) -> Column:
-    """Path in one spelling, whether listed or taken from a row's metadata."""
-    return F.replace(F.regexp_replace(path, r"^file:/+", "/"), F.lit("%20"), F.lit(" "))
+    Files may order their columns differently and have further ones. With ``columns`` a file that lacks one is an error;
+    without, all names of all files are returned (in lower case on request), null where a file lacks them. The driver
+    sees the different header lines, not the files.
+    """
+    lines, headers = lines_with_header(spark, path, name_glob)
+    found = sorted(row[0] for row in headers.select("header").distinct().collect())
+    layouts = [[c.lower() if lower else c for c in next(csv.reader([h]))] for h in found]
+    for header, layout in zip(found, layouts):
+        missing = [c for c in columns or () if c not in layout]
+        if missing:
+            raise ValueError(f"columns {missing} are missing in the header {header!r}")
+    names = list(columns or dict.fromkeys(c for layout in layouts for c in layout))
+    number = F.array_position(F.array(*map(F.lit, found)), F.col("header")) if found else F.lit(0)
+    rows = lines.join(headers.withColumn("_layout", number), FILE).filter("ltrim('\ufeff', value) <> header")
+    parsed = rows.select(FILE, "_layout", F.from_csv("value", positions(max(map(len, layouts), default=1)).simpleString()[7:-1].replace(":", " ")).alias("_cells"))
+    def cell(name: str) -> Column:
+        here = [(k, layout.index(name)) for k, layout in enumerate(layouts, 1) if name in layout]
+        return F.coalesce(*[F.when(F.col("_layout") == k, F.col(f"_cells.c{at}")) for k, at in here], F.lit(None).cast("string"))
+    return parsed.select(*[cell(c).alias(c) for c in names], FILE)
 
 
-def read_matching(spark: SparkSession, folder: str, token: str, repairs: Mapping[str, str] | None = None) -> DataFrame:
-    """All delimited files whose name contains a token, headers lower-cased, stacked by name.
+def read_shared(spark: SparkSession, path, schema: StructType, day: str = "week_beginning_date") -> DataFrame:
+    """Deliveries whose last header holds the week date, e.g. ``2024-03-24 11``.
 
-    Files are grouped by header line, so the plan grows with the number of layouts, not of files.
+    A file whose header has other names before that, or no date, is an error that names the file.
     """
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for path, columns in file_headers(spark, folder, f"*{token}*").items():
-        layouts.setdefault(tuple(c.lower() for c in columns), []).append(path)
-    frames = [read_delimited(spark, paths, text(*columns)) for columns, paths in layouts.items()]
-    out = stack(*frames)
+    lines, headers = lines_with_header(spark, path)
+    names = schema.fieldNames()
+    cells = positions(len(names)).simpleString()[7:-1].replace(":", " ")
+    parsed = headers.withColumn("_head", F.from_csv("header", cells))
+    expected = F.lit(True)
+    for k, name in enumerate(names[:-1]):
+        expected = expected & F.col(f"_head.c{k}").eqNullSafe(F.lit(name))
+    found = F.when(expected, date_in(F.col(f"_head.c{len(names) - 1}")))
+    wrong = F.raise_error(F.concat(F.lit("no week date or other columns in the header of "), F.col(FILE))).cast("date")
+    dated = staged(parsed.select(FILE, "header", F.coalesce(found, wrong).alias(day)), "dates")
+    rows = lines.join(dated, FILE).filter("ltrim('\ufeff', value) <> header")
+    cell = F.col("_cells")
+    return snake_headers(rows.select(F.from_csv("value", cells).alias("_cells"), day).select(
+        *[cell[f"c{k}"].alias(name) for k, name in enumerate(names)], day))
+
+
+def read_matching(spark: SparkSession, folder: str, token: str, repairs: Mapping[str, str] | None = None) -> DataFrame:
+    """All delimited files whose name contains a token, headers lower-cased, stacked by name."""
+    out = read_by_header(spark, folder, name_glob=f"*{token}*", lower=True).drop(FILE)
     if repairs and "consolidated category" in out.columns:
         out = out.replace(dict(repairs), subset=["consolidated category"])
     return out

@@ -26,12 +26,13 @@ REGIONAL_US = text(
 NATIONAL_US_WEEKLY = text(
     "Region", "Area", "Market", "Pyramid Segment", "Business Unit", "Merch Category", "PIM Group",
     "MFG #", "PIM #", "ASYS #", "Product Description", "Pack Size", "Vendor #", "Vendor", "Brand",
-    "Brand Type", "Year Week", "LB Current")
+    "Brand Type", "Attribute 1", "Attribute 2", "Attribute 3", "Attribute 4", "Attribute 5", "Year Week", "LB Current")
 NATIONAL_US_SHARED = text(
     "Area", "Market", "Pyramid Segment", "ASYS Code", "ASYS", "GTIN", "MFG Number", "LBS")
 NATIONAL_US_REPORT = text(
-    "Division", "Account Number", "Account Name", "Address", "City", "State", "Postal Code",
-    "Customer Class", "Segment", "Account Type", "Vendor", "Manufacturer", "Brand", "Sub-Category",
+    "Division", "Sales Manager", "Sales Rep Number", "Sales Rep", "Account Number", "Account Name", "Address", "City", "State",
+    "Postal Code", "Customer Class", "Segment", "Account Type", "Vendor", "Manufacturer", "Brand", "Brand Type",
+    "Product Category", "Sub-Category",
     "GTIN", "MFR SKU", "Dist SKU", "Item Name", "Pack", "Size", "Unit Type", "Qty", "Weight")
 FAIR_SHARE_KEYS = ("Merch Category", "Region", "Area", "Market", "Pyramid Segment", "Brand Type", "PIM Group")
 FAIR_SHARE_MEASURES = (

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from weekmart.functions.clean import lower_headers
 from weekmart.operators.history import missing_weeks, next_missing_weeks
 from weekmart.operators.series import last_weeks
+from weekmart.session import staged
+
+RECORD = "_loaded_weeks"  # a name that readers of the table skip
 
 
 def rebalanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -49,16 +52,41 @@ def read_or_empty(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
         return spark.createDataFrame([], like.schema)
 
 
+def loaded_weeks(df: DataFrame, path: str, week: str) -> DataFrame:
+    """The weeks whose load was completed, as recorded beside the table's data.
+
+    A table without a record (one that another load mode wrote) is taken as complete, and its weeks are recorded.
+    """
+    record = f"{path.rstrip('/')}/{RECORD}"
+    like = df.select(week)
+    try:
+        return df.sparkSession.read.schema(like.schema).parquet(record)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+    read_or_empty(df.sparkSession, path, df).select(week).distinct().write.mode("append").parquet(record)
+    return df.sparkSession.read.schema(like.schema).parquet(record)
+
+
+def _load_weeks(df: DataFrame, path: str, week: str) -> None:
+    """Write whole weeks over whatever a failed load left of them, then record them as complete."""
+    weeks = staged(df.select(week).distinct(), "weeks")
+    if not weeks.isEmpty():
+        write_partitions(df, path, [week])
+        weeks.write.mode("append").parquet(f"{path.rstrip('/')}/{RECORD}")
+
+
 def append_missing_weeks(df: DataFrame, path: str, week: str) -> None:
-    """Append only the weeks the table does not have yet; running it again adds nothing."""
-    target = read_or_empty(df.sparkSession, path, df)
-    rebalanced(missing_weeks(target, df, week), [week]).write.mode("append").partitionBy(week).parquet(path)
+    """Add only the weeks the table does not have yet; running it again adds nothing.
+
+    Rows without a week are one week of their own. A week that a failed load left in part is written anew.
+    """
+    _load_weeks(missing_weeks(loaded_weeks(df, path, week), df, week), path, week)
 
 
 def backfill_weeks(df: DataFrame, path: str, week: str, limit: int = 10) -> None:
-    """Append the first ``limit`` missing weeks per run."""
-    target = read_or_empty(df.sparkSession, path, df)
-    rebalanced(next_missing_weeks(target, df, limit, week), [week]).write.mode("append").partitionBy(week).parquet(path)
+    """Add the first ``limit`` missing weeks per run."""
+    _load_weeks(next_missing_weeks(loaded_weeks(df, path, week), df, limit, week), path, week)
 
 
 def replace_latest_weeks(df: DataFrame, path: str, keys: Sequence[str], week: str, n: int) -> None:
