@@ -286,6 +286,16 @@ def prepare_sellin(spark, sf):
     return p.analyze_sellin(weekly, calendar(spark), BEGIN, END, prefix="")
 
 
+@query("b9_unmatched_dates", with_ctes(["lines"], f"""
+dated AS (
+  SELECT CAST({WEEK_END} AS DATE) AS calendar_week, {NAMED} AS category_desc, sum(l_quantity) AS lbs
+  FROM lines JOIN part ON l_partkey = p_partkey GROUP BY ALL)""", select="""
+SELECT CAST(calendar_week + 2 AS DATE) AS calendar_week, count(*) AS rows, sum(lbs) AS lbs FROM dated
+WHERE calendar_week < DATE '1995-04-01' GROUP BY 1"""))
+def unmatched_dates(spark, sf):
+    return p.unmatched_dates(dated_sellin(spark, sf), calendar(spark))
+
+
 @query("b9_prepare_sellin_week_zero", with_ctes(["lines", "calendar"], f"""
 dated AS (
   SELECT {WEEK_END} AS calendar_week, {NAMED} AS category_desc, sum(l_quantity) AS lbs

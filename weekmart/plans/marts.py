@@ -11,9 +11,8 @@ from weekmart.functions import clean as c
 from weekmart.functions import dates as d
 from weekmart.operators import mapping as m
 from weekmart.operators.history import first_file_wins, stack
-from weekmart.operators.metrics import keep_large
 from weekmart.plans.sellin import Link, star_extract
-from weekmart.session import materialize
+from weekmart.session import staged
 
 COMPILED = (
     "city", "region", "segment_l1", "segment_l2", "service_type", "consolidated_category", "distributor", "lbs",
@@ -82,14 +81,17 @@ def fair_share(
     """Share files of several period lengths in one row per key, large categories only.
 
     Measures arrive as text with commas and dashes. Previous and current opportunity keep separate
-    columns. The combined table is read twice, for the totals and for the rows, hence checkpointed.
+    columns. ``threshold_measure`` is a measure of one period (``lb_category_current_52wk``): the totals
+    that decide come from that period's file alone, and their keys are staged.
     """
     cleaned = {
         period: frame.withColumns({x: c.dash_number(F.col(x), keep_sign) for x in measures})
         for period, frame in periods.items()
     }
-    combined = materialize(m.combine_periods(cleaned, keys, measures))
-    return keep_large(combined, threshold_key, threshold_measure, threshold)
+    columns = {f"{x}_{period}wk": (frame, x) for period, frame in cleaned.items() for x in measures}
+    frame, measure = columns[threshold_measure]
+    totals = frame.groupBy(threshold_key).agg(F.sum(measure).alias("_total")).filter(F.col("_total") > threshold)
+    return m.combine_periods(cleaned, keys, measures).join(staged(totals.select(threshold_key)), threshold_key, "left_semi")
 
 
 def fill_rate(

@@ -77,6 +77,12 @@ def sellin_extract(
     )
 
 
+def unmatched_dates(df: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Rows and volume by week end date of the sell-in that ``prepare_sellin`` drops, as no week ends on that date."""
+    dated = cal.attach_week(df, calendar, "calendar_week", "week_ending_sun").filter(F.col(WEEK).isNull())
+    return dated.groupBy("calendar_week").agg(F.count("*").alias("rows"), F.coalesce(F.sum("actual_volume_lbs"), F.lit(0.0)).alias("lbs"))
+
+
 def prepare_sellin(
     df: DataFrame, calendar: DataFrame, keep_unmatched: bool = False,
 ) -> DataFrame:
