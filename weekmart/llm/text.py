@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import weekmart
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 PIECE_BYTES = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15
