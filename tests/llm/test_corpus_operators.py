@@ -221,16 +221,39 @@ def test_languages_of_held_out_documents(spark):
 
 def test_odd_texts_have_a_defined_language(spark):
     train = spark.createDataFrame([("the cat sat on the mat", "en"), ("der hund und die katze", "de"), (None, "fr"), ("le chat", None)], "text string, lang string")
-    models = language.train(train)
-    assert sorted(models) == ["de", "en"]
+    models = list(language.train(train))
+    assert len(models) == 1 and sorted(models[0].models) == ["de", "en"]
     docs = odd_docs(spark)
     told = language.identify(docs, models).collect()
     assert all((r["prediction"]["lang"] == "und") == (not any(c.isalpha() for c in r["text"] or "")) for r in told)
     assert told[0]["prediction"]["score"] == 0 and told[0]["prediction"]["entropy"] is None
     assert language.identify(spark.createDataFrame([("Die Katze und der Hund",)], "text string"), models).first()["prediction"]["lang"] == "de"
-    none = language.train(train.limit(0))
-    assert none == {} and language.identify(docs, none).first()["prediction"]["lang"] == "und"
+    none = list(language.train(train.limit(0)))
+    assert not none[0].models and language.identify(docs, none).first()["prediction"]["lang"] == "und"
     assert language.identify(docs.limit(0), models).count() == 0
+    silent = list(language.train(spark.createDataFrame([("12 34", "xx")], "text string, lang string")))
+    assert not silent[0].models and language.identify(docs, silent).first()["prediction"]["lang"] == "und"
+
+
+def test_blocks_of_models_give_what_whole_models_give(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    whole, cut = list(language.train(docs)), list(language.train(docs, block_grams=2000))
+    assert len(whole) == 1 and len(cut) > 4
+    assert [b.high for b in cut[:-1]] == [b.low for b in cut[1:]] and (cut[0].low, cut[-1].high) == (0, language.SYMBOLS)
+    grams = language.gram_counts(docs).toArrow().to_pandas()
+    for name, part in grams.groupby("lang"):
+        plain = language.kneser_ney(part["gram"].to_numpy().view(np.uint64), part["n"].to_numpy())
+        for block in cut:
+            keys = block.models[name].tables[-1].grams
+            assert np.allclose(language.log_probabilities(block.models[name], keys), language.log_probabilities(plain, keys), rtol=1e-12)
+        assert sum(len(block.models[name].tables[-1].grams) for block in cut) == len(part)
+    one, many = (
+        {r["doc_id"]: r["prediction"] for r in language.identify(docs, m).drop("text").collect()} for m in (whole, cut))
+    assert one.keys() == many.keys()
+    for id, told in one.items():
+        assert (told["lang"], told["symbols"]) == (many[id]["lang"], many[id]["symbols"])
+        assert told["entropy"] is None or told["entropy"] == pytest.approx(many[id]["entropy"], rel=1e-9)
+        assert told["score"] == pytest.approx(many[id]["score"], rel=1e-9)
 
 
 # --- shards --------------------------------------------------------------------------------------

@@ -4,27 +4,35 @@ Texts are lower-cased and cut into words of letters. Each letter of a word, and
 ORDER - 1 symbols before it (the word's start is a symbol of its own). Four 16-bit symbols make one 64-bit key, so a
 model is a set of sorted arrays of packed n-grams. The language with the lowest cross-entropy a symbol is chosen; a text
 whose cross-entropy exceeds what nearly all training texts of that language have is flagged as rejected.
+
+No n-gram is left out. All n-grams and contexts that the probability of a symbol is made of, single symbols aside, hold
+the symbol before it. So the models are cut into blocks by that symbol, of about BLOCK_GRAMS n-grams each; more text
+gives more blocks, each broadcast by itself, and the sums of a text go from block to block in one stage.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekmart.llm.text import prepare, column_udf, distinct_spans, distinct_values, pieces, spread, utf8
+from weekmart.llm.text import prepare, distinct_spans, distinct_values, pieces, spread, utf8
+from weekmart.session import staged
 
 ORDER = 4
 START, END = 1, 2
-MODEL_GRAMS = 1_000_000
+SYMBOLS = 1 << 16
+BLOCK_GRAMS = 1_000_000
 REJECT_SHARE = 0.995
 EVIDENCE = 50
 UNDETERMINED = "und"
 PREDICTION = "struct<lang: string, entropy: double, score: double, symbols: bigint>"
+SUMS = "array<double>"
+STATE = "_language_sums"
 _letters: list[np.ndarray] = []
 
 
@@ -78,22 +86,53 @@ class LanguageModel(NamedTuple):
     unseen: float
 
 
-def kneser_ney(grams: np.ndarray, counts: np.ndarray) -> LanguageModel:
-    """The interpolated model of distinct ORDER-grams and their counts; lower orders count different left neighbours."""
+class Block(NamedTuple):
+    """The part of all models that serves symbols after one of ``low`` to ``high`` - 1."""
+
+    low: int
+    high: int
+    models: dict[str, LanguageModel]
+
+
+def discount(once: int, twice: int) -> float:
+    """The share of a count that is kept back for lower orders, from the n-grams counted once and twice."""
+    return once / (once + 2 * twice) if once and twice else 0.5
+
+
+def order_table(grams: np.ndarray, counts: np.ndarray, less: float) -> Table:
+    """One order's table from sorted n-grams, their counts and the discount."""
+    if not len(grams):
+        return Table(*(np.zeros(0, kind) for kind in (np.uint64, float, np.uint64, float)))
+    contexts, first = np.unique(grams >> np.uint64(16), return_index=True)
+    totals = np.add.reduceat(counts, first)
+    kinds = np.diff(np.append(first, len(grams)))
+    return Table(grams, np.maximum(counts - less, 0) / np.repeat(totals, kinds), contexts, np.minimum(less, 1) * kinds / totals)
+
+
+def lower_order(grams: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of ``size`` - 1 symbols that end those of ``size``, and how many left neighbours each has."""
+    grams, counts = np.unique(grams & np.uint64((1 << (16 * (size - 1))) - 1), return_counts=True)
+    return grams, counts.astype(float)
+
+
+def kneser_ney(
+    grams: np.ndarray, counts: np.ndarray, discounts: Sequence[float] | None = None, letters: tuple[np.ndarray, np.ndarray] | None = None,
+) -> LanguageModel:
+    """The interpolated model of distinct ORDER-grams and their counts; lower orders count different left neighbours.
+
+    A block of a larger model takes that model's ``discounts`` (from order 1) and its ``letters``, the sorted symbols
+    and the number of their left neighbours.
+    """
     order = np.argsort(grams)
     grams, counts = grams[order], counts[order].astype(float)
     tables = []
     for size in range(ORDER, 0, -1):
-        once, twice = int((counts == 1).sum()), int((counts == 2).sum())
-        discount = once / (once + 2 * twice) if once and twice else 0.5
-        contexts, first = np.unique(grams >> np.uint64(16), return_index=True)
-        totals = np.add.reduceat(counts, first)
-        kinds = np.diff(np.append(first, len(grams)))
-        each = np.repeat(totals, kinds)
-        tables.append(Table(grams, np.maximum(counts - discount, 0) / each, contexts, np.minimum(discount, 1) * kinds / totals))
+        if size == 1 and letters is not None:
+            grams, counts = letters
+        less = discounts[size - 1] if discounts is not None else discount(int((counts == 1).sum()), int((counts == 2).sum()))
+        tables.append(order_table(grams, counts, less))
         if size > 1:
-            grams, counts = np.unique(grams & np.uint64((1 << (16 * (size - 1))) - 1), return_counts=True)
-            counts = counts.astype(float)
+            grams, counts = lower_order(grams, size)
     return LanguageModel(tables[::-1], 1.0 / (len(grams) + 1))
 
 
@@ -101,6 +140,8 @@ def log_probabilities(model: LanguageModel, keys: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each key's last symbol after the ones before it."""
     value = np.full(len(keys), model.unseen)
     for size, table in enumerate(model.tables, 1):
+        if not len(table.grams):
+            continue
         part = keys & np.uint64((1 << (16 * size)) - 1) if size < 4 else keys
         at = np.minimum(np.searchsorted(table.grams, part), len(table.grams) - 1)
         share = np.where(table.grams[at] == part, table.shares[at], 0.0)
@@ -147,30 +188,54 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text", "lang").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", model_grams: int = MODEL_GRAMS) -> dict[str, LanguageModel]:
-    """A model of each language of ``docs``; rows with a null text or language are not used, other columns not read.
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", block_grams: int = BLOCK_GRAMS) -> Iterator[Block]:
+    """The models of all languages of ``docs`` in blocks; rows with a null text or language are not used, other columns not read.
 
-    Counts cover all rows. The models together keep at most ``model_grams`` n-grams, an equal part for each language, the
-    most frequent first: that bounds what is sent to the tasks. No rows give no models.
+    Counts and models cover all rows and all n-grams. A block holds the n-grams of neighbouring symbols, as many as
+    ``block_grams`` allow (one symbol at least); the driver holds one block at a time, beside at most SYMBOLS single
+    symbols a language. No rows, or none with a letter, give one block without languages.
     """
     rows = docs.select(docs[text].alias("text"), docs[lang].alias("lang")).where("text is not null and lang is not null")
-    counts = gram_counts(rows)
-    languages = max(1, rows.select("lang").distinct().count())
-    kept = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    table = counts.withColumn("place", F.row_number().over(kept)).where(F.col("place") <= model_grams // languages).select("lang", "gram", "n").toArrow()
-    names = np.array(table["lang"].to_pylist(), object)
-    grams, n = table["gram"].to_numpy().view(np.uint64), table["n"].to_numpy()
-    return {name: kneser_ney(grams[names == name], n[names == name]) for name in sorted(set(names))}
-
-
-def _opened(shared):
-    def opened():
-        names = sorted(shared.value)
-        models = [shared.value[n] for n in names]
-
-        def apply(column: pa.Array) -> pa.Array:
+    counts = staged(gram_counts(rows), "grams")
+    before = F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit(SYMBOLS - 1))
+    orders = [counts]
+    for size in range(ORDER - 1, 0, -1):
+        ending = F.col("gram").bitwiseAND(F.lit((1 << (16 * size)) - 1))
+        orders.append(orders[-1].select("lang", ending.alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("n")))
+    letters = orders[-1].toArrow()
+    names, symbols, n = np.array(letters["lang"].to_pylist(), object), letters["gram"].to_numpy().view(np.uint64), letters["n"].to_numpy().astype(float)
+    alphabet = {}
+    for name in sorted(set(names)):
+        at = np.flatnonzero(names == name)
+        at = at[np.argsort(symbols[at])]
+        alphabet[name] = (symbols[at], n[at])
+    discounts = {name: [0.5] * ORDER for name in alphabet}
+    for k, counted in enumerate(orders):
+        for r in counted.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).collect():
+            discounts[r["lang"]][ORDER - 1 - k] = discount(r["once"], r["twice"])
+    low, held, bounds = 0, 0, []
+    for r in counts.groupBy(before.alias("symbol")).count().orderBy("symbol").collect():
+        if held and held + r["count"] > block_grams:
+            bounds.append((low, r["symbol"]))
+            low, held = r["symbol"], 0
+        held += r["count"]
+    for low, high in [*bounds, (low, SYMBOLS)]:
+        part = counts.where(before.between(low, high - 1)).toArrow()
+        names, grams, n = np.array(part["lang"].to_pylist(), object), part["gram"].to_numpy().view(np.uint64), part["n"].to_numpy()
+        yield Block(low, high, {
+            name: kneser_ney(grams[names == name], n[names == name], discounts[name], alphabet[name]) for name in alphabet})
+
+
+def _scan_udf(shared, last: bool):
+    """Adds a block's logarithms to the sums (text by language) so far; the last block gives the predictions."""
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        low, high, models = shared.value
+        names = sorted(models)
+        for column, state in batches:
             data, offsets = utf8(column)
-            sums, symbols = np.zeros((len(column), len(models))), np.zeros(len(column), np.int64)
+            sums, symbols = np.zeros((len(column), len(names))), np.zeros(len(column), np.int64)
+            if len(names) and len(column) and not state.null_count:
+                sums += state.flatten().to_numpy().reshape(sums.shape)
             for a, b in pieces(offsets):
                 points, starts, ends, text_of = words_of(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
                 if not len(starts):
@@ -180,12 +245,17 @@ def _opened(shared):
                 unique, places = distinct_values(keys)
                 lengths = np.diff(np.append(begins, len(keys)))
                 symbols[a:b] = np.bincount(text_of, lengths[inverse], b - a).astype(np.int64)
-                for m, model in enumerate(models):
-                    word = np.add.reduceat(log_probabilities(model, keys[unique])[places], begins)
-                    sums[a:b, m] = np.bincount(text_of, word[inverse], b - a)
-            return predictions(names, sums, symbols)
-        return apply
-    return opened
+                unique = keys[unique]
+                before = (unique >> np.uint64(16)) & np.uint64(SYMBOLS - 1)
+                own = (before >= low) & (before < high)
+                for m, name in enumerate(names):
+                    logs = np.zeros(len(unique))
+                    logs[own] = log_probabilities(models[name], unique[own])
+                    word = np.add.reduceat(logs[places], begins)
+                    sums[a:b, m] += np.bincount(text_of, word[inverse], b - a)
+            yield predictions(names, sums, symbols) if last else pa.array(list(sums), pa.list_(pa.float64()))
+
+    return F.arrow_udf(run, PREDICTION if last else SUMS).asNondeterministic()
 
 
 def predictions(names: list[str], sums: np.ndarray, symbols: np.ndarray) -> pa.StructArray:
@@ -201,15 +271,19 @@ def predictions(names: list[str], sums: np.ndarray, symbols: np.ndarray) -> pa.S
         [pa.array(lang, pa.string()), pa.array(lowest, mask=~told), pa.array(score), pa.array(symbols)], ["lang", "entropy", "score", "symbols"])
 
 
-def identify(docs: DataFrame, models: dict[str, LanguageModel], text: str = "text", name: str = "prediction") -> DataFrame:
+def identify(docs: DataFrame, blocks: Iterable[Block], text: str = "text", name: str = "prediction") -> DataFrame:
     """``docs`` with a struct: lang, entropy (nats a symbol), score (0 to 1) and symbols counted.
 
-    A null text, one without a letter, or no models at all give ``und``, score 0 and a null entropy. Ties go to the
-    language first in order. Repeated rows get equal results; a column of that name is replaced.
+    A null text, one without a letter, or models without a language give ``und``, score 0 and a null entropy. Ties go to
+    the language first in order. Repeated rows get equal results; a column of that name is replaced.
     """
     prepare(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    return docs.withColumn(name, column_udf(PREDICTION, _opened(shared))(docs[text]))
+    shared = [docs.sparkSession.sparkContext.broadcast(block) for block in blocks]
+    found = docs.select("*", docs[text].alias(f"{STATE}_text"), F.lit(None).cast(SUMS).alias(STATE))
+    for k, block in enumerate(shared):
+        last = k == len(shared) - 1
+        found = found.withColumn(name if last else STATE, _scan_udf(block, last)(F.col(f"{STATE}_text"), F.col(STATE)))
+    return found.drop(f"{STATE}_text", STATE)
 
 
 def rejection_limits(predicted: DataFrame, share: float = REJECT_SHARE) -> DataFrame:
