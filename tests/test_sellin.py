@@ -95,7 +95,7 @@ def test_compiled_regions(spark, rows):
         ("ON", "T", 2.0, dt.date(2020, 3, 14)), ("TX", "R", 1.0, dt.date(2020, 3, 14))]
 
 
-def test_whole_model(spark, dated, calendar, rows):
+def test_whole_model(spark, dated, calendar, rows, tmp_path):
     labels = "segment_l1 string, segment_l2 string, restaurants string, service_type string"
     segments = spark.createDataFrame([("S", "g", "u", "Casual", "All Other", "R", "T")], f"sector string, segment string, subsegment string, {labels}")
     raw = spark.createDataFrame([("S", "g", "u", "POT", dt.date(2020, 3, 14), 5.0), ("Q", "g", "u", "x", dt.date(2020, 3, 21), 6.0)],
@@ -105,9 +105,26 @@ def test_whole_model(spark, dated, calendar, rows):
                                  f"segment_l1 string, segment_l2 string, {sellin.CATEGORY} string, {WEEK} int, lbs double")
     model = models.DistributorModel(conform_canada_one, columns, {"region": ["segment_l1", "segment_l2"]}, ReportSpec(label="CA One"),
                                     ("sector", "segment", "subsegment"))
-    out = models.run_model(model, raw, Dictionaries(segments), calendar, base, sellin.prepare_sellin(dated, calendar))
+    day = dt.date(2020, 4, 1)
+    out = models.run_model(model, raw, Dictionaries(segments), calendar, base, sellin.prepare_sellin(dated, calendar), day)
     assert rows(out["history"], WEEK, "lbs") == [(202010, 3.0), (202011, 5.0), (202012, 6.0)]
     assert rows(out["region"], "segment_l2", WEEK, "lbs", "lbs_lag_1") == [
         ("Chain", 202010, 3.0, 0.0), ("Chain", 202011, 5.0, 3.0), ("Chain", 202012, 0.0, 5.0)]
-    assert rows(out["unmapped_segments"]) == [("Q", "g", "u", 6.0)]
+    assert rows(out["unmapped_segments"]) == [("Q", "g", "u", 6.0, "CA One", day)]
+    assert rows(out["totals"]) == [("after", 2, 11.0), ("before", 2, 11.0)]
     assert out["sellin_and_sellout"].count() == 6
+    for _ in range(2):  # the second run of a day replaces the first
+        models.write_unmapped(out, str(tmp_path))
+    written = spark.read.parquet(f"{tmp_path}/unmapped_segments")
+    assert rows(written, "sector", "segment", "subsegment", "lbs", "source", "report_date") == [("Q", "g", "u", 6.0, "CA One", day)]
+
+
+def test_model_of_an_empty_delivery(spark, calendar, rows):
+    labels = "segment_l1 string, segment_l2 string, restaurants string, service_type string"
+    segments = spark.createDataFrame([], f"sector string, segment string, subsegment string, {labels}")
+    raw = spark.createDataFrame([], "sector string, segment string, subsegment string, category string, period_end date, lbs double")
+    model = models.DistributorModel(conform_canada_one, ("segment_l1", WEEK, "lbs"), {"region": ["segment_l1"]}, ReportSpec(label="CA One"),
+                                    ("sector", "segment", "subsegment"))
+    out = models.run_model(model, raw, Dictionaries(segments), calendar)
+    assert rows(out["totals"]) == [("after", 0, 0.0), ("before", 0, 0.0)]
+    assert out["history"].count() == out["region"].count() == out["unmapped_segments"].count() == 0

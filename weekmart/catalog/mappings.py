@@ -487,18 +487,21 @@ def weekly_segments(spark, sf):
     return doubled(segment.select(F.lower("seg").alias("pyramid_segment"), *[v.alias(k) for k, v in segment_labels(F.col("seg")).items()]))
 
 
-@query("t4_conform_national_weekly", with_ctes(["lines"], RAW, select=f"""
+WEEKLY = f"""
 SELECT l_orderkey AS order_id, l_linenumber AS line, market_segment AS pyramid_segment, 'Sku' || l_partkey AS maker_sku_id,
   n_name AS market, CASE WHEN state_name IS NULL THEN 'None' ELSE r.state END AS state, l_quantity AS lbs, {label_sql('seg')},
   {PRODUCT_SQL}, sun_week AS calendar_week_year, coalesce(state_name, 'None') AS state_name, 'NA' AS city
-FROM (SELECT *, nullif(market_segment, 'FURNITURE') AS seg FROM raw) r LEFT JOIN states ON states.state = r.state"""))
+FROM (SELECT *, nullif(market_segment, 'FURNITURE') AS seg FROM raw) r LEFT JOIN states ON states.state = r.state"""
+
+
+@query("t4_conform_national_weekly", with_ctes(["lines"], RAW, select=WEEKLY))
 def conform_national_weekly(spark, sf):
     maps = p.Dictionaries(weekly_segments(spark, sf), product_map(spark, sf, "maker_sku_id"))
     return p.conform_national_weekly(weekly_raw(spark, sf), maps, short_calendar(spark))
 
 
 CITIES = ("NATION_1", "NATION_2")
-OLD_CANADA = with_ctes(["lines", "calendar"], RAW, select=f"""
+OLD_CANADA = f"""
 SELECT l_orderkey AS order_id, l_linenumber AS line,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'MEU' WHEN '2-HIGH' THEN 'MEU' ELSE o_orderpriority END AS sector,
   market_segment AS segment, o_orderstatus AS subsegment, n_name AS province, {PROVINCE_SQL} AS province_clean,
@@ -506,7 +509,11 @@ SELECT l_orderkey AS order_id, l_linenumber AS line,
   l_quantity AS lbs, {{category}} AS consolidated_category, {{fiscal}}, {label_sql('seg').replace('lower(seg) AS restaurants_sub, ', '')},
   calendar_week_year
 FROM (SELECT *, CASE WHEN market_segment IS DISTINCT FROM 'FURNITURE' THEN coalesce(market_segment, 'NONE') END AS seg FROM raw)
-LEFT JOIN calendar c ON c.fiscal_week = year(order_date) * 100 + (dayofyear(order_date) - 1) // 7 + 1""")
+LEFT JOIN calendar c ON c.fiscal_week = year(order_date) * 100 + (dayofyear(order_date) - 1) // 7 + 1"""
+CANADA_ONE = OLD_CANADA.replace("{category}", "p_type").replace(
+    "{fiscal}", "year(order_date) * 100 + (dayofyear(order_date) - 1) // 7 + 1 AS fiscal_week")
+CANADA_TWO = OLD_CANADA.replace("{category}", "'Prepared Foods'").replace(
+    "{fiscal}", "year(order_date) AS fiscal_year, (dayofyear(order_date) - 1) // 7 + 1 AS fiscal_week")
 
 
 def old_canada_raw(spark, sf):
@@ -530,17 +537,24 @@ def old_canada_segments(spark, sf):
     return doubled(rows.withColumns({k: labels[k] for k in p.CANADA_LABELS}).drop("seg"))
 
 
-@query("t5_conform_canada_one_file", OLD_CANADA.replace("{category}", "p_type").replace(
-    "{fiscal}", "year(order_date) * 100 + (dayofyear(order_date) - 1) // 7 + 1 AS fiscal_week"))
-def conform_canada_one_file(spark, sf):
+def canada_one_raw(spark, sf):
     raw = old_canada_raw(spark, sf).withColumn("fiscal_week", d.year_week(F.col("fiscal_year"), F.col("fiscal_week"))).drop("fiscal_year")
-    maps = p.Dictionaries(segments=old_canada_segments(spark, sf), provinces=provinces(spark, sf))
-    return p.conform_canada_one_file(raw.withColumnRenamed("lbs", "volume_lbs"), maps, calendar(spark), CITIES)
+    return raw.withColumnRenamed("lbs", "volume_lbs")
+
+
+def canada_two_raw(spark, sf):
+    return old_canada_raw(spark, sf).withColumnsRenamed({"lbs": "total_lbs", "category": "product_category"})
+
+
+def old_canada_maps(spark, sf):
+    return p.Dictionaries(segments=old_canada_segments(spark, sf), provinces=provinces(spark, sf))
+
+
+@query("t5_conform_canada_one_file", with_ctes(["lines", "calendar"], RAW, select=CANADA_ONE))
+def conform_canada_one_file(spark, sf):
+    return p.conform_canada_one_file(canada_one_raw(spark, sf), old_canada_maps(spark, sf), calendar(spark), CITIES)
 
 
-@query("t6_conform_canada_two_file", OLD_CANADA.replace("{category}", "'Prepared Foods'").replace(
-    "{fiscal}", "year(order_date) AS fiscal_year, (dayofyear(order_date) - 1) // 7 + 1 AS fiscal_week"))
+@query("t6_conform_canada_two_file", with_ctes(["lines", "calendar"], RAW, select=CANADA_TWO))
 def conform_canada_two_file(spark, sf):
-    raw = old_canada_raw(spark, sf).withColumnsRenamed({"lbs": "total_lbs", "category": "product_category"})
-    maps = p.Dictionaries(segments=old_canada_segments(spark, sf), provinces=provinces(spark, sf))
-    return p.conform_canada_two_file(raw, maps, calendar(spark), CITIES)
+    return p.conform_canada_two_file(canada_two_raw(spark, sf), old_canada_maps(spark, sf), calendar(spark), CITIES)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekmart.operators.metrics import describe
@@ -19,7 +20,7 @@ def unmapped(df: DataFrame, label: str, keys: Sequence[str], value: str = "lbs")
 
 def unmapped_report(df: DataFrame, label: str, keys: Sequence[str], source: str, as_of, value: str = "lbs") -> DataFrame:
     """The unmapped rows with the source name and report date, ready to be written."""
-    return unmapped(df, label, keys, value).withColumns({"source": F.lit(source), "report_date": F.lit(as_of)})
+    return unmapped(df, label, keys, value).withColumns({"source": F.lit(source), "report_date": F.lit(as_of).cast("date")})
 
 
 def totals(df: DataFrame, stage: str, value: str = "lbs") -> DataFrame:
@@ -32,9 +33,22 @@ def before_after(before: DataFrame, after: DataFrame, value: str = "lbs", before
         totals(after, "after", value))
 
 
-def observe_total(df: DataFrame, observation, value: str = "lbs") -> DataFrame:
+def observe_total(df: DataFrame, observation, value: Column | str = "lbs") -> DataFrame:
     """Record row count and total while the data flows through, without another pass."""
-    return df.observe(observation, F.count("*").alias("rows"), F.coalesce(F.sum(value), F.lit(0.0)).alias(value))
+    return df.observe(observation, F.count("*").alias("rows"), F.coalesce(F.sum(value), F.lit(0.0)).alias("lbs"))
+
+
+def observed_totals(df: DataFrame, observation, stage: str, value: Column | str = "lbs") -> DataFrame:
+    """What ``observe_total`` recorded, as a row like that of ``totals``.
+
+    A step over an empty input can be planned away with its observation; then ``df`` is read for its totals.
+    """
+    try:
+        seen = observation.get
+    except Py4JJavaError:
+        return df.agg(F.lit(stage).alias("stage"), F.count("*").alias("rows"), F.coalesce(F.sum(value), F.lit(0.0)).alias("lbs"))
+    return df.sparkSession.range(1).select(
+        F.lit(stage).alias("stage"), F.lit(seen["rows"]).cast("long").alias("rows"), F.lit(seen["lbs"]).cast("double").alias("lbs"))
 
 
 def unmapped_share(df: DataFrame, label: str, value: str = "lbs") -> DataFrame:

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from weekmart.operators.history import replace_weeks
-from weekmart.operators.quality import unmapped
+from weekmart.operators.quality import observe_total, observed_totals, totals, unmapped_report
 from weekmart.plans.analysis import ReportSpec, several_grains
 from weekmart.plans.conform import Dictionaries
 from weekmart.plans.sellin import compare
 from weekmart.session import staged
+from weekmart.sources.sinks import write_partitions
 
 
 @dataclass(frozen=True)
@@ -20,7 +23,7 @@ class DistributorModel:
     """How one distributor is conformed and which grains it reports.
 
     ``columns`` are the columns of its history; ``segment_keys`` and ``product_keys`` the raw keys
-    listed when a label is missing.
+    listed when a label is missing; ``raw_value`` the volume as delivered (a number, or text with commas).
     """
 
     conform: Callable[[DataFrame, Dictionaries, DataFrame], DataFrame]
@@ -29,17 +32,21 @@ class DistributorModel:
     spec: ReportSpec
     segment_keys: Sequence[str]
     product_keys: Sequence[str] = ()
+    raw_value: str = "lbs"
 
 
 def run_model(
     model: DistributorModel, raw: DataFrame, maps: Dictionaries, calendar: DataFrame,
-    base: DataFrame | None = None, sellin: DataFrame | None = None,
+    base: DataFrame | None = None, sellin: DataFrame | None = None, as_of: datetime.date | None = None,
 ) -> dict[str, DataFrame]:
-    """History, one report per grain, the comparison with sell-in, and the unmapped keys.
+    """History, one report per grain, the comparison with sell-in, totals before and after conforming, and the unmapped keys.
 
-    Conformed rows and merged history feed several results each, so they are staged as Parquet, of which each reads its columns.
+    Conformed rows and merged history feed several results each, so they are staged as Parquet, of which each reads its
+    columns. The delivery's totals are observed while it is staged. ``as_of`` dates the unmapped reports.
     """
-    fact = staged(model.conform(raw, maps, calendar), "fact")
+    delivered = Observation("delivered")
+    value = F.replace(F.col(model.raw_value).cast("string"), F.lit(","), F.lit("")).try_cast("double")
+    fact = staged(model.conform(observe_total(raw, delivered, value), maps, calendar), "fact")
     history = fact.select(*model.columns)
     if base is not None:
         history = staged(replace_weeks(base, history, model.columns), "history")
@@ -48,7 +55,15 @@ def run_model(
     if sellin is not None:
         out["sellin_and_sellout"] = compare(
             sellin, history, calendar, model.spec.label, model.spec.begin, model.spec.end)
-    out["unmapped_segments"] = unmapped(fact, "segment_l1", model.segment_keys)
+    out["totals"] = observed_totals(raw, delivered, "before", value).unionByName(totals(fact, "after"))
+    out["unmapped_segments"] = unmapped_report(fact, "segment_l1", model.segment_keys, model.spec.label, as_of)
     if model.product_keys:
-        out["unmapped_products"] = unmapped(fact, "consolidated_category", model.product_keys)
+        out["unmapped_products"] = unmapped_report(fact, "consolidated_category", model.product_keys, model.spec.label, as_of)
     return out
+
+
+def write_unmapped(out: Mapping[str, DataFrame], folder: str) -> None:
+    """The unmapped reports of a run, a table each, by source and report date; the same day's run replaces its own rows."""
+    for name in ("unmapped_segments", "unmapped_products"):
+        if name in out:
+            write_partitions(out[name], f"{folder.rstrip('/')}/{name}", ["source", "report_date"])
