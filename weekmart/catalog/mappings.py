@@ -48,14 +48,18 @@ raw AS (
   SELECT *, nullif(c_mktsegment, 'BUILDING') AS market_segment,
     CASE c_nationkey WHEN 3 THEN 'XX' WHEN 4 THEN 'tn' ELSE {CODE_LIST}[c_nationkey * 2 + 1] END AS state,
     order_date - dayofweek(order_date)::INT AS sunday, order_date - CAST(isodow(order_date) - 1 AS INTEGER) AS monday,
-    CASE WHEN order_date >= DATE '1999-12-26' THEN NULL ELSE {iso('(order_date - dayofweek(order_date)::INT + 1)')} END AS sun_week
+    CASE WHEN order_date >= DATE '2001-07-29' THEN NULL ELSE {iso('(order_date - dayofweek(order_date)::INT + 1)')} END AS sun_week
   FROM lines JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey),
 {STATES_SQL}"""
 
 
-def short_calendar(spark):
-    """Calendar up to 1999: later weeks are unknown to the mapping."""
-    return calendar(spark).filter(F.col("week_starting_sun") < "1999-12-26")
+# first days of the last weeks with orders and shipments
+LAST_ORDERED, LAST_SHIPPED = "2001-07-29", "2001-10-28"
+
+
+def short_calendar(spark, edge=LAST_ORDERED):
+    """Calendar without the last week of the data, which is unknown to the mapping."""
+    return calendar(spark).filter(F.col("week_starting_sun") < edge)
 
 
 def segment_labels(key):
@@ -256,7 +260,7 @@ for name, calendar_day, shift in (
     query(f"j7_week_of_{name}", with_ctes(["calendar"], select=f"""
 SELECT o_orderkey, CAST({day_sql} AS DATE) AS day, calendar_week_year
 FROM (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders) o
-LEFT JOIN calendar c ON c.{calendar_day} = {day_sql} AND c.week_starting_sun < DATE '1999-12-26'"""))(week_of)
+LEFT JOIN calendar c ON c.{calendar_day} = {day_sql} AND c.week_starting_sun < DATE '2001-07-29'"""))(week_of)
 
 
 FISCAL = """
@@ -274,17 +278,17 @@ def fiscal_week(spark, sf):
 
 @query("j9_valid_week", with_ctes(["sellout", "calendar"], select="""
 SELECT c.calendar_week_year, sum(lbs) AS lbs FROM sellout s LEFT JOIN calendar c
-ON c.calendar_week_year = s.calendar_week_year AND c.week_starting_sun < DATE '1999-12-26' GROUP BY 1"""))
+ON c.calendar_week_year = s.calendar_week_year AND c.week_starting_sun < DATE '2001-10-28' GROUP BY 1"""))
 def valid_week(spark, sf):
     rows = sellout(spark, sf).withColumnRenamed(WEEK, "raw_week")
-    return cal.valid_week(rows, short_calendar(spark), "raw_week").groupBy(WEEK).agg(F.sum("lbs").alias("lbs"))
+    return cal.valid_week(rows, short_calendar(spark, LAST_SHIPPED), "raw_week").groupBy(WEEK).agg(F.sum("lbs").alias("lbs"))
 
 
 @query("j10_drop_unknown_weeks", with_ctes(["sellout", "calendar"], select="""
 SELECT calendar_week_year, sum(lbs) AS lbs FROM sellout JOIN calendar USING (calendar_week_year)
-WHERE week_starting_sun < DATE '1999-12-26' GROUP BY 1"""))
+WHERE week_starting_sun < DATE '2001-10-28' GROUP BY 1"""))
 def drop_unknown_weeks(spark, sf):
-    rows = cal.valid_week(sellout(spark, sf).withColumnRenamed(WEEK, "raw_week"), short_calendar(spark), "raw_week")
+    rows = cal.valid_week(sellout(spark, sf).withColumnRenamed(WEEK, "raw_week"), short_calendar(spark, LAST_SHIPPED), "raw_week")
     return cal.known_weeks_only(rows).groupBy(WEEK).agg(F.sum("lbs").alias("lbs"))
 
 
@@ -351,9 +355,9 @@ def market_regions(spark, sf):
 
 @query("j15_inner_calendar", with_ctes(["sellout", "calendar"], select="""
 SELECT week_starting_sun, sum(lbs) AS lbs FROM sellout JOIN calendar USING (calendar_week_year)
-WHERE week_starting_sun < DATE '1999-12-26' GROUP BY 1"""))
+WHERE week_starting_sun < DATE '2001-10-28' GROUP BY 1"""))
 def inner_calendar(spark, sf):
-    rows = sellout(spark, sf).join(short_calendar(spark).select(WEEK, "week_starting_sun"), WEEK)
+    rows = sellout(spark, sf).join(short_calendar(spark, LAST_SHIPPED).select(WEEK, "week_starting_sun"), WEEK)
     return rows.groupBy("week_starting_sun").agg(F.sum("lbs").alias("lbs"))
 
 
@@ -455,7 +459,7 @@ SELECT l_orderkey AS order_id, l_linenumber AS line, p_brand AS manufacturer, o_
   {week} AS calendar_week_year, coalesce(state_name, 'None') AS state_name
 FROM (SELECT * REPLACE (CASE state WHEN 'tn' THEN 'TN' ELSE state END AS state),
         CASE WHEN {mapped} THEN coalesce(market_segment, 'NONE') END AS seg FROM raw) r
-LEFT JOIN states ON states.state = r.state {copies} WHERE monday < DATE '1999-12-27' {where}"""
+LEFT JOIN states ON states.state = r.state {copies} WHERE monday < DATE '2001-07-30' {where}"""
 REPORT = REPORT_SQL.replace("{zero}", "").replace("{labels}", REGIONAL_LABELS).replace("{product}", PRODUCT_SQL).replace(
     "{week}", iso("monday")).replace("{mapped}", MAPPED)
 

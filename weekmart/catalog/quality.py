@@ -34,9 +34,10 @@ def unmapped_segments(spark, sf):
 
 
 @query("d2_unmapped_products", with_ctes(["lines"], RAW, CONFORMED, select="""
-SELECT sku_id, sum(lbs)::DOUBLE AS lbs FROM conformed WHERE consolidated_category IS NULL GROUP BY ALL"""))
+SELECT sku_id, sum(lbs)::DOUBLE AS lbs, 'regional' AS source, DATE '2000-01-03' AS report_date
+FROM conformed WHERE consolidated_category IS NULL GROUP BY ALL"""))
 def unmapped_products(spark, sf):
-    out = q.unmapped(conformed(spark, sf), "consolidated_category", ["sku_id"])
+    out = q.unmapped_report(conformed(spark, sf), "consolidated_category", ["sku_id"], "regional", datetime.date(2000, 1, 3))
     return out.withColumn("lbs", F.col("lbs").cast("double"))
 
 

@@ -156,9 +156,11 @@ def date_from_file_name(spark, sf):
 @query("s6_folders_by_name", """
 SELECT l_returnflag AS flag, count(*) AS rows, sum(l_quantity) AS lbs FROM lineitem GROUP BY 1""")
 def folders_by_name(spark, sf):
+    """A folder per flag, with a second, compressed copy of the rows whose file names do not match."""
     items = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("folder"), F.col("l_returnflag").alias("flag"), "l_quantity")
     path = csv_folder(items, "s6", partition=("folder",))
-    out = r.read_delimited(spark, path, sc.text("flag", "l_quantity"), recursive=True, name_glob="part-*.csv")
+    items.write.mode("append").option("header", "true").option("compression", "gzip").partitionBy("folder").csv(path)
+    out = r.read_delimited(spark, path, sc.text("flag", "l_quantity"), recursive=True, name_pattern=r"^part-\d+-.*\.csv$")
     return out.groupBy("flag").agg(F.count("*").alias("rows"), F.sum(c.to_number(F.col("l_quantity"))).alias("lbs"))
 
 

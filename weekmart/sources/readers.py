@@ -26,10 +26,12 @@ DAY_MONTH_YEAR = r"(\d{2} (?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) \d
 def read_delimited(
     spark: SparkSession, path: str | Sequence[str], schema: StructType, header: bool = True, sep: str = ",",
     null_value: str | None = None, encoding: str = "UTF-8", recursive: bool = False, name_glob: str | None = None,
+    name_pattern: str | None = None,
 ) -> DataFrame:
     """Delimited files with a declared schema; gzip is recognized by the file name.
 
-    ``recursive`` walks all folders below the path, ``name_glob`` selects by file name. Spark reads no
+    ``recursive`` walks all folders below the path, ``name_glob`` selects by file name, ``name_pattern`` by a regular
+    expression found in it: files with other names are listed but not read. Spark reads no
     ``cp1252``; such files are read as Latin-1, and the few characters that differ are translated.
     """
     windows = encoding.lower() in ("cp1252", "windows-1252")
@@ -42,6 +44,8 @@ def read_delimited(
     if name_glob:
         options["pathGlobFilter"] = name_glob
     df = spark.read.options(**options).schema(schema).csv(path if isinstance(path, str) else list(path))
+    if name_pattern:
+        df = df.filter(F.col("_metadata.file_name").rlike(name_pattern))
     if windows:
         texts = [f.name for f in schema if f.dataType.simpleString() == "string"]
         df = df.withColumns({c: F.translate(F.col(f"`{c}`"), LATIN_CONTROLS, WINDOWS_CHARACTERS) for c in texts})
