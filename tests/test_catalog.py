@@ -15,8 +15,8 @@ CHOSEN = (
     "a21_several_grains b1_sellin_extract b4_sales_with_fulfilment b6_financial_extract b9_prepare_sellin b12_compare c1_text_to_number "
     "c5_clean_city d1_unmapped_segments d6_welch_test e5_fiscal_calendar e7_iso_week_and_year g5_profile_columns g9_percent_change "
     "g14_totals_and_members h1_replace_weeks h3_latest_file_wins j2_map_case_insensitive j12_state_or_none k4_replace_distributor "
-    "m4_inventory m5_fair_share r1_distributor_model r2_national_report_model r4_canada_one_file_model s1_read_regional_report s6_folders_by_name s8_date_in_last_header t1_conform_regional_us "
-    "t2_conform_national_report t5_conform_canada_one x1_stream_append_missing"
+    "m4_inventory m5_fair_share r1_distributor_model r2_national_report_model r4_canada_one_file_model s1_read_regional_report s6_folders_by_name "
+    "s8_date_in_last_header t1_conform_regional_us t2_conform_national_report t5_conform_canada_one x1_stream_append_missing"
 ).split()
 
 
