@@ -257,6 +257,14 @@ def test_values_in_context_need_cost_and_context():
     assert secret_scan.find_secrets("The pass leads over the mountain: gT5#kl0Pq@9z. A token of love.") == []
 
 
+def test_values_that_a_base_span_covers_in_part_are_whole():
+    text = 'password = "Tr0ub4dor&3xyzQ!9" end'
+    spans = secret_scan.find_secrets(text)
+    assert [(k, text[a:b]) for k, a, b, _ in spans] == [("assign", 'password = "Tr0ub4dor'), ("value", "Tr0ub4dor&3xyzQ!9")]
+    assert secret_scan._masked(text, spans) == secret_scan.MASK + '" end'
+    assert [s[0] for s in secret_scan.find_secrets('token = "04dbebab91ab85687d33eeaa "')] == ["assign"]
+
+
 def test_masking_and_odd_documents(spark):
     docs = odd_docs(spark)
     masked = secret_scan.masked_text(docs)

@@ -133,10 +133,11 @@ def find_secrets(text: str, min_cost: float = MIN_COST) -> list[tuple[str, int,
     spans += [("hex", m.start(), m.end(), guess_cost(m[0])) for m in HEX.finditer(text)]
     base = list(spans)
     for found in CONTEXT.finditer(text) if named else ():
-        group = found.lastindex
-        start, end = found.span(group)
-        value = found[group].strip()
-        if any(a < end and start < b for _, a, b, _ in base) or PLACEHOLDER.match(value) or value.count(" ") > 2:
+        held = found[found.lastindex]
+        value = held.strip()
+        start = found.start(found.lastindex) + len(held) - len(held.lstrip())
+        end = start + len(value)
+        if any(a <= start and end <= b for _, a, b, _ in base) or PLACEHOLDER.match(value) or value.count(" ") > 2:
             continue
         if (cost := guess_cost(value)) >= min_cost:
             spans.append(("value", start, end, cost))
@@ -156,7 +157,8 @@ def with_spans(docs: DataFrame, text: str = "text", spans: str = "spans", min_co
     """``docs`` with an array of secret spans: kind, start and end in code points (end exclusive) and guess cost.
 
     Null or empty text has an empty array. Kinds may overlap (a hex value that is also assigned); a value found by its
-    context is listed only where no base span covers it. Repeated rows get equal arrays, a column of that name is replaced.
+    context is left out only where one base span covers the whole of it. Repeated rows get equal arrays, a column of that
+    name is replaced.
     """
     prepare(docs.sparkSession)
 
