@@ -93,6 +93,15 @@ def test_word_memory_starts_again_when_full_or_wrong(monkeypatch, library, defin
     assert coded(coder, ["one"]) == [library.encode("one", add_special_tokens=False).ids]
 
 
+def test_a_text_of_more_words_than_the_memory_has_slots(monkeypatch, library, definition):
+    monkeypatch.setattr(bpe, "SLOT_BITS", 4)
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 10)
+    coder = bpe.merging_coder(bpe.Vocabulary(definition))
+    for t in (" ".join(str(k * 7919) for k in range(101)), "one two", "", " ".join(f"w{k}x" for k in range(10))):
+        assert coded(coder, [t, t]) == [library.encode(t, add_special_tokens=False).ids] * 2
+    assert len(coder.memory) <= 10
+
+
 def test_encode_and_decode_odd_documents(spark, library, definition):
     docs = odd_docs(spark)
     both = bpe.decode(bpe.encode(docs, definition), definition)

@@ -280,7 +280,7 @@ class PreTokenCoder:
         return np.concatenate(each).astype(np.int32), np.array([len(e) for e in each], np.int64)
 
     def _places(self, joined: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        """Where the memory holds each of the given different words; unknown ones are encoded first."""
+        """Where the memory holds each of the given different words, CACHED_WORDS at most; unknown ones are encoded first."""
         if len(self.memory) + len(hashes) > CACHED_WORDS:
             self.memory = WordMemory()
         memory, lengths = self.memory, ends - starts
@@ -298,6 +298,24 @@ class PreTokenCoder:
             memory.add(hashes[new], points[spread(starts[new], lengths[new])], lengths[new], ids, counts)
         return places
 
+    def _word_ids(self, joined: str, points: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the given different words, and where those of each begin and how many they are.
+
+        Up to CACHED_WORDS words they are the memory's own array; more words go through the memory in slices.
+        """
+        ids, counts = [], [np.zeros(0, np.int64)]
+        for k in range(0, len(hashes), CACHED_WORDS):
+            part = slice(k, k + CACHED_WORDS)
+            places = self._places(joined, points, starts[part], ends[part], hashes[part])
+            begin = self.memory.id_ends[places]
+            count = self.memory.id_ends[places + 1] - begin
+            if len(hashes) <= CACHED_WORDS:
+                return self.memory.ids, begin, count
+            ids.append(self.memory.ids[spread(begin, count)])
+            counts.append(count)
+        count = np.concatenate(counts)
+        return np.concatenate([np.zeros(0, np.int32), *ids]), np.cumsum(count) - count, count
+
     def _split(self, joined: str, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Offsets of the parts into which special tokens cut the texts, and which parts are special."""
         bounds, special = [0], []
@@ -317,11 +335,10 @@ class PreTokenCoder:
         starts, ends = pre_tokens(self.kinds, points, parts, whole)
         hashes = span_hashes(points, starts, ends)
         first, inverse = distinct_spans(points, starts, ends, hashes)
-        places = self._places(joined, points, starts[first], ends[first], hashes[first])[inverse]
-        begins = self.memory.id_ends[places]
-        lengths = self.memory.id_ends[places + 1] - begins
+        ids, begins, counts = self._word_ids(joined, points, starts[first], ends[first], hashes[first])
+        begins, lengths = begins[inverse], counts[inverse]
         before = np.append(0, np.cumsum(lengths))
-        return self.memory.ids[spread(begins, lengths)], np.diff(before[np.searchsorted(starts, ends_at)])
+        return ids[spread(begins, lengths)], np.diff(before[np.searchsorted(starts, ends_at)])
 
 
 def kept_coder(definition: Definition, kind: str, build: Callable[[Vocabulary], PreTokenCoder]) -> PreTokenCoder:
