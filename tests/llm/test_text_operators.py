@@ -274,6 +274,17 @@ def test_values_that_a_base_span_covers_in_part_are_whole():
     assert [s[0] for s in secret_scan.find_secrets('token = "04dbebab91ab85687d33eeaa "')] == ["assign"]
 
 
+@pytest.mark.parametrize("text, value", [
+    ('passphrase: "correct horse battery staple"', "correct horse battery staple"), ('pwd = "$tr0ngP4ss!Xq9z"', "$tr0ngP4ss!Xq9z"),
+    ("password: $2b$12$EixZaYVK1fsbw1ZfbX3OXe", "$2b$12$EixZaYVK1fsbw1ZfbX3OXe"), ("pwd={SSHA}W6ph5Mm5Pz8GgiULbPgzG37mj9g=", "{SSHA}W6ph5Mm5Pz8GgiULbPgzG37mj9g="),
+    ('credentials = "https://deploy:gT5#kl0Pq9z@git.example.com/x"', "deploy:gT5#kl0Pq9z"), ("auth: https://deploy:gT5!kl0Pq9z@git.example.com/x", "deploy:gT5!kl0Pq9z"),
+    ("auth = https://example.com/login?pwd=gT5!kl0Pq9zW", "gT5!kl0Pq9zW"), ('pwd = "{gT5!kl0 Pq9zW"', "{gT5!kl0 Pq9zW"),
+    ("auth = https://example.com/a-long-path-of/many-parts-0123", None), ('pwd = "${DATABASE_PASSWORD_OF_PRODUCTION}"', None), ("pwd=$DATABASE_PASSWORD_2", None),
+    ('auth = "Bearer {{ vault.credentials.production }}"', None), ('pwd="<your password of this service>"', None), ("pwd=" + "*" * 40, None)])
+def test_only_closed_placeholders_are_no_values(text, value):
+    assert [text[a:b] for k, a, b, _ in secret_scan.find_secrets(text) if k == "value"] == ([value] if value else [])
+
+
 def test_masking_and_odd_documents(spark):
     docs = odd_docs(spark)
     masked = secret_scan.masked_text(docs)

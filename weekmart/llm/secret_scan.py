@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,7 +31,7 @@ ASSIGN_LENGTH, ACCESS_LENGTH = 8, 16
 #: Names after which a value is judged by its cost: a quoted string, or signs up to white space, a quote or a bracket.
 CONTEXT = re.compile(
     r"""(?:passw(?:or)?d|pass(?:phrase|code)?|pwd|secret|token|credentials?|auth(?:orization)?|bearer|(?:api|access|secret|private|client)[_-]?key)"""
-    r"""["']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*(?:bearer\x20+)?(?:"([^"\r\n]+)"|'([^'\r\n]+)'|([^\s"'<>{}\[\](),;]+))""", re.ASCII | re.IGNORECASE)
+    r"""["']?[\x20\t]*(?::=|=>|[:=])[\x20\t]*(?:bearer\x20+)?(?:"([^"\r\n]+)"|'([^'\r\n]+)'|((?:\{[a-z0-9.-]+\})?[^\s"'<>{}\[\](),;]+))""", re.ASCII | re.IGNORECASE)
 
 #: Common password words by falling frequency; a word's rank is its number of guesses.
 COMMON_WORDS = """
@@ -44,7 +44,12 @@ private public token key value string none null true false your here this that t
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
 YEAR = re.compile(r"(?:19|20)\d\d")
-PLACEHOLDER = re.compile(r"^(?:<.*>|\$.*|%.*%|\{.*|x+|\*+|\.+|https?://.*)$", re.IGNORECASE)
+#: Values that stand for another one: closed forms only, after an authorization scheme too; whatever else they hold is judged by its cost.
+PLACEHOLDER = re.compile(
+    r"(?:(?:bearer|basic)\s+)?(?:<[a-z][\w .:-]*>|\$\{[^{}]*\}|\$\([^()]*\)|\{\{[^{}]*\}\}|\{[a-z_][\w.]*\}|%[a-z_]\w*%|(?-i:\$_?[A-Z]+(?:_[A-Z0-9]+)*)|x+|\*+|\.+)",
+    re.ASCII | re.IGNORECASE)
+#: A URL's user and password are its value; what follows them is searched for contexts again.
+URL = re.compile(r"[a-z][a-z0-9+.-]*://(?:([^/?#\s:]+:[^/\s]+|[^/?#\s]+)@)?", re.ASCII | re.IGNORECASE)
 
 LETTER_COST, MIXED_COST, DIGIT_COST, SIGN_COST, SPAN_COST = 0.7, math.log10(36), 1.0, math.log10(33), 0.3
 DATE_COST, YEAR_COST = math.log10(365 * 120), math.log10(120)
@@ -122,6 +127,21 @@ def guess_cost(value: str, words: Sequence[str] = COMMON_WORDS) -> float:
     return best[size]
 
 
+def _context_values(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the values in a credential's context, without white space around them; of a URL its user and password."""
+    at = 0
+    while found := CONTEXT.search(text, at):
+        held = found[found.lastindex]
+        start = found.start(found.lastindex) + len(held) - len(held.lstrip())
+        end, at = start + len(held.strip()), found.end()
+        if url := URL.match(text, start, end):
+            at = url.end()
+            if not url[1]:
+                continue
+            start, end = url.span(1)
+        yield start, end
+
+
 def find_secrets(text: str, min_cost: float = MIN_COST) -> list[tuple[str, int, int, float]]:
     """Spans (kind, start, end, cost) of a text in code points, by start, then kind; base kinds first as the patterns give them."""
     spans = []
@@ -132,12 +152,9 @@ def find_secrets(text: str, min_cost: float = MIN_COST) -> list[tuple[str, int,
     spans += [("access", m.start(), m.end(), guess_cost(m[0])) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LENGTH]
     spans += [("hex", m.start(), m.end(), guess_cost(m[0])) for m in HEX.finditer(text)]
     base = list(spans)
-    for found in CONTEXT.finditer(text) if named else ():
-        held = found[found.lastindex]
-        value = held.strip()
-        start = found.start(found.lastindex) + len(held) - len(held.lstrip())
-        end = start + len(value)
-        if any(a <= start and end <= b for _, a, b, _ in base) or PLACEHOLDER.match(value) or value.count(" ") > 2:
+    for start, end in _context_values(text) if named else ():
+        value = text[start:end]
+        if any(a <= start and end <= b for _, a, b, _ in base) or PLACEHOLDER.fullmatch(value):
             continue
         if (cost := guess_cost(value)) >= min_cost:
             spans.append(("value", start, end, cost))
