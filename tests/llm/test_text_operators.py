@@ -285,6 +285,20 @@ def test_only_closed_placeholders_are_no_values(text, value):
     assert [text[a:b] for k, a, b, _ in secret_scan.find_secrets(text) if k == "value"] == ([value] if value else [])
 
 
+@pytest.mark.parametrize("text", [
+    "auth = HTTPBasicAuthentication(user)", "credentials: include-everything-please", "auth=DefaultAzureCredentialProviderChain()",
+    'secret: "a single word of the text"', "auth = request.headers.get(name)", "pwd = getUserPasswordFromEnvironment()", "auth: authentication_service_factory"])
+def test_identifiers_and_plain_phrases_are_no_secrets(spark, text):
+    assert [s for s in secret_scan.find_secrets(text) if s[0] == "value"] == []
+    docs = spark.createDataFrame([(text,)], "text string")
+    assert [r["text"] for r in secret_scan.masked_text(docs).collect()] == [text]
+
+
+def test_words_do_not_make_random_values_cheap():
+    for value in ("gT5#kl0Pq9zW", "xkqzvbwmtrplhjd", "correct horse battery staple", "zKqWvTmRbXpLnH"):
+        assert secret_scan.guess_cost(value) >= secret_scan.MIN_COST
+
+
 def test_masking_and_odd_documents(spark):
     docs = odd_docs(spark)
     masked = secret_scan.masked_text(docs)

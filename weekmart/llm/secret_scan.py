@@ -7,9 +7,12 @@ at least MIN_COST is a secret, even where the patterns do not know its name or s
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -41,6 +44,20 @@ summer winter spring autumn flower soccer hockey killer pepper ginger cookie sil
 blue green black white red house computer internet server database system default example changeme temp demo
 private public token key value string none null true false your here this that the and for with from
 """.split()
+#: Short words of prose, and the words of which names in code are made, each by falling frequency as well.
+SHORT_WORDS = "of to a in is i it on as at by or an be we if no my do so up he me us".split()
+CODE_WORDS = """
+get set new old has use
+auth authentication authorization authorize authenticate credential credentials bearer http https oauth jwt api url uri client
+session cookie header request response config configuration settings setting options option env environment name id type data
+provider manager service factory builder handler helper controller store storage vault cache context object class method function
+create load read write find make build generate generator parse encode decode encrypt decrypt hash sign verify validate validator
+aws azure google cloud github account application app model field form input output file path list map index current self
+required optional missing invalid expired refresh reset change update error message text please include enter see chain
+""".split()
+
+#: The other words: those of at least three letters that begin a word in this tokenizer of public_tokenizers, in the order of its merges.
+WORD_FILE = "byte_bpe_50k.json"
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
 YEAR = re.compile(r"(?:19|20)\d\d")
@@ -52,6 +69,9 @@ PLACEHOLDER = re.compile(
 URL = re.compile(r"[a-z][a-z0-9+.-]*://(?:([^/?#\s:]+:[^/\s]+|[^/?#\s]+)@)?", re.ASCII | re.IGNORECASE)
 
 LETTER_COST, MIXED_COST, DIGIT_COST, SIGN_COST, SPAN_COST = 0.7, math.log10(36), 1.0, math.log10(33), 0.3
+#: A word after a word tells about three quarters of what it tells alone; signs that join words, the same one mostly.
+NEXT_WORD, JOINERS = 0.75, " -_."
+JOIN_COST = math.log10(len(JOINERS))
 DATE_COST, YEAR_COST = math.log10(365 * 120), math.log10(120)
 
 
@@ -68,21 +88,49 @@ def _neighbours() -> set[tuple[str, str]]:
 NEIGHBOURS = _neighbours()
 
 
-def guess_cost(value: str, words: Sequence[str] = COMMON_WORDS) -> float:
+class Words(NamedTuple):
+    """Decimal logarithm of the guesses of each word, and the length of the longest."""
+
+    costs: dict[str, float]
+    longest: int
+
+
+def ranked(*lists: Sequence[str]) -> Words:
+    """Lists of words by falling frequency; a word's rank is its best one in a list."""
+    costs: dict[str, float] = {}
+    for words in lists:
+        for k, w in enumerate(words):
+            costs[w] = min(costs.get(w, math.inf), math.log10(k + 2))
+    return Words(costs, max(map(len, costs), default=0))
+
+
+@lru_cache(maxsize=1)
+def known_words() -> Words:
+    """The fixed words, and those of WORD_FILE; read on the driver, about 24,000 words whatever the input."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(WORD_FILE), encoding="utf-8") as file:
+        ids = json.load(file)["model"]["vocab"]
+    listed = (t[1:].lower() for t in sorted(ids, key=ids.get) if t[0] == "\u0120" and t[1:].isascii() and t[1:].isalpha() and len(t) > 3)
+    return ranked(COMMON_WORDS, SHORT_WORDS, CODE_WORDS, list(dict.fromkeys(listed)))
+
+
+def guess_cost(value: str, words: Words | None = None) -> float:
     """Decimal logarithm of the guesses that the cheapest segmentation of ``value`` needs; the empty value costs 0.
 
     Letters next to letters of their own case cost less in a brute-force span than mixed ones, as language has fewer of
-    them. Work and memory are in proportion to the value's length.
+    them; so does a word that follows a word, with one joining sign between them or none. Work and memory are in
+    proportion to the value's length.
     """
-    ranks = {w: math.log10(k + 2) for k, w in reversed(list(enumerate(words)))}
-    longest = max(map(len, ranks), default=0)
+    ranks, longest = words or known_words()
     low, size = value.lower(), len(value)
     ends: list[list[tuple[int, float]]] = [[] for _ in range(size + 1)]  # spans that end here: (start, cost)
+    word_ends: list[list[tuple[int, float]]] = [[] for _ in range(size + 1)]
     for a in range(size):
-        for b in range(a + 2, min(size, a + longest) + 1):
+        for b in range(a + 1, min(size, a + longest) + 1):
             if (rank := ranks.get(low[a:b])) is not None:
                 case = 0 if value[a:b] == low[a:b] else math.log10(2) if value[a:b].istitle() or value[a:b].isupper() else (b - a) * math.log10(2)
-                ends[b].append((a, rank + case))
+                word_ends[b].append((a, rank + case))
     for pattern, cost in ((DATE, DATE_COST), (YEAR, YEAR_COST)):
         for a in range(size):
             if found := pattern.match(value, a):
@@ -119,11 +167,15 @@ def guess_cost(value: str, words: Sequence[str] = COMMON_WORDS) -> float:
                 return MIXED_COST
         return LETTER_COST
 
-    best, brute = [0.0] + [math.inf] * size, [math.inf] * (size + 1)
+    best, brute, worded, joiner = [0.0] + [math.inf] * size, [math.inf] * (size + 1), [math.inf] * (size + 1), ""
     for b in range(1, size + 1):
         cost = sign_cost(b - 1)
         brute[b] = min(brute[b - 1], best[b - 1] + SPAN_COST) + cost
-        best[b] = min([brute[b], *(best[a] + SPAN_COST + c for a, c in ends[b])])
+        worded[b] = min((min(best[a] + SPAN_COST + c, worded[a] + NEXT_WORD * c) for a, c in word_ends[b]), default=math.inf)
+        if value[b - 1] in JOINERS and worded[b - 1] < math.inf:  # after a word
+            worded[b] = worded[b - 1] + (0 if value[b - 1] == joiner else JOIN_COST)
+            joiner = value[b - 1]
+        best[b] = min([brute[b], worded[b], *(best[a] + SPAN_COST + c for a, c in ends[b])])
     return best[size]
 
 
@@ -142,21 +194,21 @@ def _context_values(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
-def find_secrets(text: str, min_cost: float = MIN_COST) -> list[tuple[str, int, int, float]]:
+def find_secrets(text: str, min_cost: float = MIN_COST, words: Words | None = None) -> list[tuple[str, int, int, float]]:
     """Spans (kind, start, end, cost) of a text in code points, by start, then kind; base kinds first as the patterns give them."""
     spans = []
     named = ":" in text or "=" in text
     for found in ASSIGN.finditer(text) if named else ():
         if len(found[2]) >= ASSIGN_LENGTH:
-            spans.append(("assign", found.start(), found.end(), guess_cost(found[2])))
-    spans += [("access", m.start(), m.end(), guess_cost(m[0])) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LENGTH]
-    spans += [("hex", m.start(), m.end(), guess_cost(m[0])) for m in HEX.finditer(text)]
+            spans.append(("assign", found.start(), found.end(), guess_cost(found[2], words)))
+    spans += [("access", m.start(), m.end(), guess_cost(m[0], words)) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LENGTH]
+    spans += [("hex", m.start(), m.end(), guess_cost(m[0], words)) for m in HEX.finditer(text)]
     base = list(spans)
     for start, end in _context_values(text) if named else ():
         value = text[start:end]
         if any(a <= start and end <= b for _, a, b, _ in base) or PLACEHOLDER.fullmatch(value):
             continue
-        if (cost := guess_cost(value)) >= min_cost:
+        if (cost := guess_cost(value, words)) >= min_cost:
             spans.append(("value", start, end, cost))
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
@@ -178,13 +230,14 @@ def with_spans(docs: DataFrame, text: str = "text", spans: str = "spans", min_co
     name is replaced.
     """
     prepare(docs.sparkSession)
+    words = docs.sparkSession.sparkContext.broadcast(known_words())
 
     def opened():
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("cost", pa.float64())]))
         names = ("kind", "start", "end", "cost")
 
         def apply(column: pa.Array) -> pa.Array:
-            return pa.array([[dict(zip(names, s)) for s in find_secrets(t, min_cost)] if t else [] for t in column.to_pylist()], kind)
+            return pa.array([[dict(zip(names, s)) for s in find_secrets(t, min_cost, words.value)] if t else [] for t in column.to_pylist()], kind)
         return apply
 
     return docs.withColumn(spans, column_udf(f"array<{SPAN}>", opened)(docs[text]))
@@ -193,9 +246,10 @@ def with_spans(docs: DataFrame, text: str = "text", spans: str = "spans", min_co
 def masked_text(docs: DataFrame, text: str = "text", min_cost: float = MIN_COST) -> DataFrame:
     """``docs`` with every secret span of the text replaced by MASK, overlapping ones once; null stays null."""
     prepare(docs.sparkSession)
+    words = docs.sparkSession.sparkContext.broadcast(known_words())
 
     def opened():
-        return lambda column: pa.array([_masked(t, find_secrets(t, min_cost)) if t else t for t in column.to_pylist()], pa.string())
+        return lambda column: pa.array([_masked(t, find_secrets(t, min_cost, words.value)) if t else t for t in column.to_pylist()], pa.string())
 
     return docs.withColumn(text, column_udf("string", opened)(docs[text]))
 
