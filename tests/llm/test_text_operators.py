@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -337,3 +338,21 @@ def test_licences_are_found_and_inherited(spark):
     assert found[(9, "other/sub/q.py")] == (None, "other", "GPL-3.0")
     assert licenses.license_files(files).count() == len(rows)
     assert licenses.license_files(files.limit(0)).count() == 0
+
+
+def test_wrapped_headers_and_whole_licence_texts(spark):
+    def wrapped(text, sign="", width=70):
+        return "\n".join(sign + x for x in textwrap.wrap(text, width))
+
+    texts = {(name, kind): notice for name, kind, notice in licenses.PASSAGES if kind != "header" or "later version" in notice or "Apache" in name}
+    code = "\n\nimport os\n\n\ndef main():\n    print(os.getcwd())\n"
+    rows, wanted = [], {}
+    for k, ((name, kind), notice) in enumerate(texts.items()):
+        path = f"{k}/main.py" if kind == "header" else f"{k}/77"
+        body = {"header": wrapped(notice, "# ") + "\n#\n# More words of this file\nimport sys" + code, "text": "Copyright (c) 2020 Somebody\n\n" + wrapped(notice) + "\n",
+                "title": "\n   " + wrapped(notice, "   ", 30) + "\n\n" + "\n\n".join(f"{i}. Some section of a long text about terms and things" for i in range(60))}[kind]
+        rows += [(k, path, body), (1000 + k, f"{k}/sub/x.py", "print(1)")]
+        wanted[k] = (name, None if kind == "header" else name)
+    found = {r["doc_id"]: r for r in licenses.license_files(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
+    got = {k: (found[k]["own_license"], found[1000 + k]["license"]) for k in wanted}
+    assert got == wanted and len(wanted) >= 15

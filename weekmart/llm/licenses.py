@@ -5,7 +5,8 @@ Frequencies of the templates' words cover all files; any other word has the temp
 compared by cosine with the templates that share a word with it. A candidate must hold at least one of a template's
 leading words: the rest of the template is so short a vector that, by the Cauchy-Schwarz inequality, it alone cannot
 reach the least cosine. Files without a licence of their own take that of the nearest directory above them that has a
-licence file. All steps are DataFrame expressions.
+licence file. Headers of several lines and licence texts are compared in the same way, with runs of lines instead of
+single ones; the better match counts. All steps are DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -40,6 +41,53 @@ TEMPLATES = (
     ("Proprietary", "All rights reserved."),
 )
 
+_GNU = ("you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; either version {} of "
+        "the License, or (at your option) any later version.")
+_GNU_ONLY = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, version {}."
+_GNU_KINDS = (
+    ("GPL-2.0", "General Public License", "2"), ("GPL-3.0", "General Public License", "3"), ("LGPL-2.1", "Lesser General Public License", "2.1"),
+    ("LGPL-3.0", "Lesser General Public License", "3"), ("AGPL-3.0", "Affero General Public License", "3"))
+_MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), "
+    "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+    "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: ")
+_MIT_REST = (
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+    "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+    "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+    "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution. ")
+_BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission. ")
+_BSD_REST = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE "
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE "
+    "FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, "
+    "OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+
+#: Fixed values, compared with runs of lines: standard headers; whole licence texts, compared with whole files too; titles that open a licence text.
+PASSAGES = (
+    *((name, "header", f"This program is free software: {form.format(title, version)}") for name, title, version in _GNU_KINDS for form in (_GNU, _GNU_ONLY)),
+    ("Apache-2.0", "header", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
+     "You may obtain a copy of the License at"),
+    ("MPL-2.0", "header", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+     "this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MIT", "header", _MIT), ("BSD-2-Clause", "header", _BSD), ("BSD-3-Clause", "header", _BSD + _BSD_3),
+    ("MIT", "text", _MIT + _MIT_REST), ("BSD-2-Clause", "text", _BSD + _BSD_REST), ("BSD-3-Clause", "text", _BSD + _BSD_3 + _BSD_REST),
+    ("Apache-2.0", "title", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("GPL-2.0", "title", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"), ("GPL-3.0", "title", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", "title", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", "title", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("AGPL-3.0", "title", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"), ("MPL-2.0", "title", "Mozilla Public License Version 2.0"),
+)
+COMMENT = r"^\s*(?:#|//|/?\*|--|;|%|<!--)"
+
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
@@ -55,6 +103,32 @@ def vector(n: Column, idf: Column) -> Column:
     return (1 + F.log(n.cast("double"))) * idf
 
 
+def runs(text: Column) -> Column:
+    """(line, terms) of runs of lines: whole ones without a line that has no words between, and those of comments or of other lines only."""
+    def once(value: Column, then) -> Column:
+        """``then`` of a value that is computed once, not again for each element."""
+        return F.get(F.transform(F.array(value), then), F.lit(0))
+
+    def of(kinds: Column) -> Column:
+        edge = F.transform(kinds, lambda k, i: F.struct(k.alias("kind"), (i + 1).alias("line")))
+        begins = F.filter(edge, lambda x: (x["kind"] > 0) & ((x["line"] == 1) | (F.get(kinds, x["line"] - 2) != x["kind"])))
+        ends = F.filter(edge, lambda x: (x["kind"] > 0) & ((x["line"] == F.size(kinds)) | (F.get(kinds, x["line"]) != x["kind"])))
+        return F.zip_with(begins, ends, lambda b, e: F.struct(b["line"].alias("line"), e["line"].alias("last")))
+
+    def kind(x: Column) -> Column:
+        return F.when(~F.lower(x).rlike(TOKEN), 0).when(x.rlike(COMMENT), 2).otherwise(1)
+
+    def both(kinds: Column) -> Column:
+        return F.array_distinct(F.concat(once(F.transform(kinds, lambda k: F.least(k, F.lit(1))), of), of(kinds)))
+
+    def cut(lines: Column) -> Column:
+        return F.transform(once(F.transform(lines, kind), both), lambda r: F.struct(
+            r["line"].alias("line"), r["last"].alias("last"),
+            words(F.array_join(F.slice(lines, r["line"], r["last"] - r["line"] + 1), "\n")).alias("terms")))
+
+    return once(F.split(text, "\n"), cut)
+
+
 def scan(
     files: DataFrame, path: str = "path", text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES, min_cosine: float = MIN_COSINE,
 ) -> DataFrame:
@@ -64,6 +138,36 @@ def scan(
     whole file (line 0), then the first line, then the licence's name. A file licenses its directory (``covers``) if its
     name says so or if it matches as a whole. Null and empty texts match nothing.
     """
+    scored = _scored(files, path, text, templates, min_cosine)
+    best = F.struct(F.col("score"), (-F.col("line")).alias("line"), F.col("license"))
+    first = F.struct((-F.col("score")).alias("score"), F.col("line"), F.col("license"))
+    found = scored.groupBy("file", "path").agg(F.min(first).alias("best"), F.max(F.when(F.col("line") == 0, best)).alias("whole"))
+    return found.select(
+        "file", "path", F.col("best.license").alias("license"), (-F.col("best.score")).alias("score"), F.col("best.line").alias("line"),
+        (F.col("whole").isNotNull() | F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))).alias("covers"))
+
+
+def scan_runs(
+    files: DataFrame, path: str = "path", text: str = "text", passages: Sequence[tuple[str, str, str]] = PASSAGES, min_cosine: float = MIN_COSINE,
+) -> DataFrame:
+    """Like scan(), by (license, kind, passage): passages are compared with runs of lines, of which ``line`` is the first.
+
+    Whole files are compared with the passages of kind text alone, and license their directory if they match; so does a
+    file whose first run is a title.
+    """
+    kinds = F.array(*(F.lit(kind) for _, kind, _ in passages))
+    scored = _scored(files, path, text, [(name, notice) for name, _, notice in passages], min_cosine, True).withColumn(
+        "kind", F.get(kinds, F.col("template"))).where("line > 0 or kind = 'text'")
+    first = F.struct((-F.col("score")).alias("score"), F.col("line"), F.col("license"))
+    covers = F.when(F.col("kind") == "text", F.col("line") == 0).otherwise((F.col("kind") == "title") & (F.col("line") == F.col("opening")))
+    found = scored.groupBy("file", "path").agg(F.min(first).alias("best"), F.max(covers).alias("covers"))
+    return found.select(
+        "file", "path", F.col("best.license").alias("license"), (-F.col("best.score")).alias("score"), F.col("best.line").alias("line"),
+        (F.col("covers") | F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))).alias("covers"))
+
+
+def _scored(files: DataFrame, path: str, text: str, templates: Sequence[tuple[str, str]], min_cosine: float, by_runs: bool = False) -> DataFrame:
+    """Whole files (line 0) and lines, or runs of lines, beside the templates of which they have the least cosine at least."""
     spark = files.sparkSession
     rows = files.select("file", F.col(path).alias("path"), F.col(text).alias("text"))
     terms = template_words(spark, templates)
@@ -85,32 +189,31 @@ def scan(
     other = weighted.select("term", "idf").distinct().agg(F.avg("idf").alias("other"))
 
     leads = F.array(*map(F.lit, leading))
-    lines = F.filter(F.transform(F.split("text", "\n"), lambda x, k: F.struct((k + 1).alias("line"), words(x).alias("terms"))),
-                     lambda x: F.arrays_overlap(x["terms"], leads))
-    hit = rows.withColumn("lines", lines).where(F.size("lines") > 0)
-    whole = F.array(F.struct(F.lit(0).alias("line"), F.flatten(F.array(words(F.col("text")))).alias("terms")))
-    spans = hit.select("file", "path", F.explode(F.concat(whole, F.col("lines"))).alias("span"))
-    counted = spans.select("file", "path", F.col("span.line").alias("line"), F.explode("span.terms").alias("term")).groupBy(
-        "file", "path", "line", "term").agg(F.count("*").alias("n"))
+    if by_runs:
+        rows = rows.where(F.arrays_overlap(words(F.col("text")), leads))
+        lines = F.filter(runs(F.col("text")), lambda x: F.arrays_overlap(x["terms"], leads))
+    else:
+        lines = F.filter(F.transform(F.split("text", "\n"), lambda x, k: F.struct((k + 1).alias("line"), (k + 1).alias("last"), words(x).alias("terms"))),
+                         lambda x: F.arrays_overlap(x["terms"], leads))
+    opening = F.size(F.split(F.regexp_extract("text", r"^[^A-Za-z0-9]*", 0), "\n"))
+    hit = rows.withColumn("lines", lines).where(F.size("lines") > 0).withColumn("opening", opening)
+    whole = F.array(F.struct(F.lit(0).alias("line"), F.lit(0).alias("last"), F.flatten(F.array(words(F.col("text")))).alias("terms")))
+    spans = hit.select("file", "path", "opening", F.explode(F.concat(whole, F.col("lines"))).alias("span"))
+    counted = spans.select("file", "path", "opening", F.col("span.line").alias("line"), F.col("span.last").alias("last"), F.explode("span.terms").alias("term")).groupBy(
+        "file", "path", "opening", "line", "last", "term").agg(F.count("*").alias("n"))
     known = weighted.select("term", "idf").distinct()
     vectors = counted.join(F.broadcast(known), "term", "left").join(F.broadcast(other)).withColumn(
         "v", vector(F.col("n"), F.coalesce("idf", "other")))
     norms = F.sqrt(F.sum(F.col("v") * F.col("v")))
-    in_span = vectors.groupBy("file", "path", "line").agg(
+    in_span = vectors.groupBy("file", "path", "opening", "line", "last").agg(
         norms.alias("length"), F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "v"))).alias("found"))
     lengths = weighted.groupBy("template").agg(F.sqrt(F.sum(squares)).alias("template_length"))
     against = F.broadcast(weighted.join(lengths, "template").select("template", "license", "template_length", "term", "w"))
-    scored = (
-        in_span.select("file", "path", "line", "length", F.explode("found").alias("x")).select("file", "path", "line", "length", "x.term", "x.v")
-        .join(against, "term").groupBy("file", "path", "line", "length", "template", "license", "template_length")
+    return (
+        in_span.select("file", "path", "opening", "line", "last", "length", F.explode("found").alias("x")).select("file", "path", "opening", "line", "last", "length", "x.term", "x.v")
+        .join(against, "term").groupBy("file", "path", "opening", "line", "last", "length", "template", "license", "template_length")
         .agg(F.sum(F.col("v") * F.col("w")).alias("dot"))
         .withColumn("score", F.round(F.col("dot") / (F.col("length") * F.col("template_length")), 6)).where(F.col("score") >= min_cosine))
-    best = F.struct(F.col("score"), (-F.col("line")).alias("line"), F.col("license"))
-    first = F.struct((-F.col("score")).alias("score"), F.col("line"), F.col("license"))
-    found = scored.groupBy("file", "path").agg(F.min(first).alias("best"), F.max(F.when(F.col("line") == 0, best)).alias("whole"))
-    return found.select(
-        "file", "path", F.col("best.license").alias("license"), (-F.col("best.score")).alias("score"), F.col("best.line").alias("line"),
-        (F.col("whole").isNotNull() | F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))).alias("covers"))
 
 
 def directory(path: Column) -> Column:
@@ -137,7 +240,7 @@ def nearest_licenses(found: DataFrame, directories: DataFrame) -> DataFrame:
 
 def license_files(
     files: DataFrame, id: str = "doc_id", path: str = "path", text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES,
-    min_cosine: float = MIN_COSINE,
+    min_cosine: float = MIN_COSINE, passages: Sequence[tuple[str, str, str]] = PASSAGES,
 ) -> DataFrame:
     """One row a row of ``files``: ``id``, path, own_license, score, line, inherited_from and license (own, else inherited).
 
@@ -148,8 +251,10 @@ def license_files(
     key = F.struct(files[id].alias("id"), files[path].alias("path"))
     rows = files.select(key.alias("file"), files[path].alias("path"), files[text].alias("text"))
     stored = staging_path(files.sparkSession, "licenses")
-    scan(rows, "path", "text", templates, min_cosine).write.parquet(stored)
-    found = files.sparkSession.read.parquet(stored)
+    scan(rows, "path", "text", templates, min_cosine).unionByName(scan_runs(rows, "path", "text", passages, min_cosine)).write.parquet(stored)
+    first = F.struct((-F.col("score")).alias("score"), F.col("line"), F.col("license"))
+    found = files.sparkSession.read.parquet(stored).groupBy("file", "path").agg(F.min(first).alias("best"), F.max("covers").alias("covers")).select(
+        "file", "path", F.col("best.license").alias("license"), (-F.col("best.score")).alias("score"), F.col("best.line").alias("line"), "covers")
     listed = rows.select("file", directory(F.col("path")).alias("directory"))
     near = nearest_licenses(found, listed.select("directory").where("directory is not null").distinct())
     own = found.select(F.col("file").alias("own_file"), "license", "score", "line")
