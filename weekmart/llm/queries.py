@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekmart.llm import bpe, decontaminate, language, licenses, quality, secret_scan, shards, simhash, token_files, topk
+from weekmart.llm import (
+    bpe, decontaminate, language, lexical, licenses, periodic, personal, quality, secret_scan, shards, simhash, token_files, topk,
+)
 from weekmart.session import staging_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -108,6 +110,45 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
         secret_scan.joined(spans).alias("spans"))
 
 
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), 20)
+
+
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal.with_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+
+    def number(kind: str) -> Column:
+        return F.size(personal.of_kinds(spans, [kind])).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(number, personal.BASE), F.sha2(personal.joined(spans, personal.BASE).cast("binary"), 256).alias("base_sha256"),
+        personal.joined(spans).alias("spans"), F.array_join(F.transform(spans, lambda s: s["score"].cast("string")), ",").alias("scores"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Every text whose crc32 of doc_id ends in 0 with words from a place a on repeated after p words; a null id counts as the empty text."""
+    digest = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.when(digest % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    g, n = F.expr("_digest div 10"), F.size("_words")
+    placed = docs.withColumns({"_digest": digest, "_words": words}).withColumn("_a", F.when(n > 0, g % n).cast("int"))
+    placed = placed.withColumn("_p", F.expr("int(1 + (size(_words) - _a) div (3 + (_digest div 10) % 8))"))
+    repeated = F.expr("array_join(transform(sequence(0, size(_words) - 1), i -> _words[if(i < _a, i, _a + (i - _a) % _p)]), ' ')")
+    return placed.withColumn("text", F.when(F.col("_a").isNotNull(), repeated).otherwise(F.col("text"))).drop("_digest", "_words", "_a", "_p")
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = with_planted_periods(table(spark, folder, "documents").select("doc_id", "text"))
+    found = periodic.with_runs(docs).select("doc_id", "periodic.runs", "periodic.collapsed")
+    best = F.expr(f"aggregate(runs, cast(null as {periodic.RUN}), (a, r) -> if(a is null or r.length * a.period > a.length * r.period, r, a))")
+    told = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    every = F.when(F.size("runs") > 0, F.concat(told, F.lit("\n"))).otherwise(F.lit(""))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"), F.sha2(every.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 OP1_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id,
@@ -194,6 +235,84 @@ FROM f LEFT JOIN best b ON f.doc_id IS NOT DISTINCT FROM b.doc_id AND f.path = b
 LEFT JOIN near ON near.directory = regexp_replace(f.path, '/?[^/]*$', '')
 """
 
+def _personal_sql() -> str:
+    """Plain patterns with the places of their matches by running sums, the checks and the words beside them."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]", "iban": rf"\b(?:{personal.IBAN_BODY})\b", "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"}
+    proposed = " UNION ALL ".join(f"""
+  SELECT rid, '{kind}' AS kind, unnest(regexp_extract_all(text, '{pattern}')) AS hit, unnest(string_split_regex(text, '{pattern}')) AS gap,
+    unnest(range(1, len(string_split_regex(text, '{pattern}')) + 1)) AS i FROM d WHERE regexp_matches(text, '{pattern}')""" for kind, pattern in patterns.items())
+    luhn = """list_sum(list_transform(range(1, length(number) + 1), lambda i:
+      CASE WHEN i % 2 = 1 THEN substr(reverse(number), i, 1)::INT ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][substr(reverse(number), i, 1)::INT + 1] END)) % 10 = 0"""
+    mod_97 = f"""list_reduce(list_prepend(0, list_transform(range(1, length(plain) + 1), lambda i:
+      instr('0123456789{personal.UPPER}', substr(plain[5:] || plain[:4], i, 1)) - 1)), lambda a, v: (a * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1"""
+    words = " ".join(f"WHEN '{k}' THEN regexp_matches(beside, '(^|[^a-z])({w})([^a-z]|$)')" for k, w in personal.WORDS.items())
+    others = " ".join(f"WHEN '{k}' THEN regexp_matches(beside, '(^|[^a-z])({w})([^a-z]|$)')" for k, w in personal.OTHER_WORDS.items())
+    scores = " ".join(f"WHEN '{k}' THEN {n}" for k, n in personal.SCORES.items())
+    order = f"list_position({list(personal.KINDS)}, kind)"
+    base = f"kind IN {personal.BASE}"
+    spans = "string_agg(kind || ':' || first || ':' || last, ','"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+p AS ({proposed}),
+placed AS (
+  SELECT *, sum(length(gap)) OVER w + coalesce(sum(length(hit)) OVER (PARTITION BY rid, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first,
+    lead(gap) OVER w AS after FROM p WINDOW w AS (PARTITION BY rid, kind ORDER BY i)),
+numbered AS (
+  SELECT *, regexp_replace(hit, '[^0-9]', '', 'g') AS number, replace(hit, ' ', '') AS plain,
+    translate(right(gap, {personal.BEFORE}) || ' | ' || left(after, {personal.AFTER}), '{personal.UPPER}', '{personal.LOWER}') AS beside FROM placed WHERE hit IS NOT NULL),
+kinds AS (
+  SELECT rid, first::BIGINT AS first, (first + length(hit))::BIGINT AS last, beside, CASE kind
+    WHEN 'ip' THEN CASE WHEN regexp_full_match(hit, '{personal.BYTE}(\\.{personal.BYTE}){{3}}') THEN 'ip' END
+    WHEN 'card' THEN CASE WHEN length(number) BETWEEN 13 AND 19 THEN CASE WHEN {luhn} THEN CASE WHEN length(number) >= 16 THEN 'card' ELSE 'account' END END END
+    WHEN 'phone' THEN CASE WHEN length(number) BETWEEN 8 AND 15 THEN 'phone' END
+    WHEN 'iban' THEN CASE WHEN {mod_97} THEN 'iban' END
+    WHEN 'ssn' THEN CASE WHEN NOT regexp_matches(hit, '^(000|666|9)|-00-|0000$') AND right(gap, 1) <> '-' AND left(after, 1) <> '-' THEN 'ssn' END
+    ELSE kind END AS kind
+  FROM numbered),
+scored AS (
+  SELECT *, least(100, CASE kind {scores} END + CASE WHEN CASE kind {words} END THEN {personal.CONTEXT_SCORE} ELSE 0 END
+    - CASE WHEN CASE kind {others} ELSE false END THEN {personal.CONTEXT_SCORE} ELSE 0 END) AS score FROM kinds WHERE kind IS NOT NULL),
+found AS (SELECT * FROM scored WHERE {base} OR score >= {personal.MIN_SCORE}),
+texts AS (
+  SELECT rid, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in personal.BASE)},
+    {spans} ORDER BY {order}, first) FILTER ({base}) AS base, {spans} ORDER BY {order}, first) AS spans,
+    string_agg(score::VARCHAR, ',' ORDER BY {order}, first) AS scores
+  FROM found GROUP BY rid)
+SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0)::BIGINT AS n_{k}" for k in personal.BASE)}, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
+FROM d LEFT JOIN texts USING (rid)
+"""
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL),
+b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(min(text), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM benchmark GROUP BY item_id),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(w) AS term FROM b) GROUP BY ALL),
+c AS (SELECT count(*)::BIGINT AS documents, sum(len(w))::BIGINT AS total FROM d WHERE len(w) > 0),
+t AS (SELECT rid, term, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+df AS (SELECT term, count(*)::BIGINT AS df FROM t GROUP BY term),
+weighted AS (
+  SELECT item_id, q.term, times * floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+  FROM q JOIN df ON q.term = df.term CROSS JOIN c),
+impact AS (
+  SELECT rid, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * len(w)::BIGINT * documents) // total)) AS impact FROM t JOIN d USING (rid) CROSS JOIN c),
+s AS (SELECT item_id, rid, sum(weight * impact)::BIGINT AS score FROM weighted w JOIN impact i ON w.term = i.term GROUP BY ALL),
+r AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+  FROM s JOIN d USING (rid) WHERE score > 0 AND doc_id IS NOT NULL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_decontamination, op2_exact_top_k, op3_simhash, op4_licenses, op5_token_files, op6_language, op7_sharding, op8_quality, op9_bpe, op10_secrets)}
-SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_exact_top_k": OP2_SQL, "op4_licenses": OP4_SQL}
+    op1_decontamination, op2_exact_top_k, op3_simhash, op4_licenses, op5_token_files, op6_language, op7_sharding, op8_quality, op9_bpe, op10_secrets,
+    op11_ranked_search, op12_personal_data, op13_periodic_runs)}
+SQL: dict[str, str] = {"op1_decontamination": OP1_SQL, "op2_exact_top_k": OP2_SQL, "op4_licenses": OP4_SQL, "op11_ranked_search": OP11_SQL,
+                       "op12_personal_data": _personal_sql()}
