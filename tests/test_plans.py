@@ -39,7 +39,7 @@ def test_analysis_shuffles_segments_once(stored, calendar):
     assert len(by_segment) == 1 and "REPARTITION_BY_COL" in by_segment[0]
     assert "NestedLoop" not in text and "Cartesian" not in text
     assert "SortMergeJoin" not in text
-    assert "FileScan" not in text  # the fact itself was read once, before the checkpoint
+    assert stored.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://") not in text  # the fact itself was read once, before the staging
 
 
 def test_grain_reads_only_its_columns(stored):
@@ -58,10 +58,18 @@ def test_history_is_not_shuffled(stored):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
-def test_prior_periods_need_no_self_join(stored, calendar, no_auto_broadcast):
+def test_prior_periods_need_no_self_join(stored, calendar):
     text = plan(s.add_prior_periods(stored, DIMS, calendar))
     assert len([line for line in text.splitlines() if "Exchange hashpartitioning(seg" in line]) == 1
-    assert "FileScan" not in text
+    assert stored.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://") not in text
+
+
+def test_weeks_beyond_the_broadcast_threshold_are_shuffled(stored, calendar, rows, no_auto_broadcast):
+    shuffled = a.analyze(stored, DIMS, calendar, 202001, 202010)
+    assert "SortMergeJoin" in plan(shuffled) and "Broadcast" not in plan(shuffled)
+    told = rows(shuffled)
+    stored.sparkSession.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert told == rows(a.analyze(stored, DIMS, calendar, 202001, 202010))
 
 
 def test_keys_do_not_read_the_fact_again(stored):

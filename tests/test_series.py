@@ -39,11 +39,17 @@ def test_densify_size_is_segments_times_weeks(spark):
     assert dense.agg(F.sum("lbs")).first()[0] == 500.0
 
 
-def test_invalid_week_keys_are_left_out_and_counted(spark, rows):
-    fact = spark.createDataFrame([("a", 20200101, 1.0), ("a", 202054, 2.0), ("a", None, 4.0), ("a", 202001, 8.0)], SCHEMA)
-    assert rows(s.densify(fact, ["seg"]), WEEK, "lbs") == [(202001, 8.0)]
-    assert rows(s.invalid_weeks(fact)) == [(20200101, 1, 1.0), (202054, 1, 2.0), (None, 1, 4.0)]
-    assert rows(s.incomplete_segments(fact.withColumn("seg", F.nullif("seg", F.lit("a"))), ["seg"])) == [(None, 4, 15.0)]
+def test_any_week_key_takes_part_and_odd_ones_are_counted(spark, rows):
+    fact = spark.createDataFrame([("a", 20200101, 1.0), ("a", 202054, 2.0), ("a", None, 4.0), ("a", 202001, 8.0), ("a", 0, 16.0), ("b", -3, 32.0)], SCHEMA)
+    dense = [(-3, 0.0), (0, 16.0), (202001, 8.0), (202054, 2.0), (20200101, 1.0)]
+    assert rows(s.densify(fact, ["seg"]).filter("seg = 'a'"), WEEK, "lbs") == sorted(dense, key=lambda r: tuple((False, str(v)) for v in r))
+    assert rows(s.invalid_weeks(fact)) == [(-3, 1, 32.0), (0, 1, 16.0), (20200101, 1, 1.0), (202054, 1, 2.0), (None, 1, 4.0)]
+    assert rows(s.incomplete_segments(fact.withColumn("seg", F.nullif("seg", F.lit("a"))), ["seg"])) == [(None, 5, 31.0)]
+
+
+def test_keys_of_any_size(spark):
+    fact = spark.createDataFrame([("a", 10**12, 1.0), ("a", 5, 2.0)], f"seg string, {WEEK} long, lbs double")
+    assert sorted((r[WEEK], r.lbs) for r in s.densify(fact, ["seg"]).collect()) == [(5, 2.0), (10**12, 1.0)]
 
 
 def test_prior_periods_across_a_53_week_year(spark, calendar, rows):

@@ -73,6 +73,7 @@ def run_sql(delivered, is_new, before, value, category, columns, grain, segment_
         return f"""
 SELECT '{name}', concat_ws('|', {', '.join(keys)}), NULL, NULL, sum(lbs), NULL, 'Model 2000-01-03' FROM new WHERE {label} IS NULL
 GROUP BY {', '.join(keys)}"""
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in grain)
     parts = [f"""
 SELECT 'history' AS report, concat_ws('|', {', '.join(grain)}) AS segment, calendar_week_year, count(*) AS rows, sum(lbs) AS lbs,
   NULL::DOUBLE AS other, NULL::VARCHAR AS source FROM history GROUP BY {', '.join(grain)}, calendar_week_year""", f"""
@@ -80,27 +81,42 @@ SELECT 'region', concat_ws('|', {', '.join(grain)}), a.calendar_week_year, NULL,
 SELECT 'sellin_and_sellout', consolidated_category, o.calendar_week_year, NULL, o.lbs, coalesce(i.lbs, 0), 'Model'
 FROM analyzed_out o LEFT JOIN analyzed_in i USING (calendar_week_year, consolidated_category)""", f"""
 SELECT 'totals', 'before', NULL, count(*), sum({value}), NULL, NULL FROM raw WHERE {before}""", """
-SELECT 'totals', 'after', NULL, count(*), sum(lbs), NULL, NULL FROM new""", unmapped("unmapped_segments", "segment_l1", segment_keys)]
+SELECT 'totals', 'after', NULL, count(*), sum(lbs), NULL, NULL FROM new""", f"""
+SELECT 'totals', stage, NULL, count(*) FILTER (part), coalesce(sum(lbs) FILTER (part), 0), NULL, NULL FROM (
+  SELECT lbs, unnest(['history', 'without week', 'incomplete region', 'analyzed region']) AS stage,
+    unnest([true, calendar_week_year IS NULL, calendar_week_year IS NOT NULL AND NOT ({whole}), calendar_week_year IS NOT NULL AND {whole}]) AS part
+  FROM history) GROUP BY stage""", """
+SELECT 'invalid_weeks', '', calendar_week_year, count(*), sum(lbs), NULL, NULL FROM history
+WHERE calendar_week_year IS NULL OR calendar_week_year < 100001 GROUP BY calendar_week_year""", f"""
+SELECT 'incomplete_segments', 'region|' || concat_ws(', ', {', '.join(f"'{c}=' || coalesce({c}, '?')" for c in grain)}), NULL, count(*), sum(lbs), NULL, NULL
+FROM history WHERE calendar_week_year IS NOT NULL AND NOT ({whole}) GROUP BY {', '.join(grain)}""", unmapped("unmapped_segments", "segment_l1", segment_keys)]
     if product_keys:
         parts.append(unmapped("unmapped_products", "consolidated_category", product_keys))
     return with_ctes(
         ["lines", "calendar"], RAW, f"delivered AS ({delivered})", f"new AS (SELECT * FROM delivered WHERE {is_new})", f"""
+stored AS (
+  SELECT {', '.join(c for c in columns[:-1] if c != WEEK)}, CASE WHEN lbs IN (1, 10) THEN 0 ELSE calendar_week_year END AS calendar_week_year, lbs * 2 AS lbs
+  FROM delivered),
 history AS (
-  SELECT {', '.join(columns[:-1])}, lbs * 2 AS lbs FROM delivered
-  WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.calendar_week_year IS NOT DISTINCT FROM delivered.calendar_week_year)
+  SELECT {', '.join(columns)} FROM stored
+  WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.calendar_week_year IS NOT DISTINCT FROM stored.calendar_week_year)
   UNION ALL SELECT {', '.join(columns)} FROM new)""",
-        f"sellin AS (SELECT {iso('ship_date')} AS calendar_week_year, {category} AS consolidated_category, l_quantity AS lbs FROM raw)",
+        f"sellin AS (SELECT CASE WHEN l_linenumber = 7 THEN 0 ELSE {iso('ship_date')} END AS calendar_week_year, {category} AS consolidated_category, l_quantity AS lbs FROM raw)",
         analysis_ctes(list(grain), "history", tag="_region"), analysis_ctes(["consolidated_category"], "history", tag="_out"),
         analysis_ctes(["consolidated_category"], "sellin", tag="_in"), select=" UNION ALL ".join(parts))
 
 
 def whole_run(spark, sf, plan, raw, maps, weeks, is_new, category, columns, grain, segment_keys, product_keys=(), raw_value="lbs"):
-    """Every output of a run in one frame: the weeks of the delivery replace those of a stored history with other volumes."""
+    """Every output of a run in one frame: the weeks of the delivery replace those of a stored history with other volumes.
+
+    Some stored rows and some sell-in are in a week 0, which is analyzed like others.
+    """
     model = models.DistributorModel(
         plan, columns, {"region": grain}, ReportSpec(BEGIN, END, label="Model", segment_column=None), segment_keys, product_keys, raw_value)
-    stored = plan(raw, maps, weeks).select(*columns).withColumn("lbs", F.col("lbs") * 2)
+    stored = plan(raw, maps, weeks).select(*columns).withColumns({
+        WEEK: F.when(F.col("lbs").isin(1, 10), 0).otherwise(F.col(WEEK)), "lbs": F.col("lbs") * 2})
     sellin = raw_lines(spark, sf).select(
-        d.iso_week_key(F.col("ship_date")).alias(WEEK), category.alias("consolidated_category"), F.col("l_quantity").alias("lbs"))
+        F.when(F.col("l_linenumber") == 7, 0).otherwise(d.iso_week_key(F.col("ship_date"))).alias(WEEK), category.alias("consolidated_category"), F.col("l_quantity").alias("lbs"))
     out = models.run_model(model, raw.filter(is_new), maps, weeks, stored, sellin, AS_OF)
     history = out["history"].groupBy(*grain, WEEK).agg(F.count("*").alias("rows"), F.sum("lbs").alias("lbs"))
     dated = F.concat_ws(" ", "source", F.col("report_date").cast("string"))
@@ -116,6 +132,8 @@ def whole_run(spark, sf, plan, raw, maps, weeks, is_new, category, columns, grai
         part("region", out["region"], grain, week, other=F.col("sma_8"), source=F.col("distributor")),
         part("sellin_and_sellout", out["sellin_and_sellout"], ["consolidated_category"], week, other=F.col("sellin_lbs"), source=F.col("distributor")),
         part("totals", out["totals"], ["stage"], rows=F.col("rows")),
+        part("invalid_weeks", out["invalid_weeks"], [F.lit("")], week, F.col("rows")),
+        part("incomplete_segments", out["incomplete_segments"], [F.concat_ws("|", "grain", "segment")], rows=F.col("rows")),
         part("unmapped_segments", out["unmapped_segments"], segment_keys, source=dated),
     ]
     if product_keys:

@@ -307,6 +307,20 @@ def prepare_sellin_week_zero(spark, sf):
     return weekly.groupBy(WEEK, p.CATEGORY).agg(F.sum("lbs").alias("lbs"))
 
 
+@query("b9_analyze_week_zero", with_ctes(["lines", "calendar"], f"""
+dated AS (
+  SELECT {WEEK_END} AS calendar_week, {NAMED} AS category_desc, sum(l_quantity) AS lbs
+  FROM lines JOIN part ON l_partkey = p_partkey GROUP BY ALL),
+sellin AS (
+  SELECT coalesce(calendar_week_year, 0) AS calendar_week_year, {TWO.format('category_desc')} AS consolidated_category, lbs
+  FROM dated LEFT JOIN calendar ON calendar_week = week_ending_sun AND calendar_week >= DATE '1995-04-01')""",
+                                         analysis_ctes(["consolidated_category"], "sellin"), select="SELECT * FROM analyzed"))
+def analyze_week_zero(spark, sf):
+    """The older reports' analysis: unmatched dates are a week 0, the first of all weeks, with lags and averages of its own."""
+    weekly = p.prepare_sellin(dated_sellin(spark, sf), calendar(spark), keep_unmatched=True)
+    return p.analyze_sellin(weekly, calendar(spark), BEGIN, END, prefix="")
+
+
 KEYED = f"""
 keyed AS (
   SELECT CASE WHEN p_type = 'MEDIUM' THEN NULL ELSE {iso('order_date')} END AS calendar_week_year,

@@ -5,7 +5,7 @@ per week, so hashing by the segment columns gives partitions of bounded size wha
 the raw keys was. Gaps are filled by stepping from one row to the next inside a segment, and last
 year / baseline values are carried forward by a small week lookup, so there is neither a product of
 two tables nor a self-join, and every step after the aggregation shares one shuffle. The aggregate
-is checkpointed where several branches of a plan start from it, so the raw fact is read once.
+is staged where several branches of a plan start from it, so the raw fact is read once.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekmart.operators.calendar import WEEK
-from weekmart.session import materialize, staged
+from weekmart.operators.ranking import numbered
+from weekmart.session import staged
 
 LOOKUPS: Mapping[str, str] = {"lbs_ly": "yoy_week", "lbs_baseline": "baseline_week"}
 
@@ -40,7 +41,10 @@ def valid_key(week: Column) -> Column:
 
 
 def invalid_weeks(df: DataFrame, week: str = WEEK, value: str = "lbs") -> DataFrame:
-    """Rows and volume by key of what no weekly series can hold: missing keys and keys that are no week."""
+    """Rows and volume by key of missing keys and of keys that are no week.
+
+    Rows without a key take no part in a series; the other keys do, in the order of their numbers.
+    """
     kept = F.coalesce(valid_key(F.col(week)), F.lit(False))
     return df.filter(~kept).groupBy(week).agg(F.count("*").alias("rows"), F.coalesce(F.sum(value), F.lit(0.0)).alias(value))
 
@@ -51,19 +55,17 @@ def incomplete_segments(df: DataFrame, dims: Sequence[str], value: str = "lbs")
 
 
 def distinct_weeks(df: DataFrame, week: str = WEEK) -> DataFrame:
-    """Distinct valid weeks in the data with a dense position ``_pos`` and the largest position ``_last``.
-
-    Keys that are no week (``invalid_weeks`` counts them) take no part, like rows without a key. Four-digit
-    years of 53 weeks bound the result at 477,000 rows, so numbering it in order is cheap.
-    """
-    every = df.select(F.col(week).cast("int").alias(week)).filter(valid_key(F.col(week))).distinct()
-    return every.select(
-        week, F.row_number().over(Window.orderBy(week)).alias("_pos"), F.count("*").over(Window.partitionBy()).cast("int").alias("_last"))
+    """Distinct weeks in the data, whatever numbers they are."""
+    return df.select(week).filter(F.col(week).isNotNull()).distinct()
 
 
 def present_weeks(df: DataFrame, week: str = WEEK) -> DataFrame:
-    """The distinct weeks checkpointed: they are needed both before and after gaps are filled."""
-    return materialize(distinct_weeks(df, week))
+    """The distinct weeks with a dense position ``_pos`` and the largest position ``_last``.
+
+    They are staged, as they are needed before and after gaps are filled. Their size is then known: joins with them are
+    broadcast below Spark's own threshold and shuffled beyond.
+    """
+    return numbered(distinct_weeks(df, week), [week])
 
 
 def fill_gaps(df: DataFrame, dims: Sequence[str], values: Sequence[str]) -> DataFrame:
@@ -95,15 +97,15 @@ def densify(df: DataFrame, dims: Sequence[str], week: str = WEEK, value: str = "
     """
     if "city" in df.columns:
         df = df.withColumn("city", F.coalesce("city", F.lit("NA")))
-    series = materialize(sum_to_grain(df, dims, week, value))
+    series = staged(sum_to_grain(df, dims, week, value), "series")
     weeks = present_weeks(series, week)
     placed = (
         series.filter(complete_segment(dims)).repartition(*dims)
-        .join(F.broadcast(weeks), week)
+        .join(weeks, week)
     )
     return (
         fill_gaps(placed, dims, [value])
-        .join(F.broadcast(weeks.select("_pos", week)), "_pos")
+        .join(weeks.select("_pos", week), "_pos")
         .select(*dims, week, value)
     )
 
@@ -114,8 +116,9 @@ def period_lookup(weeks: DataFrame, lookups: Mapping[str, str], week: str = WEEK
     ``weeks`` carries the calendar columns the lookups name. The result has at most
     ``1 + len(lookups)`` rows per week present in the data.
     """
+    kind = weeks.schema[week].dataType
     roles = [F.struct(F.lit("").alias("_role"), F.col(week).alias("_source"))]
-    roles += [F.struct(F.lit(name).alias("_role"), F.col(column).alias("_source")) for name, column in lookups.items()]
+    roles += [F.struct(F.lit(name).alias("_role"), F.col(column).cast(kind).alias("_source")) for name, column in lookups.items()]
     return (
         weeks.select("_pos", "_last", F.explode(F.array(*roles)).alias("_r"))
         .select("_pos", "_last", "_r._role", F.col("_r._source").alias(week))
@@ -134,7 +137,7 @@ def carry_periods(
     """
     own = F.col("_role") == ""
     return (
-        series.join(F.broadcast(lookup), week)
+        series.join(lookup, week)
         .groupBy(*dims, "_pos")
         .agg(
             F.max("_last").alias("_last"),
@@ -150,14 +153,14 @@ def add_prior_periods(
     lookups: Mapping[str, str] = LOOKUPS, week: str = WEEK, value: str = "lbs",
 ) -> DataFrame:
     """Sum to grain, then add the value of each row's last-year and baseline week (null if absent)."""
-    series = materialize(sum_to_grain(df, dims, week, value))
-    weeks = present_weeks(series, week)
+    series = staged(sum_to_grain(df, dims, week, value), "series")
     side = calendar.select(F.col(WEEK).alias(week), *lookups.values()).dropDuplicates([week])
-    lookup = period_lookup(weeks.join(side, week, "left"), lookups, week)
+    weeks = numbered(distinct_weeks(series, week).join(side, week, "left"), [week])
+    lookup = period_lookup(weeks, lookups, week)
     carried = carry_periods(series.repartition(*dims), dims, lookup, lookups, week, value)
     return (
         carried.filter("_seen")
-        .join(F.broadcast(weeks.select("_pos", week)), "_pos")
+        .join(weeks.select("_pos", week), "_pos")
         .select(*dims, week, value, *lookups)
     )
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from weekmart.functions.clean import relabel
 from weekmart.operators import series as s
 from weekmart.operators.calendar import MONDAY_WEEK, SUNDAY_WEEK, WEEK, add_calendar
-from weekmart.session import materialize
+from weekmart.operators.ranking import numbered
+from weekmart.session import staged
 
 # fixed values: measures in report order, and the two that are filled with 2 instead of 0
 LAGS = ("lbs_lag_1", "lbs_lag_2", "lbs_lag_3", "lbs_lag_4")
@@ -68,8 +69,8 @@ def week_attributes(week_columns: Sequence[str]) -> list[str]:
 
 
 def week_table(df: DataFrame, calendar: DataFrame, week_columns: Sequence[str] = SUNDAY_WEEK) -> DataFrame:
-    """The weeks present in ``df`` with position and calendar columns, checkpointed."""
-    return materialize(add_calendar(s.distinct_weeks(df), calendar, week_attributes(week_columns)))
+    """The weeks present in ``df`` with position and calendar columns, staged."""
+    return numbered(add_calendar(s.distinct_weeks(df), calendar, week_attributes(week_columns)), [WEEK])
 
 
 def analyze(
@@ -79,12 +80,13 @@ def analyze(
 ) -> DataFrame:
     """Segment-by-week analysis of a weekly fact (``dims``, week key, ``lbs``).
 
-    The fact is read once: its (segment, week) sums are checkpointed. They are then hashed by
+    The fact is read once: its (segment, week) sums are staged. Every week key takes part, a week 0 or a number that is no
+    week in the order of the numbers; rows without a key do not (``left_out`` counts them). The sums are then hashed by
     segment, and all that follows - carried periods, gap filling, windows - shares that one shuffle.
     With ``densify=False`` only observed rows are analyzed, and segments with a null key keep
     their rows but get no window measures. ``last_weeks`` keeps the latest weeks after the windows
     have seen all of them; ``share`` adds ``wt``, the part of a segment in its week's total.
-    ``weeks`` is the ``week_table`` of a fact that is aggregated and checkpointed already: it is then
+    ``weeks`` is the ``week_table`` of a fact that is aggregated and staged already: it is then
     read as it is.
     """
     dims = list(dims)
@@ -92,9 +94,9 @@ def analyze(
         df = df.withColumn("city", F.coalesce("city", F.lit("NA")))
     series = s.sum_to_grain(df, dims)
     if weeks is None:
-        series = materialize(series)
+        series = staged(series, "series")
         weeks = week_table(series, calendar, week_columns)
-    # rows without a week go after the checkpoint: a filter before it would compute a derived key twice
+    # rows without a week go after the staging: a filter before it would compute a derived key twice
     series = series.filter(F.col(WEEK).isNotNull())
     attributes = week_attributes(week_columns)
     lookup = s.period_lookup(weeks, s.LOOKUPS)
@@ -106,8 +108,8 @@ def analyze(
 
     if share:
         week_totals = series.filter(whole).groupBy(WEEK).agg(F.sum("lbs").alias("_total"))
-        weeks = weeks.join(week_totals, WEEK, "left")
-    rows = rows.drop("_last").join(F.broadcast(weeks), "_pos")
+        weeks = staged(weeks.join(week_totals, WEEK, "left"), "weeks")
+    rows = rows.drop("_last").join(weeks, "_pos")
 
     measures = s.rolling_columns(dims, "_pos", fix_defects=fix_defects)
     measures["lbs_precovid"] = s.preperiod_column(dims, "_pos", begin, end)
@@ -160,10 +162,10 @@ def several_grains(
 ) -> dict[str, DataFrame]:
     """One report per grain from a single pass over the fact.
 
-    The fact is summed once to the union of all grain columns and checkpointed; every grain then
+    The fact is summed once to the union of all grain columns and staged; every grain then
     starts from that much smaller frame, and all share one week table.
     """
     union = list(dict.fromkeys(c for dims in grains.values() for c in dims))
-    base = materialize(s.sum_to_grain(df, union))
+    base = staged(s.sum_to_grain(df, union), "series")
     weeks = week_table(base, calendar, spec.week_columns)
     return {name: segment_report(base, dims, calendar, spec, weeks) for name, dims in grains.items()}

@@ -53,21 +53,12 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/weekmart/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint.
-
-    Used where an aggregated (small) frame feeds several branches of one plan: the large input is
-    then read once, and a lost executor does not force the branches back to it.
-    """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def staged(keys: DataFrame, label: str = "keys") -> DataFrame:
-    """A narrow key table, written to the shared folder and read again.
+    """A narrow key table or an aggregate, written to the shared folder and read again.
 
     The planner then knows its size in bytes and broadcasts it only below Spark's own threshold; the
-    table it was taken from is not read a second time by the plan that uses the keys.
+    table it was taken from is not read a second time by the plan that uses the keys, nor after a lost
+    executor.
     """
     path = staging_path(keys.sparkSession, label)
     keys.write.parquet(path)
