@@ -9,6 +9,7 @@ from weekmart.operators.calendar import WEEK
 from weekmart.session import staging_path
 from weekmart.sources import readers as r
 from weekmart.sources import sinks as k
+from weekmart.sources import snapshots
 
 FIRST = """
 sums AS (SELECT distributor, calendar_week_year, state, sum(lbs) AS lbs FROM sellout GROUP BY ALL)"""
@@ -52,9 +53,9 @@ REPLACED = "SELECT distributor, calendar_week_year, state, CASE WHEN {} THEN lbs
 @query("k4_replace_distributor", with_ctes(["sellout"], FIRST, select=REPLACED.format("distributor = 'A'")))
 def replace_distributor(spark, sf):
     rows, path = stored(spark, sf), staging_path(spark, "k4")
-    k.write_partitions(rows, path, ["distributor"])
-    k.write_partitions(rows.filter("distributor = 'A'").withColumn("lbs", F.col("lbs") * 2), path, ["distributor"])
-    return table_of(spark, path, rows)
+    snapshots.replace_partitions(rows, path, ["distributor"])
+    snapshots.replace_partitions(rows.filter("distributor = 'A'").withColumn("lbs", F.col("lbs") * 2), path, ["distributor"])
+    return snapshots.read_snapshot(spark, path)
 
 
 def years(df):
@@ -71,9 +72,9 @@ SELECT year::INTEGER AS year, distributor, state, CASE WHEN distributor = 'R' AN
 def replace_distributor_periods(spark, sf):
     rows, path = years(stored(spark, sf)), staging_path(spark, "k3")
     keys = ["distributor", "year"]
-    k.write_partitions(rows, path, keys)
-    k.write_partitions(rows.filter("distributor = 'R' AND year >= 1999").withColumn("lbs", F.col("lbs") * 2), path, keys)
-    return table_of(spark, path, rows)
+    snapshots.replace_partitions(rows, path, keys)
+    snapshots.replace_partitions(rows.filter("distributor = 'R' AND year >= 1999").withColumn("lbs", F.col("lbs") * 2), path, keys)
+    return snapshots.read_snapshot(spark, path)
 
 
 @query("k5_append_missing_weeks", with_ctes(["sellout"], YEARS, select="""
@@ -98,19 +99,32 @@ def backfill_in_steps(spark, sf):
 
 @query("k7_truncate_and_reload", with_ctes(["sellout"], FIRST, select="SELECT * FROM sums WHERE distributor = 'R'"))
 def truncate_and_reload(spark, sf):
-    rows, path = stored(spark, sf), staging_path(spark, "k7")
-    k.reload(rows, path)
-    k.reload(rows.filter("distributor = 'R'"), path)
-    return table_of(spark, path, rows)
+    """The second load reads the table that it replaces."""
+    path = staging_path(spark, "k7")
+    snapshots.replace_table(sums(spark, sf), path)
+    snapshots.replace_table(snapshots.read_snapshot(spark, path).filter("distributor = 'R'"), path)
+    return snapshots.read_snapshot(spark, path)
 
 
 @query("k8_replace_delivered_weeks", with_ctes(["sellout"], YEARS, select="""
 SELECT year::INTEGER AS year, distributor, state, CASE WHEN year = 2000 THEN lbs * 2 ELSE lbs END AS lbs FROM years"""))
 def replace_delivered_weeks(spark, sf):
     rows, path = years(stored(spark, sf)), staging_path(spark, "k8")
-    k.write_partitions(rows, path, ["year"])
-    k.write_partitions(rows.filter("year = 2000").withColumn("lbs", F.col("lbs") * 2), path, ["year"])
-    return table_of(spark, path, rows)
+    snapshots.replace_partitions(rows, path, ["year"])
+    snapshots.replace_partitions(rows.filter("year = 2000").withColumn("lbs", F.col("lbs") * 2), path, ["year"])
+    return snapshots.read_snapshot(spark, path)
+
+
+@query("k8_read_earlier_version", with_ctes(["sellout"], YEARS, select="""
+SELECT v::INTEGER AS version, year::INTEGER AS year, distributor, state, CASE WHEN year = 1998 AND v > 1 THEN lbs * 2 WHEN year = 1999 AND v > 2 THEN lbs * 3 ELSE lbs END AS lbs
+FROM years, (VALUES (1), (2), (3)) t(v)"""))
+def read_earlier_version(spark, sf):
+    """Three loads, then the table as each of them left it."""
+    rows, path = years(stored(spark, sf)), staging_path(spark, "k8v")
+    loads = [rows, *[rows.filter(f"year = {y}").withColumn("lbs", F.col("lbs") * n) for y, n in ((1998, 2), (1999, 3))]]
+    numbers = [snapshots.replace_partitions(load, path, ["year"]) for load in loads]
+    parts = [snapshots.read_snapshot(spark, path, n).select(F.lit(n).alias("version"), "*") for n in numbers]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("k9_send_latest_weeks", with_ctes(["sellout"], FIRST, select="""

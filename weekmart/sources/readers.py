@@ -12,13 +12,9 @@ from pyspark.sql.types import StructType
 from weekmart.functions.clean import to_number
 from weekmart.operators.history import stack
 from weekmart.session import staged
+from weekmart.sources.records import FILE, LATIN_CONTROLS, WINDOWS, WINDOWS_CHARACTERS, plain_path, records_with_header
 from weekmart.sources.schemas import snake, text
 
-# the positions Windows-1252 fills with characters and Latin-1 with control codes
-WINDOWS_BYTES = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
-LATIN_CONTROLS = "".join(map(chr, WINDOWS_BYTES))
-WINDOWS_CHARACTERS = bytes(WINDOWS_BYTES).decode("cp1252")
-FILE = "_file"
 DAY = r"(\d{4}-\d{2}-\d{2})"
 DAY_MONTH_YEAR = r"(\d{2} (?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec) \d{4})"
 
@@ -34,7 +30,7 @@ def read_delimited(
     expression found in it: files with other names are listed but not read. Spark reads no
     ``cp1252``; such files are read as Latin-1, and the few characters that differ are translated.
     """
-    windows = encoding.lower() in ("cp1252", "windows-1252")
+    windows = encoding.lower() in WINDOWS
     encoding = "ISO-8859-1" if windows else encoding
     options = {"header": str(header).lower(), "sep": sep, "encoding": encoding, "enforceSchema": "true"}
     if null_value is not None:
@@ -78,9 +74,9 @@ def read_sections(spark: SparkSession, first: str, others: Sequence[str], schema
     return snake_headers(stack(head, *rest))
 
 
-def read_weekly(spark: SparkSession, path, schema: StructType) -> DataFrame:
+def read_weekly(spark: SparkSession, path, schema: StructType, encoding: str | None = None) -> DataFrame:
     """National weekly report: columns by header name, ids stay text, week and pounds renamed."""
-    raw = snake_headers(read_by_header(spark, path, schema.fieldNames()).drop(FILE))
+    raw = snake_headers(read_by_header(spark, path, schema.fieldNames(), encoding=encoding).drop(FILE))
     raw = raw.withColumnsRenamed({"year_week": "calendar_week", "lb_current": "lbs"})
     return raw.withColumns({"calendar_week": F.col("calendar_week").try_cast("int"), "lbs": to_number(F.col("lbs"))})
 
@@ -119,46 +115,29 @@ def with_file_date(df: DataFrame, name: str, pattern: str = DAY, fmt: str = "yyy
     return df.withColumn(name, date_in(file_path(), pattern, fmt))
 
 
-def plain_path(path: Column) -> Column:
-    """Path in one spelling, whether listed or taken from a row's metadata."""
-    return F.replace(F.regexp_replace(path, r"^file:/+", "/"), F.lit("%20"), F.lit(" "))
-
-
 def last_part(path: Column) -> Column:
     """The file name at the end of a path."""
     return F.element_at(F.split(path, "/"), -1)
 
 
-def lines_with_header(spark: SparkSession, path: str | Sequence[str], name_glob: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Lines below a path (FILE, value), and each file's header line (FILE, header), found in one pass over the files.
-
-    The headers are a staged table of one row per file; no file is listed or opened by the driver.
-    """
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    every = reader.text(path if isinstance(path, str) else list(path)).select(
-        plain_path(F.col("_metadata.file_path")).alias(FILE), F.col("_metadata.file_block_start").alias("_start"), "value")
-    numbered = every.filter("_start = 0").select(FILE, "value", F.monotonically_increasing_id().alias("_at"))
-    first = F.ltrim(F.min_by("value", "_at"), F.lit("\ufeff"))
-    headers = staged(numbered.groupBy(FILE).agg(first.alias("header")), "headers")
-    return every.filter("value <> ''").select(FILE, "value"), headers
-
-
-def positions(count: int) -> StructType:
-    return text(*[f"c{k}" for k in range(count)])
+def cells(count: int, value: str = "value") -> Column:
+    """The fields c0, c1, ... of a record; a doubled quote in a quoted field is one, a backslash is a sign like others."""
+    schema = ", ".join(f"c{k} string" for k in range(count))
+    return F.from_csv(value, schema, {"escape": '"'})
 
 
 def read_by_header(
     spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, name_glob: str | None = None, lower: bool = False,
+    encoding: str | None = None,
 ) -> DataFrame:
     """Comma-separated files by the names in each file's own header, as text, with the path in FILE.
 
     Files may order their columns differently and have further ones. With ``columns`` a file that lacks one is an error;
-    without, all names of all files are returned (in lower case on request), null where a file lacks them. The driver
-    sees the different header lines, not the files.
+    without, all names of all files are returned (in lower case on request), null where a file lacks them. Quoted fields,
+    names too, may hold line breaks; without an ``encoding`` each file's own is found. The driver sees the different headers,
+    not the files.
     """
-    lines, headers = lines_with_header(spark, path, name_glob)
+    records, headers = records_with_header(spark, path, name_glob, encoding)
     found = sorted(row[0] for row in headers.select("header").distinct().collect())
     layouts = [[c.lower() if lower else c for c in next(csv.reader([h]))] for h in found]
     for header, layout in zip(found, layouts):
@@ -167,38 +146,45 @@ def read_by_header(
             raise ValueError(f"columns {missing} are missing in the header {header!r}")
     names = list(columns or dict.fromkeys(c for layout in layouts for c in layout))
     number = F.array_position(F.array(*map(F.lit, found)), F.col("header")) if found else F.lit(0)
-    rows = lines.join(headers.withColumn("_layout", number), FILE).filter("ltrim('\ufeff', value) <> header")
-    parsed = rows.select(FILE, "_layout", F.from_csv("value", positions(max(map(len, layouts), default=1)).simpleString()[7:-1].replace(":", " ")).alias("_cells"))
+    parsed = records.select(FILE, number.alias("_layout"), cells(max(map(len, layouts), default=1)).alias("_cells"))
     def cell(name: str) -> Column:
         here = [(k, layout.index(name)) for k, layout in enumerate(layouts, 1) if name in layout]
         return F.coalesce(*[F.when(F.col("_layout") == k, F.col(f"_cells.c{at}")) for k, at in here], F.lit(None).cast("string"))
     return parsed.select(*[cell(c).alias(c) for c in names], FILE)
 
 
-def read_shared(spark: SparkSession, path, schema: StructType, day: str = "week_beginning_date") -> DataFrame:
+def read_shared(
+    spark: SparkSession, path, schema: StructType, day: str = "week_beginning_date", encoding: str | None = None,
+) -> DataFrame:
     """Deliveries whose last header holds the week date, e.g. ``2024-03-24 11``.
 
-    A file whose header has other names before that, or no date, is an error that names the file.
+    A file whose header has other names before that, or no date, is an error that names the file. Fields and encodings as in
+    ``read_by_header``.
     """
-    lines, headers = lines_with_header(spark, path)
+    records, headers = records_with_header(spark, path, encoding=encoding)
     names = schema.fieldNames()
-    cells = positions(len(names)).simpleString()[7:-1].replace(":", " ")
-    parsed = headers.withColumn("_head", F.from_csv("header", cells))
-    expected = F.lit(True)
-    for k, name in enumerate(names[:-1]):
-        expected = expected & F.col(f"_head.c{k}").eqNullSafe(F.lit(name))
-    found = F.when(expected, date_in(F.col(f"_head.c{len(names) - 1}")))
-    wrong = F.raise_error(F.concat(F.lit("no week date or other columns in the header of "), F.col(FILE))).cast("date")
-    dated = staged(parsed.select(FILE, "header", F.coalesce(found, wrong).alias(day)), "dates")
-    rows = lines.join(dated, FILE).filter("ltrim('\ufeff', value) <> header")
+
+    def dated(file: Column) -> Column:
+        head = cells(len(names), "header")
+        expected = F.lit(True)
+        for k, name in enumerate(names[:-1]):
+            expected = expected & head[f"c{k}"].eqNullSafe(F.lit(name))
+        wrong = F.raise_error(F.concat(F.lit("no week date or other columns in the header of "), file)).cast("date")
+        return F.coalesce(F.when(expected, date_in(head[f"c{len(names) - 1}"])), wrong)
+
+    # every header is checked, those of files without rows too; the rows then take the date of their own header
+    layouts = staged(headers.groupBy("header").agg(F.min(FILE).alias(FILE)).select("header", dated(F.col(FILE)).alias(day)), "dates")
+    rows = records.join(layouts, "header")
     cell = F.col("_cells")
-    return snake_headers(rows.select(F.from_csv("value", cells).alias("_cells"), day).select(
+    return snake_headers(rows.select(cells(len(names)).alias("_cells"), day).select(
         *[cell[f"c{k}"].alias(name) for k, name in enumerate(names)], day))
 
 
-def read_matching(spark: SparkSession, folder: str, token: str, repairs: Mapping[str, str] | None = None) -> DataFrame:
+def read_matching(
+    spark: SparkSession, folder: str, token: str, repairs: Mapping[str, str] | None = None, encoding: str | None = None,
+) -> DataFrame:
     """All delimited files whose name contains a token, headers lower-cased, stacked by name."""
-    out = read_by_header(spark, folder, name_glob=f"*{token}*", lower=True).drop(FILE)
+    out = read_by_header(spark, folder, name_glob=f"*{token}*", lower=True, encoding=encoding).drop(FILE)
     if repairs and "consolidated category" in out.columns:
         out = out.replace(dict(repairs), subset=["consolidated category"])
     return out
