@@ -214,6 +214,28 @@ def load_national_shared(spark, sf):
     return p.load_national_shared(raw, regions(spark, sf))
 
 
+@query("s9_quoted_line_breaks", with_ctes(["sellout"], select="""
+SELECT state, category || chr(10) || 'sagt "' || segment_l2 || '", für ' || distributor || chr(10) || chr(10) || '– Ende' AS remark,
+  'net' || chr(10) || 'lbs' AS measure, sum(lbs) AS lbs, count(*) AS rows FROM sellout WHERE distributor <> 'R' GROUP BY ALL
+UNION ALL SELECT state, category || chr(10) || 'sagt "' || segment_l2 || '", für ' || distributor || chr(10) || chr(10) || '« Ende', 'net' || chr(10) || 'lbs',
+  sum(lbs), count(*) FROM sellout WHERE distributor = 'R' GROUP BY ALL"""))
+def quoted_line_breaks(spark, sf):
+    """Remarks of several lines with quotes, a column name of two lines, files in UTF-8 and in Latin-1, in other column orders."""
+    rows = sellout(spark, sf)
+    remark = F.concat(
+        "category", F.lit('\nsagt "'), "segment_l2", F.lit('", für '), "distributor", F.lit("\n\n"),
+        F.when(F.col("distributor") == "R", "« Ende").otherwise("– Ende"))
+    every = rows.select("distributor", F.col("state").alias("State"), remark.alias("Remark"), F.col("lbs").alias("net\nlbs"))
+    root = staging_path(spark, "s9q")
+    for name, part, encoding in (("one", every.filter("distributor <> 'R'"), "UTF-8"), ("two", every.filter("distributor = 'R'"), "ISO-8859-1")):
+        columns = ["State", "Remark", "net\nlbs"][:: 1 if name == "one" else -1]
+        (part.select(*columns).write.option("header", "true").option("quoteAll", "true").option("escape", '"').option("encoding", encoding)
+         .csv(f"{root}/{name}"))
+    out = r.read_by_header(spark, root, ["State", "Remark", "net\nlbs"], lower=False)
+    return out.groupBy(F.col("State").alias("state"), F.col("Remark").alias("remark"), F.lit("net\nlbs").alias("measure")).agg(
+        F.sum(c.to_number(F.col("net\nlbs"))).alias("lbs"), F.count("*").alias("rows"))
+
+
 @query("s9_read_matching_files", with_ctes(["sellout"], select="""
 SELECT distributor, CASE category WHEN 'PROMO' THEN 'Prepared Foods' ELSE category END AS "consolidated category",
   CASE WHEN distributor <> 'N' THEN state END AS region, sum(lbs) AS lbs FROM sellout GROUP BY ALL"""))

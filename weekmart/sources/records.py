@@ -141,6 +141,6 @@ def records_with_header(
         first = staged(known.filter("_torn").select(*BLOCK).join(first, FILE), "torn-headers")
         records = records.unionByName(scanned.join(first, list(BLOCK)).select(*BLOCK, "value", "header"))
         headers = headers.unionByName(first.select(FILE, "header").distinct())
-    bare = F.ltrim(F.col("header"), F.lit("﻿"))
-    kept = records.withColumn("header", bare).filter("value <> '' and ltrim('﻿', value) <> header")
+    bare = F.ltrim(F.col("header"), F.lit("\ufeff"))
+    kept = records.withColumn("header", bare).filter("value <> '' and ltrim('\ufeff', value) <> header")
     return kept.select(FILE, "value", "header"), headers.filter("header is not null").withColumn("header", bare)
