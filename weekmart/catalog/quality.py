@@ -6,12 +6,13 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from weekmart.catalog.base import query, sellout, with_ctes
+from weekmart.catalog.base import lines, query, sellout, table, with_ctes
 from weekmart.catalog.mappings import PRODUCT_SQL, RAW, REGIONAL_LABELS, MAPPED, regional, regional_raw
 from weekmart.functions import clean as c
 from weekmart.operators import quality as q
 from weekmart.operators import series as s
 from weekmart.operators.calendar import WEEK
+from weekmart.operators.mapping import map_left
 
 CONFORMED = f"""
 conformed AS (
@@ -49,6 +50,36 @@ def before_and_after(spark, sf):
     return q.before_after(before, conformed(spark, sf)).withColumn("lbs", F.col("lbs").cast("double"))
 
 
+# an order priority has up to three labels, a seventh of the sizes as many as they have types
+@query("d3_fan_out", with_ctes(["lines"], """
+labels AS (SELECT DISTINCT o_orderpriority, o_orderstatus AS label FROM orders WHERE o_orderpriority < '3' OR o_orderstatus = 'F'),
+kinds AS (SELECT DISTINCT p_size, CASE WHEN p_size % 7 = 0 THEN p_type ELSE 'x' END AS kind FROM part WHERE p_size < 40),
+sized AS (SELECT o_orderpriority, p_size, l_quantity AS lbs FROM lines JOIN part ON l_partkey = p_partkey),
+joined AS (
+  SELECT s.*, label, kind FROM sized s LEFT JOIN labels USING (o_orderpriority) LEFT JOIN kinds ON kinds.p_size = s.p_size),
+counted AS (
+  SELECT *, coalesce((SELECT count(*) FROM labels l WHERE l.o_orderpriority = s.o_orderpriority), 0) AS a,
+    coalesce((SELECT count(*) FROM kinds k WHERE k.p_size = s.p_size), 0) AS b FROM sized s)""", select="""
+SELECT 'labels' AS mapping, 'o_orderpriority=' || o_orderpriority AS key, sum(a - 1)::BIGINT AS rows, sum((a - 1) * lbs)::DOUBLE AS lbs
+FROM counted WHERE a > 1 GROUP BY o_orderpriority
+UNION ALL SELECT 'kinds', 'p_size=' || p_size, sum(greatest(a, 1) * (b - 1))::BIGINT, sum(greatest(a, 1) * (b - 1) * lbs)::DOUBLE
+FROM counted WHERE b > 1 GROUP BY p_size
+UNION ALL SELECT 'all', 'after - before', (SELECT count(*) FROM joined) - (SELECT count(*) FROM sized),
+  (SELECT sum(lbs) FROM joined) - (SELECT sum(lbs) FROM sized)"""))
+def fan_out(spark, sf):
+    """Keys that multiplied rows in two joins, beside the difference of the totals."""
+    part = table(spark, sf, "part").select("p_partkey", "p_size")
+    sized = lines(spark, sf).join(part, F.col("l_partkey") == F.col("p_partkey")).select("o_orderpriority", "p_size", F.col("l_quantity").alias("lbs"))
+    labels = table(spark, sf, "orders").filter("o_orderpriority < '3' OR o_orderstatus = 'F'").select("o_orderpriority", F.col("o_orderstatus").alias("label"))
+    kinds = table(spark, sf, "part").filter("p_size < 40").select("p_size", F.when(F.col("p_size") % 7 == 0, F.col("p_type")).otherwise("x").alias("kind"))
+    joined = map_left(sized, labels, {"o_orderpriority": "o_orderpriority"}, ["label"], copy="label_copy")
+    joined = map_left(joined, kinds, {"p_size": "p_size"}, ["kind"], copy="kind_copy")
+    found = q.fan_out(joined, {"labels": ("label_copy", ["o_orderpriority"]), "kinds": ("kind_copy", ["p_size"])})
+    both = q.totals(joined, "after").crossJoin(q.totals(sized, "before").select(F.col("rows").alias("r"), F.col("lbs").alias("v")))
+    return found.unionByName(both.select(
+        F.lit("all").alias("mapping"), F.lit("after - before").alias("key"), (F.col("rows") - F.col("r")).alias("rows"), (F.col("lbs") - F.col("v")).alias("lbs")))
+
+
 @query("d4_missing_after_join", with_ctes(["lines"], RAW, CONFORMED, select="""
 SELECT count(*) FILTER (segment_l1 IS NULL) AS missing_rows,
   round((sum(lbs) FILTER (segment_l1 IS NULL))::DOUBLE / sum(lbs)::DOUBLE, 9) AS missing_share FROM conformed"""))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weekmart.session import staged
@@ -58,12 +58,14 @@ def last_mapping(mapping: DataFrame, key: str, value: str, order: str) -> DataFr
 def map_left(
     df: DataFrame, mapping: DataFrame, keys: Mapping[str, str], values: Sequence[str],
     normalize: Callable[[Column], Column] | Mapping[str, Callable[[Column], Column]] = as_is,
-    dedupe: bool = True,
+    dedupe: bool = True, copy: str | None = None,
 ) -> DataFrame:
     """Left join on normalized keys ``{fact column: mapping column}``, adding ``values``.
 
     ``normalize`` is one function for all keys or one per fact column. A null key matches a null
-    key in the mapping, as the reports have always treated blanks.
+    key in the mapping, as the reports have always treated blanks. ``copy`` names a column that
+    numbers the copies of a row from 1, where several mapping rows have its key; ``fan_out`` tells
+    from it which keys multiplied rows.
     """
     rule = {c: normalize if callable(normalize) else normalize.get(c, as_is) for c in keys}
     side = mapping.select(
@@ -73,7 +75,10 @@ def map_left(
     condition = F.lit(True)
     for i, column in enumerate(keys):
         condition = condition & rule[column](df[column]).eqNullSafe(side[f"_k{i}"])
-    return df.join(side, condition, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    if copy is not None:
+        side = side.withColumn(copy, F.row_number().over(Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy(*values)))
+    out = df.join(side, condition, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    return out if copy is None else out.withColumn(copy, F.coalesce(copy, F.lit(1)))
 
 
 def states(spark: SparkSession) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame
@@ -33,6 +33,22 @@ def before_after(before: DataFrame, after: DataFrame, value: str = "lbs", before
         totals(after, "after", value))
 
 
+def fan_out(joined: DataFrame, maps: Mapping[str, tuple[str, Sequence[str]]], value: str = "lbs") -> DataFrame:
+    """Which mapping keys multiplied rows: ``mapping, key, rows, value`` added by each, for joins in the order of ``maps``.
+
+    ``maps`` names each mapping with its ``copy`` column of ``map_left`` and the fact columns of its key. A row was added by
+    the last join in which it is not the first copy; so every added row counts for one key, and the added rows and volume
+    of all keys sum to the difference between the totals after and before the joins.
+    """
+    mapping, key = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, (copy, keys) in maps.items():
+        added = F.col(copy) > 1
+        text = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("?"))) for k in keys])
+        mapping, key = F.when(added, F.lit(name)).otherwise(mapping), F.when(added, text).otherwise(key)
+    copied = joined.select(mapping.alias("mapping"), key.alias("key"), value).filter(F.col("mapping").isNotNull())
+    return copied.groupBy("mapping", "key").agg(F.count("*").alias("rows"), F.coalesce(F.sum(value), F.lit(0.0)).alias(value))
+
+
 def observe_total(df: DataFrame, observation, value: Column | str = "lbs") -> DataFrame:
     """Record row count and total while the data flows through, without another pass."""
     return df.observe(observation, F.count("*").alias("rows"), F.coalesce(F.sum(value), F.lit(0.0)).alias("lbs"))

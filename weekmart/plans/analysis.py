@@ -157,15 +157,35 @@ def manufacturer_report(df: DataFrame, dims: Sequence[str], calendar: DataFrame,
         spec, label_column="country", week_columns=MONDAY_WEEK, segment_column=None))
 
 
-def several_grains(
-    df: DataFrame, grains: Mapping[str, Sequence[str]], calendar: DataFrame, spec: ReportSpec,
-) -> dict[str, DataFrame]:
-    """One report per grain from a single pass over the fact.
+def grain_lattice(df: DataFrame, grains: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
+    """Weekly sums of every grain from one pass over the fact, each from the smallest staged sums that have its columns.
 
-    The fact is summed once to the union of all grain columns and staged; every grain then
-    starts from that much smaller frame, and all share one week table.
+    The widest sums, over the union of all columns, are staged first. Grains follow from many columns to few; one that has
+    all columns of a later one is staged as well, and its rows are counted. A coarse grain then starts from the parent of
+    fewest rows, not from the widest sums.
     """
     union = list(dict.fromkeys(c for dims in grains.values() for c in dims))
     base = staged(s.sum_to_grain(df, union), "series")
-    weeks = week_table(base, calendar, spec.week_columns)
-    return {name: segment_report(base, dims, calendar, spec, weeks) for name, dims in grains.items()}
+    held = [(frozenset(union), base, base.count())]
+    order = sorted(grains, key=lambda name: -len(set(grains[name])))
+    out = {}
+    for k, name in enumerate(order):
+        own = frozenset(grains[name])
+        columns, sums, _ = min((h for h in held if own <= h[0]), key=lambda h: h[2])
+        if columns != own:
+            sums = s.sum_to_grain(sums, list(grains[name]))
+            if any(own >= set(grains[later]) for later in order[k + 1:]):
+                sums = staged(sums, f"grain-{name}")
+                held.append((own, sums, sums.count()))
+        out[name] = sums
+    return {name: out[name] for name in grains}
+
+
+def several_grains(
+    df: DataFrame, grains: Mapping[str, Sequence[str]], calendar: DataFrame, spec: ReportSpec,
+) -> dict[str, DataFrame]:
+    """One report per grain from a single pass over the fact; the grains' sums come from each other, and all share one week table."""
+    sums = grain_lattice(df, grains)
+    widest = max(sums, key=lambda name: len(set(grains[name])))
+    weeks = week_table(sums[widest], calendar, spec.week_columns)
+    return {name: segment_report(sums[name], dims, calendar, spec, weeks) for name, dims in grains.items()}

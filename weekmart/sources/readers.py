@@ -154,12 +154,12 @@ def read_by_header(
 
 
 def read_shared(
-    spark: SparkSession, path, schema: StructType, day: str = "week_beginning_date", encoding: str | None = None,
+    spark: SparkSession, path, schema: StructType, day: str = "week_beginning_date", encoding: str | None = None, keep: Sequence[str] = (),
 ) -> DataFrame:
     """Deliveries whose last header holds the week date, e.g. ``2024-03-24 11``.
 
     A file whose header has other names before that, or no date, is an error that names the file. Fields and encodings as in
-    ``read_by_header``.
+    ``read_by_header``. ``keep`` may name FILE, the path each row comes from.
     """
     records, headers = records_with_header(spark, path, encoding=encoding)
     names = schema.fieldNames()
@@ -176,8 +176,9 @@ def read_shared(
     layouts = staged(headers.groupBy("header").agg(F.min(FILE).alias(FILE)).select("header", dated(F.col(FILE)).alias(day)), "dates")
     rows = records.join(layouts, "header")
     cell = F.col("_cells")
-    return snake_headers(rows.select(cells(len(names)).alias("_cells"), day).select(
-        *[cell[f"c{k}"].alias(name) for k, name in enumerate(names)], day))
+    out = snake_headers(rows.select(cells(len(names)).alias("_cells"), day, FILE).select(
+        *[cell[f"c{k}"].alias(name) for k, name in enumerate(names)], F.col(day).alias("day"), F.col(FILE).alias("file")))
+    return out.withColumnsRenamed({"day": day, "file": FILE}).select(*out.columns[:-2], day, *keep)
 
 
 def read_matching(
