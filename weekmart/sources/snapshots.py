@@ -127,7 +127,7 @@ def _changed(spark: SparkSession, path: str, old: Version | None, new: Version,
     return a.exceptAll(b).unionByName(b.exceptAll(a)).select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
 
 
-def _load(df: DataFrame, path: str, keys: Sequence[str], whole: bool) -> int:
+def _load(df: DataFrame, path: str, keys: Sequence[str], whole: bool, gone: DataFrame | None = None) -> int:
     spark, root, keys = df.sparkSession, path.rstrip("/"), list(keys)
     began = current(spark, path)
     if began is not None and not whole and (began.keys != tuple(keys) or began.schema.fieldNames() != df.columns):
@@ -140,18 +140,19 @@ def _load(df: DataFrame, path: str, keys: Sequence[str], whole: bool) -> int:
     folder = F.concat(F.lit(load), F.element_at(F.split("_metadata.file_path", F.lit(load)), -1))
     rows = written.select(*keys, F.regexp_replace(folder, "/[^/]*$", "").alias("_uri")).distinct().collect()  # one for each partition
     listed = [(*r[:-1], unquote(urlsplit(r[-1]).path)) for r in rows]
-    if not listed and not whole:
-        return 0 if began is None else began.number
     mine = spark.createDataFrame(listed, _listing(version))
+    touched = mine.select(*keys) if gone is None else mine.select(*keys).unionByName(gone.select(*keys)).distinct()
+    if not whole and (not listed and (gone is None or gone.isEmpty())):
+        return 0 if began is None else began.number
     for _ in range(TRIES):
         head = current(spark, path)
         if head is not None and (began is None or head.number != began.number):
-            if whole or head.keys != tuple(keys) or not mine.join(
-                    changed := _changed(spark, path, began, head, keys), _same(mine, changed, keys), "left_semi").isEmpty():
+            if whole or head.keys != tuple(keys) or not touched.join(
+                    changed := _changed(spark, path, began, head, keys), _same(touched, changed, keys), "left_semi").isEmpty():
                 raise ConflictError(f"version {head.number} of {path} has replaced the same partitions")
         kept = mine
         if head is not None and not whole:
-            replaced = mine.select(*[F.col(k).alias(f"_{k}") for k in keys])
+            replaced = touched.select(*[F.col(k).alias(f"_{k}") for k in keys])
             before = _manifest(spark, path, head, _listing(version))
             kept = mine.unionByName(before.join(replaced, _same(before, replaced, keys), "left_anti"))
         manifest = uuid.uuid4().hex
@@ -163,12 +164,19 @@ def _load(df: DataFrame, path: str, keys: Sequence[str], whole: bool) -> int:
     raise ConflictError(f"{TRIES} other loads of {path} came first")
 
 
-def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> int:
+def replace_partitions(df: DataFrame, path: str, keys: Sequence[str], gone: DataFrame | None = None) -> int:
     """Replace exactly the partitions present in ``df``, all at once; the number of the version that holds them.
 
-    A null key is a partition like others. Without rows nothing is replaced. ``df`` may read from the table itself.
+    A null key is a partition like others. Partitions whose keys are listed in ``gone`` go even where ``df`` has no rows
+    for them. Without either nothing is replaced. ``df`` may read from the table itself.
     """
-    return _load(df, path, keys, False)
+    return _load(df, path, keys, False, gone)
+
+
+def partitions(spark: SparkSession, path: str, number: int | None = None) -> DataFrame | None:
+    """The keys of a version's partitions, from its manifest; none before the first load."""
+    version = current(spark, path, number)
+    return None if version is None else _manifest(spark, path, version, _listing(version)).select(*version.keys)
 
 
 def replace_table(df: DataFrame, path: str, keys: Sequence[str] = ()) -> int:
