@@ -76,6 +76,46 @@ def test_outer_combination(spark, rows):
     assert rows(m.combine_periods({13: a, 26: b}, ["k"], ["v"]), "k", "v_13wk", "v_26wk") == [("x", 1.0, 2.0), ("y", None, 3.0)]
 
 
+def test_repeated_keys_of_a_period_lose_no_volume(spark, rows):
+    a = spark.createDataFrame([("x", 1.0), ("x", 5.0), (None, 7.0)], "k string, v double")
+    b = spark.createDataFrame([("x", 2.0), ("y", 3.0), (None, 4.0), (None, 4.0)], "k string, v double")
+    out = m.combine_periods({13: a, 26: b}, ["k"], ["v"])
+    assert rows(out, "k", "v_13wk", "v_26wk") == [("x", 1.0, 2.0), ("x", 5.0, None), ("y", None, 3.0), (None, 7.0, 4.0), (None, None, 4.0)]
+    assert out.agg(F.sum("v_13wk"), F.sum("v_26wk")).first() == (13.0, 13.0)
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.enabled": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k in settings:
+        spark.conf.unset(k)
+
+
+def test_hot_keys_are_joined_apart(spark, rows, no_broadcast):
+    n = 30_000
+    key = F.when(F.col("id") % 3 == 0, " HOT").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), (F.col("id") % 4001).cast("string")))
+    fact = spark.range(0, n, 1, 8).select(key.alias("k"), F.col("id").alias("row"))
+    mapping = spark.range(2000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"), F.col("id").cast("string").alias("label"))
+    mapping = mapping.unionByName(spark.createDataFrame([("hot", "h1"), ("hot", "h2"), ("hot", "h1"), (None, "blank")], "key string, label string"))
+    plain = m.map_left(fact, mapping, {"k": "key"}, ["label"], m.trimmed_lower)
+    assert rows(m.frequent_keys(fact, ["k"])) == [(" HOT",), (None,)]
+    split = m.map_split(fact, mapping, {"k": "key"}, ["label"], m.trimmed_lower)
+    assert rows(split) == rows(plain) and split.columns == plain.columns
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    shuffled = split.filter("k like 'k%'").count()
+    # what is left to the shuffle is dealt evenly: the largest partition by key has at most twice the median
+    rest = fact.filter("k like 'k%'").repartition(8, "k").groupBy(F.spark_partition_id().alias("p")).count().orderBy("count").collect()
+    assert rest[-1]["count"] <= 2 * rest[len(rest) // 2]["count"] and shuffled == n // 3
+    assert rows(m.map_split(fact, mapping, {"k": "key"}, ["label"], m.trimmed_lower, most=1)) == rows(plain)
+    even = fact.filter("k like 'k%'")
+    assert m.frequent_keys(even, ["k"]).isEmpty()
+    assert rows(m.map_split(even, mapping, {"k": "key"}, ["label"])) == rows(m.map_left(even, mapping, {"k": "key"}, ["label"]))
+
+
 def test_week_lookups(spark, calendar, rows):
     fact = spark.createDataFrame([(dt.date(2020, 12, 27),), (dt.date(2020, 12, 28),), (None,)], "day date")
     assert rows(cal.attach_week(fact, calendar, "day", "week_starting_sun"), WEEK) == [(202053,), (None,), (None,)]

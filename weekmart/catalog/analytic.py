@@ -11,6 +11,8 @@ from weekmart.functions import clean as c
 from weekmart.operators import series as s
 from weekmart.operators.calendar import WEEK, add_calendar
 from weekmart.plans import analysis as a
+from weekmart.plans import incremental
+from weekmart.session import staging_path
 
 KEYS = "state, segment_l1, calendar_week_year"
 GRAIN = f"grain AS (SELECT {KEYS}, coalesce(sum(lbs), 0) AS lbs FROM sellout GROUP BY {KEYS})"
@@ -130,6 +132,19 @@ def analyze(spark, sf):
     return analyzed(spark, sf)
 
 
+@query("a15_incremental", analysis_sql(DIMS, "SELECT * FROM analyzed"))
+def analyze_incrementally(spark, sf):
+    """The first load lacks a week, has another with wrong volumes and one that should not be; the redelivery corrects all three."""
+    fact = sellout(spark, sf).select(*DIMS, WEEK, "lbs")
+    path = staging_path(spark, "a15-state")
+    wrong = fact.withColumn("lbs", F.when(F.col(WEEK) == 199810, F.col("lbs") * 3).otherwise(F.col("lbs"))).filter(F.col(WEEK) != 199820)
+    extra = fact.filter(F.col(WEEK) == 199805).withColumn(WEEK, F.lit(199866))
+    options = {"begin": BEGIN, "end": END}
+    incremental.refresh(wrong.unionByName(extra), path, DIMS, calendar(spark), **options)
+    incremental.refresh(fact.filter(F.col(WEEK).isin(199810, 199820)), path, DIMS, calendar(spark), [199810, 199820, 199866], **options)
+    return incremental.read_report(spark, path)
+
+
 @query("a15b_analyze_observed", analysis_sql(DIMS, "SELECT * FROM analyzed", dense=False))
 def analyze_observed(spark, sf):
     return analyzed(spark, sf, densify=False)

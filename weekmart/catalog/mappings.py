@@ -158,6 +158,16 @@ def map_case_insensitive(spark, sf):
     return out.select("order_id", "line", *p.SEGMENT_LABELS)
 
 
+@query("j2_map_split", with_ctes(["lines"], RAW, select=f"""
+SELECT l_orderkey AS order_id, l_linenumber AS line, {label_sql('seg')}, upper(substr(seg, 1, 1)) AS cuisine_type
+FROM (SELECT *, CASE WHEN {MAPPED} THEN coalesce(market_segment, 'NONE') END AS seg FROM raw)"""))
+def map_split(spark, sf):
+    """The same labels where frequent keys meet their few mapping rows apart; keys of at least 1.5 % of the rows are frequent."""
+    keys = {k: k for k in ("business_unit", "sic_code", "sic_sub")}
+    out = m.map_split(regional_raw(spark, sf), regional_segments(spark, sf), keys, p.SEGMENT_LABELS, m.trimmed_lower, share=0.015)
+    return out.select("order_id", "line", *p.SEGMENT_LABELS)
+
+
 def canada_raw(spark, sf):
     """Period sales with blanks, slashes and missing categories in the labels."""
     raw = raw_lines(spark, sf)

@@ -9,6 +9,7 @@ state table, whose 56 rows are fixed here, is broadcast as it is.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -145,10 +146,11 @@ def excluded_counts(df: DataFrame, listing: DataFrame, column: str) -> DataFrame
 def combine_periods(
     frames: Mapping[int, DataFrame], keys: Sequence[str], measures: Sequence[str], suffix: str = "_{}wk",
 ) -> DataFrame:
-    """Full outer combination of period frames on their keys: one row per key, measures per period.
+    """Full outer combination of period frames on their keys: measures per period, one row per key and occurrence.
 
-    The frames are stacked and pivoted, which needs one shuffle instead of one per join. Keys are
-    unique within each period, so every cell holds a single value.
+    The frames are stacked and pivoted, which needs one shuffle instead of one per join. A key that a period's frame repeats
+    keeps all its rows: the first of one period stands beside the first of the other, in the order of the measures, and a
+    row without a counterpart has nulls. So no volume is lost or counted twice.
     """
     stacked = None
     for period, frame in frames.items():
@@ -158,4 +160,51 @@ def combine_periods(
         F.max(F.when(F.col("_period") == period, F.col(m))).alias(m + suffix.format(period))
         for period in frames for m in measures
     ]
-    return stacked.groupBy(*keys).agg(*cells)
+    same_key = Window.partitionBy(*keys, "_period").orderBy(*measures)
+    placed = stacked.repartition(*keys).withColumn("_occurrence", F.row_number().over(same_key))
+    return placed.groupBy(*keys, "_occurrence").agg(*cells).drop("_occurrence")
+
+
+def frequent_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01, fraction: float = 0.02, seed: int = 7) -> DataFrame:
+    """Key combinations that hold at least ``share`` of the rows: proposed by a sample, then counted over all rows.
+
+    At most 1 / ``share`` combinations can be. A key that the sample misses is not listed; ``map_split`` then leaves it to the
+    shuffled join, with the same rows.
+    """
+    rows = df.select(*keys)
+    sampled = rows.sample(fraction=fraction, seed=seed).groupBy(*keys).agg(F.count("*").alias("_rows"))
+    likely = sampled.withColumn("_all", F.sum("_rows").over(Window.partitionBy())).filter(F.col("_rows") >= F.col("_all") * share / 2)
+    likely = staged(likely.orderBy(F.desc("_rows")).limit(int(2 / share)).select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)]), "likely")
+    hot = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)])
+    # a left join with the few likely keys counts them and all rows at once
+    counted = rows.join(F.broadcast(likely.withColumn("_likely", F.lit(True))), hot, "left").groupBy(
+        *[f"_h{i}" for i in range(len(keys))], "_likely").agg(F.count("*").alias("_rows"))
+    counted = counted.withColumn("_all", F.sum("_rows").over(Window.partitionBy()))
+    return staged(counted.filter(F.col("_likely") & (F.col("_rows") >= F.col("_all") * share)).select(
+        *[F.col(f"_h{i}").alias(k) for i, k in enumerate(keys)]), "frequent")
+
+
+def map_split(
+    df: DataFrame, mapping: DataFrame, keys: Mapping[str, str], values: Sequence[str],
+    normalize: Callable[[Column], Column] | Mapping[str, Callable[[Column], Column]] = as_is,
+    dedupe: bool = True, share: float = 0.01, most: int = 100_000,
+) -> DataFrame:
+    """``map_left`` for a fact with hot raw keys and a mapping beyond the broadcast threshold: the same rows.
+
+    Rows of the frequent keys meet only those keys' mapping rows, which are counted and broadcast if they are at most ``most``;
+    they are not shuffled, however many they are. All other rows are joined as usual.
+    """
+    columns = list(keys)
+    frequent = frequent_keys(df, columns, share)
+    rule = {c: normalize if callable(normalize) else normalize.get(c, as_is) for c in keys}
+    flagged = frequent.select(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(columns)], F.lit(True).alias("_hot"))
+    of_key = reduce(lambda a, b: a & b, [df[c].eqNullSafe(flagged[f"_h{i}"]) for i, c in enumerate(columns)])
+    asked = frequent.select(*[rule[c](F.col(c)).alias(f"_r{i}") for i, c in enumerate(columns)]).distinct()
+    needed = reduce(lambda a, b: a & b, [rule[c](mapping[m]).eqNullSafe(asked[f"_r{i}"]) for i, (c, m) in enumerate(keys.items())])
+    few = staged(mapping.join(F.broadcast(asked), needed, "left_semi"), "frequent-mapping")
+    if frequent.isEmpty() or few.count() > most:
+        return map_left(df, mapping, keys, values, normalize, dedupe)
+    marked = df.join(F.broadcast(flagged), of_key, "left").drop(*[f"_h{i}" for i in range(len(columns))])
+    hot = marked.filter(F.col("_hot")).drop("_hot")
+    rest = marked.filter(F.col("_hot").isNull()).drop("_hot")
+    return map_left(hot, few.hint("broadcast"), keys, values, normalize, dedupe).unionByName(map_left(rest, mapping, keys, values, normalize, dedupe))
