@@ -436,3 +436,27 @@ def test_wrapped_headers_and_whole_licence_texts(spark):
     found = {r["doc_id"]: r for r in licenses.license_files(spark.createDataFrame(rows, "doc_id long, path string, text string")).collect()}
     got = {k: (found[k]["own_license"], found[1000 + k]["license"]) for k in wanted}
     assert got == wanted and len(wanted) >= 15
+
+
+def test_stronger_evidence_counts_before_a_better_score(spark):
+    texts = {name: notice for name, kind, notice in licenses.PASSAGES if kind == "text"}
+    gpl = next(notice for name, kind, notice in licenses.PASSAGES if name == "GPL-3.0" and kind == "header")
+    owner = "Copyright (c) 2010, Jane Doe"
+
+    def wrapped(text, sign="", width=72):
+        return "\n".join(sign + x for x in textwrap.wrap(text, width))
+
+    rows = [
+        (1, "bsd/1", f"{owner}\nAll rights reserved.\n\n{wrapped(texts['BSD-3-Clause'])}\n", "BSD-3-Clause"),
+        (2, "bsd/x.py", "print(1)", "BSD-3-Clause"),
+        (3, "gpl/a.py", f"# {owner}\n# All rights reserved.\n#\n{wrapped(gpl, '# ')}\n\nimport os\n", "GPL-3.0"),
+        (4, "no/a", "This work is not licensed under the GNU General Public License, version 2.", None),
+        (5, "no/b", "Some text.\nIt is no longer released under the MIT License.\nMore of the text follows in this line.", None),
+        (6, "dual/a.py", "# Licensed under the Apache License, Version 2.0.\n# All rights reserved.\n# Released under the MIT License.\nprint(1)\n", "Apache-2.0"),
+        (7, "own/a.txt", "A letter about other things.\nAll rights reserved.\nThe end of the letter.", "Proprietary"),
+        (8, "plain/a.py", "a word about licenses and rights in general", None)]
+    files = spark.createDataFrame([r[:3] for r in rows], "doc_id long, path string, text string")
+    found = {r["doc_id"]: r for r in licenses.license_files(files).collect()}
+    assert {k: found[k]["license"] for k, *_ in rows} == {r[0]: r[3] for r in rows}
+    assert found[6]["all_licenses"] == "Apache-2.0,MIT,Proprietary" and found[2]["inherited_from"] == "bsd"
+    assert "Proprietary" in found[1]["all_licenses"] and found[8]["all_licenses"] is None

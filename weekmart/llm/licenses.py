@@ -6,7 +6,7 @@ compared by cosine with the templates that share a word with it. A candidate mus
 leading words: the rest of the template is so short a vector that, by the Cauchy-Schwarz inequality, it alone cannot
 reach the least cosine. Files without a licence of their own take that of the nearest directory above them that has a
 licence file. Headers of several lines and licence texts are compared in the same way, with runs of lines instead of
-single ones; the better match counts. All steps are DataFrame expressions.
+single ones. The stronger kind of evidence counts, and among equals the better match. All steps are DataFrame expressions.
 """
 
 from __future__ import annotations
@@ -86,6 +86,11 @@ PASSAGES = (
     ("LGPL-3.0", "title", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
     ("AGPL-3.0", "title", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"), ("MPL-2.0", "title", "Mozilla Public License Version 2.0"),
 )
+#: Kinds of evidence, the strongest first. What a line reserves counts only where nothing grants a licence.
+EVIDENCE = ("text", "header", "title", "notice", "reserved")
+RESERVED = "Proprietary"
+#: A line that says that a licence does not apply is no evidence for it.
+NEGATED = r"(^|[^a-z])(not|never|no longer)\s+(be\s+|been\s+)?(licen[cs]ed|released|distributed|covered|available)"
 COMMENT = r"^\s*(?:#|//|/?\*|--|;|%|<!--)"
 
 
@@ -132,19 +137,28 @@ def runs(text: Column) -> Column:
 def scan(
     files: DataFrame, path: str = "path", text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES, min_cosine: float = MIN_COSINE,
 ) -> DataFrame:
-    """(file, path, license, score, line) of files with a licence of their own, and whether they license their directory.
+    """(file, path, rank, license, score, line, licenses) of files with a licence of their own, and whether they license their directory.
 
-    ``files`` has a unique ``file`` key. The best line or whole-file match counts: by score rounded to six digits, then the
-    whole file (line 0), then the first line, then the licence's name. A file licenses its directory (``covers``) if its
-    name says so or if it matches as a whole. Null and empty texts match nothing.
+    ``files`` has a unique ``file`` key. The best line or whole-file match counts: a notice before a reservation of rights
+    (``rank``, the place in EVIDENCE), by score rounded to six digits, then the whole file (line 0), then the first line, then
+    the licence's name. ``licenses`` has the best match of every line. A file licenses its directory (``covers``) if its name says so or if
+    it matches as a whole. Null and empty texts match nothing, nor do lines with a negated notice.
     """
+    rank = F.when(F.col("license") == RESERVED, EVIDENCE.index("reserved")).otherwise(EVIDENCE.index("notice"))
     scored = _scored(files, path, text, templates, min_cosine)
-    best = F.struct(F.col("score"), (-F.col("line")).alias("line"), F.col("license"))
-    first = F.struct((-F.col("score")).alias("score"), F.col("line"), F.col("license"))
-    found = scored.groupBy("file", "path").agg(F.min(first).alias("best"), F.max(F.when(F.col("line") == 0, best)).alias("whole"))
+    return _best(scored.withColumns({"rank": rank, "covers": F.col("line") == 0}))
+
+
+def _best(scored: DataFrame) -> DataFrame:
+    """The strongest evidence of every file, the licences that its lines and runs match best, and whether it licenses its directory."""
+    first = F.struct(F.col("rank"), (-F.col("score")).alias("score"), F.col("line"), F.col("license"))
+    by_line = scored.groupBy("file", "path", "line").agg(F.min(first).alias("best"), F.max("covers").alias("covers"))
+    found = by_line.groupBy("file", "path").agg(
+        F.min("best").alias("best"), F.array_sort(F.collect_set("best.license")).alias("licenses"), F.max("covers").alias("covers"))
     return found.select(
-        "file", "path", F.col("best.license").alias("license"), (-F.col("best.score")).alias("score"), F.col("best.line").alias("line"),
-        (F.col("whole").isNotNull() | F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))).alias("covers"))
+        "file", "path", F.col("best.rank").alias("rank"), F.col("best.license").alias("license"), (-F.col("best.score")).alias("score"),
+        F.col("best.line").alias("line"), "licenses",
+        (F.col("covers") | F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))).alias("covers"))
 
 
 def scan_runs(
@@ -158,12 +172,9 @@ def scan_runs(
     kinds = F.array(*(F.lit(kind) for _, kind, _ in passages))
     scored = _scored(files, path, text, [(name, notice) for name, _, notice in passages], min_cosine, True).withColumn(
         "kind", F.get(kinds, F.col("template"))).where("line > 0 or kind = 'text'")
-    first = F.struct((-F.col("score")).alias("score"), F.col("line"), F.col("license"))
     covers = F.when(F.col("kind") == "text", F.col("line") == 0).otherwise((F.col("kind") == "title") & (F.col("line") == F.col("opening")))
-    found = scored.groupBy("file", "path").agg(F.min(first).alias("best"), F.max(covers).alias("covers"))
-    return found.select(
-        "file", "path", F.col("best.license").alias("license"), (-F.col("best.score")).alias("score"), F.col("best.line").alias("line"),
-        (F.col("covers") | F.coalesce(F.col("path").rlike(LICENCE_FILE), F.lit(False))).alias("covers"))
+    rank = F.array_position(F.array(*map(F.lit, EVIDENCE)), F.col("kind")).cast("int") - 1
+    return _best(scored.withColumns({"rank": rank, "covers": covers}))
 
 
 def _scored(files: DataFrame, path: str, text: str, templates: Sequence[tuple[str, str]], min_cosine: float, by_runs: bool = False) -> DataFrame:
@@ -194,10 +205,12 @@ def _scored(files: DataFrame, path: str, text: str, templates: Sequence[tuple[st
         lines = F.filter(runs(F.col("text")), lambda x: F.arrays_overlap(x["terms"], leads))
     else:
         lines = F.filter(F.transform(F.split("text", "\n"), lambda x, k: F.struct((k + 1).alias("line"), (k + 1).alias("last"), words(x).alias("terms"))),
-                         lambda x: F.arrays_overlap(x["terms"], leads))
+                         lambda x: F.arrays_overlap(x["terms"], leads) & ~F.get(F.split("text", "\n"), x["line"] - 1).rlike(f"(?i){NEGATED}"))
     opening = F.size(F.split(F.regexp_extract("text", r"^[^A-Za-z0-9]*", 0), "\n"))
     hit = rows.withColumn("lines", lines).where(F.size("lines") > 0).withColumn("opening", opening)
     whole = F.array(F.struct(F.lit(0).alias("line"), F.lit(0).alias("last"), F.flatten(F.array(words(F.col("text")))).alias("terms")))
+    if not by_runs:
+        whole = F.when(F.col("text").rlike(f"(?i){NEGATED}"), F.slice(whole, 1, 0)).otherwise(whole)
     spans = hit.select("file", "path", "opening", F.explode(F.concat(whole, F.col("lines"))).alias("span"))
     counted = spans.select("file", "path", "opening", F.col("span.line").alias("line"), F.col("span.last").alias("last"), F.explode("span.terms").alias("term")).groupBy(
         "file", "path", "opening", "line", "last", "term").agg(F.count("*").alias("n"))
@@ -225,9 +238,9 @@ def nearest_licenses(found: DataFrame, directories: DataFrame) -> DataFrame:
     """(directory, inherited, inherited_from): for each directory the licence of the nearest one at or above it.
 
     ``found`` is scan()'s result, ``directories`` has one column, the different directories. Where files of one directory
-    license it differently, the best score, then the first path, decides.
+    license it differently, the strongest evidence, then the best score, then the first path, decides.
     """
-    choice = F.struct((-F.col("score")).alias("score"), "path", "license")
+    choice = F.struct(F.col("rank"), (-F.col("score")).alias("score"), "path", "license")
     licensed = found.where("covers").groupBy(directory(F.col("path")).alias("above")).agg(F.min(choice).alias("by"))
     parts = F.split("directory", "/")
     depth = F.when(F.col("directory") == "", 0).otherwise(F.size(parts))
@@ -242,7 +255,11 @@ def license_files(
     files: DataFrame, id: str = "doc_id", path: str = "path", text: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES,
     min_cosine: float = MIN_COSINE, passages: Sequence[tuple[str, str, str]] = PASSAGES,
 ) -> DataFrame:
-    """One row a row of ``files``: ``id``, path, own_license, score, line, inherited_from and license (own, else inherited).
+    """One row a row of ``files``: ``id``, path, own_license, score, line, all_licenses, inherited_from and license (own, else inherited).
+
+    A file's own licence follows from its strongest evidence: a licence text, a header, the title of a text, a notice in a
+    line, and last a reservation of rights; among evidence of one kind the best score counts. ``all_licenses`` names, comma-joined,
+    all that the file shows evidence of.
 
     Rows that repeat id and path share the best of their texts. A null path has no directory and inherits nothing; null
     and empty texts have no licence of their own; a null id is an id like any other. Other columns are not read; an empty
@@ -252,13 +269,15 @@ def license_files(
     rows = files.select(key.alias("file"), files[path].alias("path"), files[text].alias("text"))
     stored = staging_path(files.sparkSession, "licenses")
     scan(rows, "path", "text", templates, min_cosine).unionByName(scan_runs(rows, "path", "text", passages, min_cosine)).write.parquet(stored)
-    first = F.struct((-F.col("score")).alias("score"), F.col("line"), F.col("license"))
-    found = files.sparkSession.read.parquet(stored).groupBy("file", "path").agg(F.min(first).alias("best"), F.max("covers").alias("covers")).select(
-        "file", "path", F.col("best.license").alias("license"), (-F.col("best.score")).alias("score"), F.col("best.line").alias("line"), "covers")
+    first = F.struct(F.col("rank"), (-F.col("score")).alias("score"), F.col("line"), F.col("license"))
+    found = files.sparkSession.read.parquet(stored).groupBy("file", "path").agg(
+        F.min(first).alias("best"), F.max("covers").alias("covers"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("licenses")))).alias("all")).select(
+        "file", "path", F.col("best.rank").alias("rank"), F.col("best.license").alias("license"), (-F.col("best.score")).alias("score"),
+        F.col("best.line").alias("line"), F.array_join("all", ",").alias("all_licenses"), "covers")
     listed = rows.select("file", directory(F.col("path")).alias("directory"))
     near = nearest_licenses(found, listed.select("directory").where("directory is not null").distinct())
-    own = found.select(F.col("file").alias("own_file"), "license", "score", "line")
+    own = found.select(F.col("file").alias("own_file"), "license", "score", "line", "all_licenses")
     joined = listed.join(own, F.col("file").eqNullSafe(F.col("own_file")), "left").join(near, "directory", "left")
     return joined.select(
-        F.col("file.id").alias(id), F.col("file.path").alias("path"), F.col("license").alias("own_license"), "score", "line",
+        F.col("file.id").alias(id), F.col("file.path").alias("path"), F.col("license").alias("own_license"), "score", "line", "all_licenses",
         F.when(F.col("license").isNull(), F.col("inherited_from")).alias("inherited_from"), F.coalesce("license", "inherited").alias("license"))

@@ -201,10 +201,12 @@ w AS (SELECT template, license, term, idf, (1 + ln(n)) * idf AS w FROM weighted)
 known AS (SELECT DISTINCT term, idf FROM w),
 other AS (SELECT avg(idf) AS other FROM known),
 spans AS (
-  SELECT rid, 0 AS line, regexp_extract_all(lower(text), '{licenses.TOKEN}') AS terms FROM f WHERE text IS NOT NULL
+  SELECT rid, 0 AS line, regexp_extract_all(lower(text), '{licenses.TOKEN}') AS terms FROM f
+  WHERE text IS NOT NULL AND NOT regexp_matches(text, '(?i){licenses.NEGATED}')
   UNION ALL
   SELECT rid, line, regexp_extract_all(lower(lines[line]), '{licenses.TOKEN}')
-  FROM (SELECT rid, lines, unnest(range(1, len(lines) + 1)) AS line FROM (SELECT rid, string_split(text, chr(10)) AS lines FROM f WHERE text IS NOT NULL))),
+  FROM (SELECT rid, lines, unnest(range(1, len(lines) + 1)) AS line FROM (SELECT rid, string_split(text, chr(10)) AS lines FROM f WHERE text IS NOT NULL))
+  WHERE NOT regexp_matches(lines[line], '(?i){licenses.NEGATED}')),
 vec AS (
   SELECT rid, line, c.term, (1 + ln(n)) * coalesce(idf, other) AS v, idf IS NOT NULL AS listed
   FROM (SELECT rid, line, term, count(*) AS n FROM (SELECT rid, line, unnest(terms) AS term FROM spans) GROUP BY ALL) c
@@ -215,13 +217,16 @@ dots AS (SELECT rid, line, template, license, sum(v * w) AS dot FROM vec JOIN w
 cos AS (
   SELECT rid, line, license, round(dot / (len1.length * len2.length), 6) AS score
   FROM dots JOIN len1 USING (rid, line) JOIN len2 USING (template)),
-hit AS (SELECT doc_id, path, line::INTEGER AS line, license, score FROM cos JOIN f USING (rid) WHERE score >= {licenses.MIN_COSINE}),
+hit AS (SELECT doc_id, path, line::INTEGER AS line, license, score, (license = '{licenses.RESERVED}')::INT AS rank FROM cos JOIN f USING (rid) WHERE score >= {licenses.MIN_COSINE}),
 best AS (
-  SELECT doc_id, path, arg_min(license, (-score, line, license)) AS license, max(score) AS score,
-    arg_min(line, (-score, line, license)) AS line, bool_or(line = 0) AS covers
+  SELECT doc_id, path, min(rank) AS rank, arg_min(license, (rank, -score, line, license)) AS license, -min((rank, -score))[2] AS score,
+    arg_min(line, (rank, -score, line, license)) AS line, bool_or(line = 0) AS covers
   FROM hit GROUP BY doc_id, path),
+shown AS (
+  SELECT doc_id, path, string_agg(DISTINCT license, ',' ORDER BY license) AS all_licenses
+  FROM (SELECT doc_id, path, line, arg_min(license, (rank, -score, license)) AS license FROM hit GROUP BY doc_id, path, line) GROUP BY doc_id, path),
 licensed AS (
-  SELECT regexp_replace(path, '/?[^/]*$', '') AS above, arg_min(license, (-score, path, license)) AS license
+  SELECT regexp_replace(path, '/?[^/]*$', '') AS above, arg_min(license, (rank, -score, path, license)) AS license
   FROM best WHERE covers GROUP BY above),
 dirs AS (SELECT DISTINCT regexp_replace(path, '/?[^/]*$', '') AS directory FROM f),
 ups AS (
@@ -229,9 +234,10 @@ ups AS (
   FROM (SELECT directory, unnest(range(0, CASE WHEN directory = '' THEN 1 ELSE len(string_split(directory, '/')) + 1 END)) AS depth FROM dirs)),
 near AS (
   SELECT directory, arg_max(license, depth) AS inherited, arg_max(above, depth) AS inherited_from FROM ups JOIN licensed USING (above) GROUP BY directory)
-SELECT f.doc_id, f.path, b.license AS own_license, b.score, b.line,
+SELECT f.doc_id, f.path, b.license AS own_license, b.score, b.line, s.all_licenses,
   CASE WHEN b.license IS NULL THEN inherited_from END AS inherited_from, coalesce(b.license, inherited) AS license
 FROM f LEFT JOIN best b ON f.doc_id IS NOT DISTINCT FROM b.doc_id AND f.path = b.path
+LEFT JOIN shown s ON f.doc_id IS NOT DISTINCT FROM s.doc_id AND f.path = s.path
 LEFT JOIN near ON near.directory = regexp_replace(f.path, '/?[^/]*$', '')
 """
 
