@@ -279,7 +279,7 @@ def find_secrets(text: str, min_cost: float = MIN_COST, words: Words | None = No
     spans += [("access", m.start(), m.end(), guess_cost(m[0], words)) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_LENGTH]
     spans += [("hex", m.start(), m.end(), guess_cost(m[0], words)) for m in HEX.finditer(text)]
     base = list(spans)
-    for start, ends, quoted in _context_values(text):
+    for start, ends, quoted in _context_values(text) if any(sign in text for sign in (":", "=", "--", "</")) else ():
         for end in ends:
             value = ESCAPE.sub(r"\1", text[start:end]) if quoted else text[start:end]
             if any(a <= start and end <= b for _, a, b, _ in base) or PLACEHOLDER.fullmatch(value) or is_sentence(value, words):
