@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import textwrap
+import time
 import zlib
 
 import numpy as np
@@ -85,6 +86,37 @@ def test_merges_equal_a_plain_search_for_the_lowest_pair(definition):
     assert [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])] == [plain(w) for w in words]
 
 
+def long_words():
+    rng = random.Random(9)
+    yield "a" * 5001
+    yield "ab" * 4000 + "a"
+    yield "".join(rng.choices("etaoinshr", k=6000))
+    yield "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHéñßü日本語", k=9000))
+    yield "".join(rng.choices(["the", "ing", "tion", "aaaa", "xx"], k=3000))
+    yield "=" * 4097 + "-" * 3000
+    yield "".join(rng.choices("0123456789", k=5000))
+
+
+@pytest.mark.parametrize("limit", [2, 2048])
+def test_long_words_equal_the_library(monkeypatch, library, definition, limit):
+    monkeypatch.setattr(bpe, "LONG_WORD", limit)
+    vocabulary = bpe.Vocabulary(definition)
+    assert vocabulary.ordered
+    coder = bpe.merging_coder(vocabulary)
+    words = [*long_words(), "aaa", "aaaa", "aaaaa", "hello", "ab"]
+    assert coded(coder, words) == [e.ids for e in library.encode_batch(words, add_special_tokens=False)]
+
+
+def test_a_megabyte_without_a_space_takes_seconds(library, definition):
+    coder = bpe.merging_coder(bpe.Vocabulary(definition))
+    rng = random.Random(10)
+    word = "".join(rng.choices("acgtACGTetaoinshrdlu", k=1 << 20))
+    start = time.perf_counter()
+    ids = coded(coder, [word])[0]
+    assert time.perf_counter() - start < 30
+    assert ids == library.encode(word, add_special_tokens=False).ids
+
+
 def test_word_memory_starts_again_when_full_or_wrong(monkeypatch, library, definition):
     monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
     coder = bpe.merging_coder(bpe.Vocabulary(definition))

@@ -28,6 +28,7 @@ CACHED_WORDS = 600_000
 SLOT_BITS = 21
 _coders: dict[tuple[str, str], "PreTokenCoder"] = {}
 ROW_CELLS = 1 << 19
+LONG_WORD = 2048
 
 
 class Definition(NamedTuple):
@@ -95,6 +96,10 @@ class Vocabulary:
         order = np.argsort(keys)
         self.pairs, self.ranks = keys[order], order.astype(np.int64)
         self.merged = np.array([ids[a + b] for a, b in pairs], np.int32)
+        # whether every pair with a merged symbol ranks after all merges that make the symbol
+        made = np.full(max(ids.values()) + 1, -1, np.int64)
+        np.maximum.at(made, self.merged, np.arange(len(self.merged)))
+        self.ordered = bool((np.maximum(made[self.pairs >> 32], made[self.pairs & 0xFFFFFFFF]) < self.ranks).all())
         self.special = {x["content"]: x["id"] for x in model.get("added_tokens", [])}
         values = {c: b for b, c in enumerate(letters)}
         tokens = {i: bytes(values[c] for c in t) for t, i in ids.items() if t not in self.special}
@@ -118,6 +123,11 @@ class Vocabulary:
         live = np.ones(len(symbols), bool)
         size = 2
         done = lengths <= 1
+        for k in np.flatnonzero(lengths >= LONG_WORD) if self.ordered else ():
+            part = symbols[starts[k]: starts[k] + lengths[k]]
+            self._merge_long(part)
+            live[starts[k]: starts[k] + lengths[k]] = part >= 0
+            done[k] = True
         while not done.all():
             fits = np.flatnonzero(~done & (lengths <= size))
             for k in range(0, len(fits), max(1, ROW_CELLS // size)):
@@ -177,6 +187,53 @@ class Vocabulary:
                 tree[base + node] = np.minimum(tree[base + 2 * node], tree[base + 2 * node + 1])
             row = row[tree[row * (2 * size) + 1] < NONE]
 
+    def _merge_long(self, symbols: np.ndarray) -> None:
+        """Merge one word in place; absorbed cells become -1.
+
+        The leftmost pair of lowest rank comes with all others of its rank in one step, from left to right: where no pair
+        that a merge makes ranks before it (``ordered``), single merges would take them one after another as well.
+        """
+        count = len(symbols)
+        size = 1 << (count - 1).bit_length()
+        after, before = np.arange(1, count + 2), np.arange(-1, count)
+        padded = np.append(symbols, np.int32(-1))
+        tree = np.full(2 * size, NONE)
+
+        def leaves(places: np.ndarray) -> np.ndarray:
+            found = self.pair_ranks(padded[places], padded[after[places]])
+            return np.where(found < NONE, (found << np.int64(32)) | places, NONE)
+
+        tree[size: size + count] = leaves(np.arange(count))
+        level = size
+        while level > 1:
+            tree[level // 2: level] = np.minimum(tree[level: 2 * level: 2], tree[level + 1: 2 * level: 2])
+            level //= 2
+        while tree[1] < NONE:
+            rank, nodes = tree[1] >> np.int64(32), np.ones(1, np.int64)
+            while nodes[0] < size:  # down to all leaves of that rank
+                nodes = (2 * nodes[:, None] + np.arange(2)).ravel()
+                nodes = nodes[tree[nodes] >> np.int64(32) == rank]
+            here = nodes - size
+            taken = after[here]
+            if len(here) > 1 and padded[here[0]] == padded[taken[0]]:  # in a chain of equal symbols every other pair
+                order = np.arange(len(here))
+                begins = np.append(True, taken[:-1] != here[1:])
+                here = here[(order - np.maximum.accumulate(np.where(begins, order, 0))) % 2 == 0]
+                taken = after[here]
+            following = after[taken]
+            padded[here], padded[taken] = self.merged[rank], -1
+            after[here], before[following] = following, here
+            previous = before[here]
+            changed = np.unique(np.concatenate([here, previous[previous >= 0]]))
+            tree[size + taken] = NONE
+            tree[size + changed] = leaves(changed)
+            nodes = np.unique(np.concatenate([changed, taken]) + size)
+            while nodes[0] > 1:
+                nodes = nodes >> 1
+                nodes = nodes[np.append(True, nodes[1:] != nodes[:-1])]
+                tree[nodes] = np.minimum(tree[2 * nodes], tree[2 * nodes + 1])
+        symbols[:] = padded[:-1]
+
 
 def pre_tokens(kinds: np.ndarray, points: np.ndarray, offsets: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the pre-tokens of texts: contractions, runs of letters, numbers or other signs with the
