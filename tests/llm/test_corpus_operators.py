@@ -331,6 +331,14 @@ def test_document_frequencies_cover_all_texts(spark):
     assert count == len(texts) and (frequencies == plain).all()
 
 
+def test_quality_does_not_depend_on_the_order_of_rows(spark):
+    rows = [(k % 40, f"text {k} of words {k * 7 % 11}", k % 2) for k in range(60)] + [(None, "x", 1), (5, None, 1)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows[:40]], "doc_id long, quality int")
+    one, two = (quality.fit(docs.repartition(n, "text"), labels.repartition(n), sample=25) for n in (1, 5))
+    assert one.vectors.shape[0] == 25 and (one.vectors == two.vectors).all() and (one.labels == two.labels).all()
+
+
 def test_quality_of_held_out_documents(spark):
     folder = "/root/testdata/sf0.01"
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
