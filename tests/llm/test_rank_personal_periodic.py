@@ -177,6 +177,9 @@ def test_personal_data_in_odd_documents(spark):
     told = {(r.doc_id, r.text): [tuple(s)[:3] for s in r.spans] for r in found.collect()}
     assert all([s for s in spans if s[0] in personal.BASE] == plain_base(text or "") for (_, text), spans in told.items())
     assert personal.with_spans(docs.limit(0)).count() == 0
+    clashing = docs.select("doc_id", "text", *[F.lit("x").alias(c) for c in ("hits", "Gaps", "_ends", "found")])
+    assert personal.with_spans(clashing).columns == [*clashing.columns, "spans"]
+    assert {r.Gaps for r in personal.with_spans(clashing, spans="found").collect()} == {"x"}
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
 

@@ -132,6 +132,13 @@ def match_ends(hits: str, gaps: str) -> Column:
             )))[0])[0]""")
 
 
+def _unused(columns: Sequence[str], name: str) -> str:
+    """A name like ``name`` that no column has, in any case."""
+    while name.lower() in (c.lower() for c in columns):
+        name = f"_{name}"
+    return name
+
+
 def with_spans(docs: DataFrame, text: str = "text", spans: str = "spans", min_score: int = MIN_SCORE) -> DataFrame:
     """``docs`` with an array of personal-data spans: kind, start and end in code points (end exclusive), score (0 to 100).
 
@@ -139,22 +146,23 @@ def with_spans(docs: DataFrame, text: str = "text", spans: str = "spans", min_sc
     Null or empty text has an empty array. Repeated rows get equal arrays; a column called ``spans`` is replaced, other
     columns stay. Nothing is shuffled.
     """
+    hits, gaps, ends, found = (_unused([*docs.columns, spans], name) for name in ("hits", "gaps", "ends", "found"))
     body = F.coalesce(docs[text].cast("string"), F.lit(""))
     none = F.array().cast("array<string>")
-    work = docs.withColumn("_personal", F.struct(*[
+    work = docs.withColumn(hits, F.struct(*[
         F.when(F.lit(True) if p.sign is None else F.contains(body, F.lit(p.sign)), F.regexp_extract_all(body, F.lit(p.pattern), F.lit(0)))
         .otherwise(none).alias(f"h{k}") for k, p in enumerate(PROPOSALS)]))
     # the texts between the matches, cut only where there are some
-    work = work.withColumn("_beside", F.struct(*[
-        F.when(F.size(f"_personal.h{k}") > 0, F.split(body, p.pattern, -1)).otherwise(none).alias(f"g{k}") for k, p in enumerate(PROPOSALS)]))
-    work = work.withColumn("_ends", F.struct(*[
-        F.when(F.size(f"_personal.h{k}") > 0, match_ends(f"_personal.h{k}", f"_beside.g{k}")).otherwise(F.array().cast("array<int>")).alias(f"e{k}")
+    work = work.withColumn(gaps, F.struct(*[
+        F.when(F.size(f"{hits}.h{k}") > 0, F.split(body, p.pattern, -1)).otherwise(none).alias(f"g{k}") for k, p in enumerate(PROPOSALS)]))
+    work = work.withColumn(ends, F.struct(*[
+        F.when(F.size(f"{hits}.h{k}") > 0, match_ends(f"{hits}.h{k}", f"{gaps}.g{k}")).otherwise(F.array().cast("array<int>")).alias(f"e{k}")
         for k in range(len(PROPOSALS))]))
 
     def cells(k: int) -> Column:
-        hits, gaps = F.col(f"_personal.h{k}"), F.col(f"_beside.g{k}")
+        hit, gap = F.col(f"{hits}.h{k}"), F.col(f"{gaps}.g{k}")
         return F.arrays_zip(
-            hits.alias("hit"), F.col(f"_ends.e{k}").alias("end"), F.slice(gaps, 1, F.size(hits)).alias("before"), F.slice(gaps, 2, F.size(hits)).alias("after"))
+            hit.alias("hit"), F.col(f"{ends}.e{k}").alias("end"), F.slice(gap, 1, F.size(hit)).alias("before"), F.slice(gap, 2, F.size(hit)).alias("after"))
 
     def judged(k: int) -> Column:
         def span(x: Column) -> Column:
@@ -165,16 +173,16 @@ def with_spans(docs: DataFrame, text: str = "text", spans: str = "spans", min_sc
 
         return F.filter(F.transform(cells(k), span), lambda s: s["kind"].isNotNull())
 
-    work = work.withColumn("_spans", F.concat(*[
-        F.when(F.size(f"_personal.h{k}") > 0, judged(k)).otherwise(F.array().cast("array<struct<kind: string, start: int, end: int, beside: string>>"))
+    work = work.withColumn(found, F.concat(*[
+        F.when(F.size(f"{hits}.h{k}") > 0, judged(k)).otherwise(F.array().cast("array<struct<kind: string, start: int, end: int, beside: string>>"))
         for k in range(len(PROPOSALS))]))
-    scored = F.transform("_spans", lambda s: F.struct(
+    scored = F.transform(found, lambda s: F.struct(
         s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), context_score(s["kind"], s["beside"]).alias("score")))
-    work = work.withColumn("_spans", F.when(F.size("_spans") > 0, F.filter(
+    work = work.withColumn(found, F.when(F.size(found) > 0, F.filter(
         scored, lambda s: s["kind"].isin(list(BASE)) | (s["score"] >= min_score))).otherwise(F.array().cast(f"array<{SPAN}>")))
-    ordered = F.concat(*[of_kinds(F.col("_spans"), [kind]) for kind in KINDS])
-    out = work.withColumn(spans, F.when(F.size("_spans") > 0, ordered).otherwise(F.col("_spans")).cast(f"array<{SPAN}>"))
-    return out.drop(*({"_personal", "_beside", "_ends", "_spans"} - {spans}))
+    ordered = F.concat(*[of_kinds(F.col(found), [kind]) for kind in KINDS])
+    out = work.withColumn(spans, F.when(F.size(found) > 0, ordered).otherwise(F.col(found)).cast(f"array<{SPAN}>"))
+    return out.drop(hits, gaps, ends, found)
 
 
 def of_kinds(spans: Column, kinds: Sequence[str]) -> Column:
