@@ -86,9 +86,9 @@ SELECT 'totals', stage, NULL, count(*) FILTER (part), coalesce(sum(lbs) FILTER (
   SELECT lbs, unnest(['history', 'without week', 'incomplete region', 'analyzed region']) AS stage,
     unnest([true, calendar_week_year IS NULL, calendar_week_year IS NOT NULL AND NOT ({whole}), calendar_week_year IS NOT NULL AND {whole}]) AS part
   FROM history) GROUP BY stage""", """
-SELECT 'invalid_weeks', '', calendar_week_year, count(*), sum(lbs), NULL, NULL FROM history
+SELECT 'invalid_weeks', '', calendar_week_year, count(*), coalesce(sum(lbs), 0), NULL, NULL FROM history
 WHERE calendar_week_year IS NULL OR calendar_week_year < 100001 GROUP BY calendar_week_year""", f"""
-SELECT 'incomplete_segments', 'region|' || concat_ws(', ', {', '.join(f"'{c}=' || coalesce({c}, '?')" for c in grain)}), NULL, count(*), sum(lbs), NULL, NULL
+SELECT 'incomplete_segments', 'region|' || concat_ws(', ', {', '.join(f"'{c}=' || coalesce({c}, '?')" for c in grain)}), NULL, count(*), coalesce(sum(lbs), 0), NULL, NULL
 FROM history WHERE calendar_week_year IS NOT NULL AND NOT ({whole}) GROUP BY {', '.join(grain)}""", unmapped("unmapped_segments", "segment_l1", segment_keys)]
     if product_keys:
         parts.append(unmapped("unmapped_products", "consolidated_category", product_keys))
