@@ -164,6 +164,23 @@ def test_repeated_rows_of_one_id_leave_one(spark):
 
 # --- language ------------------------------------------------------------------------------------
 
+def kneser_ney(grams, counts):
+    """The whole model in plain numpy, from distinct 4-grams and their counts."""
+    tables, counts = [], counts.astype(float)
+    for size in range(4, 0, -1):
+        once, twice = (counts == 1).sum(), (counts == 2).sum()
+        less = once / (once + 2 * twice) if once and twice else 0.5
+        order = np.argsort(grams)
+        grams, counts = grams[order], counts[order]
+        contexts, first, kinds = np.unique(grams >> np.uint64(16), return_index=True, return_counts=True)
+        totals = np.add.reduceat(counts, first)
+        tables.append(language.Table(grams, np.maximum(counts - less, 0) / np.repeat(totals, kinds), contexts, min(less, 1) * kinds / totals))
+        if size > 1:
+            grams, counts = np.unique(grams & np.uint64((1 << 16 * (size - 1)) - 1), return_counts=True)
+            counts = counts.astype(float)
+    return language.LanguageModel(tables[::-1], 1 / (len(grams) + 1))
+
+
 def test_probabilities_are_a_distribution_and_as_defined():
     words = ["abab", "abc", "b", "cab", "aab"]
     points = np.array([ord(c) for c in "\n".join(words)], np.uint64)
@@ -171,7 +188,7 @@ def test_probabilities_are_a_distribution_and_as_defined():
     starts = ends - [len(w) for w in words]
     keys, _ = language.word_grams(points, starts, ends)
     grams, counts = np.unique(keys, return_counts=True)
-    model = language.kneser_ney(grams, counts)
+    model = kneser_ney(grams, counts)
     symbols = [ord("a"), ord("b"), ord("c"), language.END]
 
     def packed(context, symbol):
@@ -242,7 +259,7 @@ def test_blocks_of_models_give_what_whole_models_give(spark):
     assert [b.high for b in cut[:-1]] == [b.low for b in cut[1:]] and (cut[0].low, cut[-1].high) == (0, language.SYMBOLS)
     grams = language.gram_counts(docs).toArrow().to_pandas()
     for name, part in grams.groupby("lang"):
-        plain = language.kneser_ney(part["gram"].to_numpy().view(np.uint64), part["n"].to_numpy())
+        plain = kneser_ney(part["gram"].to_numpy().view(np.uint64), part["n"].to_numpy())
         for block in cut:
             keys = block.models[name].tables[-1].grams
             assert np.allclose(language.log_probabilities(block.models[name], keys), language.log_probabilities(plain, keys), rtol=1e-12)
@@ -254,6 +271,14 @@ def test_blocks_of_models_give_what_whole_models_give(spark):
         assert (told["lang"], told["symbols"]) == (many[id]["lang"], many[id]["symbols"])
         assert told["entropy"] is None or told["entropy"] == pytest.approx(many[id]["entropy"], rel=1e-9)
         assert told["score"] == pytest.approx(many[id]["score"], rel=1e-9)
+    plan = language.identify(docs, cut)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
+def test_rejection_needs_texts_enough_to_tell(spark):
+    told = [("en", ("en", k / 1000)) for k in range(1000)] + [("de", ("de", 1.0))] * 199 + [("en", ("de", 9.0))] * 50 + [("fr", ("und", None))] * 900
+    rows = spark.createDataFrame(told, "lang string, prediction struct<lang: string, entropy: double>")
+    assert {r["lang"]: r["limit"] for r in language.rejection_limits(rows).collect()} == {"en": pytest.approx(0.994, abs=1e-3)}
 
 
 # --- shards --------------------------------------------------------------------------------------

@@ -3,11 +3,11 @@
 Texts are lower-cased and cut into words of letters. Each letter of a word, and the word's end, is predicted from the
 ORDER - 1 symbols before it (the word's start is a symbol of its own). Four 16-bit symbols make one 64-bit key, so a
 model is a set of sorted arrays of packed n-grams. The language with the lowest cross-entropy a symbol is chosen; a text
-whose cross-entropy exceeds what nearly all training texts of that language have is flagged as rejected.
+whose cross-entropy exceeds what nearly all texts of that language set aside for it have is flagged as rejected.
 
 No n-gram is left out. All n-grams and contexts that the probability of a symbol is made of, single symbols aside, hold
 the symbol before it. So the models are cut into blocks by that symbol, of about BLOCK_GRAMS n-grams each; more text
-gives more blocks, each broadcast by itself, and the sums of a text go from block to block in one stage.
+gives more blocks, each broadcast by itself. A text is cut and hashed once and meets all blocks in one pass.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekmart.llm.text import prepare, distinct_spans, distinct_values, pieces, spread, utf8
@@ -31,8 +33,6 @@ REJECT_SHARE = 0.995
 EVIDENCE = 50
 UNDETERMINED = "und"
 PREDICTION = "struct<lang: string, entropy: double, score: double, symbols: bigint>"
-SUMS = "array<double>"
-STATE = "_language_sums"
 _letters: list[np.ndarray] = []
 
 
@@ -94,46 +94,13 @@ class Block(NamedTuple):
     models: dict[str, LanguageModel]
 
 
-def discount(once: int, twice: int) -> float:
-    """The share of a count that is kept back for lower orders, from the n-grams counted once and twice."""
-    return once / (once + 2 * twice) if once and twice else 0.5
-
-
-def order_table(grams: np.ndarray, counts: np.ndarray, less: float) -> Table:
-    """One order's table from sorted n-grams, their counts and the discount."""
-    if not len(grams):
-        return Table(*(np.zeros(0, kind) for kind in (np.uint64, float, np.uint64, float)))
-    contexts, first = np.unique(grams >> np.uint64(16), return_index=True)
-    totals = np.add.reduceat(counts, first)
-    kinds = np.diff(np.append(first, len(grams)))
-    return Table(grams, np.maximum(counts - less, 0) / np.repeat(totals, kinds), contexts, np.minimum(less, 1) * kinds / totals)
-
-
-def lower_order(grams: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The n-grams of ``size`` - 1 symbols that end those of ``size``, and how many left neighbours each has."""
-    grams, counts = np.unique(grams & np.uint64((1 << (16 * (size - 1))) - 1), return_counts=True)
-    return grams, counts.astype(float)
-
-
-def kneser_ney(
-    grams: np.ndarray, counts: np.ndarray, discounts: Sequence[float] | None = None, letters: tuple[np.ndarray, np.ndarray] | None = None,
-) -> LanguageModel:
-    """The interpolated model of distinct ORDER-grams and their counts; lower orders count different left neighbours.
-
-    A block of a larger model takes that model's ``discounts`` (from order 1) and its ``letters``, the sorted symbols
-    and the number of their left neighbours.
-    """
+def order_table(part: pa.Table) -> Table:
+    """The sorted arrays of one order from rows (gram, share, weight), in which all n-grams of a context carry its weight."""
+    grams = part["gram"].to_numpy().view(np.uint64)
     order = np.argsort(grams)
-    grams, counts = grams[order], counts[order].astype(float)
-    tables = []
-    for size in range(ORDER, 0, -1):
-        if size == 1 and letters is not None:
-            grams, counts = letters
-        less = discounts[size - 1] if discounts is not None else discount(int((counts == 1).sum()), int((counts == 2).sum()))
-        tables.append(order_table(grams, counts, less))
-        if size > 1:
-            grams, counts = lower_order(grams, size)
-    return LanguageModel(tables[::-1], 1.0 / (len(grams) + 1))
+    grams = grams[order]
+    contexts, first = np.unique(grams >> np.uint64(16), return_index=True)
+    return Table(grams, part["share"].to_numpy()[order], contexts, part["weight"].to_numpy()[order][first])
 
 
 def log_probabilities(model: LanguageModel, keys: np.ndarray) -> np.ndarray:
@@ -188,54 +155,64 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text", "lang").mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def interpolated(counts: DataFrame) -> DataFrame:
+    """(lang, gram, n) of one order with ``share``, the discounted count's share of its context, and the context's ``weight``.
+
+    The discount of a language follows from its n-grams counted once and twice. A context has at most SYMBOLS n-grams.
+    """
+    once, twice = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+    kept_back = F.when((once > 0) & (twice > 0), once / (once + 2 * twice)).otherwise(0.5)
+    context = Window.partitionBy("lang", F.shiftrightunsigned("gram", 16))
+    total, kinds = F.sum("n").over(context), F.count("*").over(context)
+    return counts.join(counts.groupBy("lang").agg(kept_back.alias("less")), "lang").select(
+        "lang", "gram", "n", (F.greatest(F.col("n") - F.col("less"), F.lit(0.0)) / total).alias("share"),
+        (F.least("less", F.lit(1.0)) * kinds / total).alias("weight"))
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", block_grams: int = BLOCK_GRAMS) -> Iterator[Block]:
     """The models of all languages of ``docs`` in blocks; rows with a null text or language are not used, other columns not read.
 
-    Counts and models cover all rows and all n-grams. A block holds the n-grams of neighbouring symbols, as many as
-    ``block_grams`` allow (one symbol at least); the driver holds one block at a time, beside at most SYMBOLS single
-    symbols a language. No rows, or none with a letter, give one block without languages.
+    Counts, shares and weights cover all rows and all n-grams and are computed as grouped tables. A block holds the n-grams of
+    neighbouring symbols, as many as ``block_grams`` allow (one symbol at least); the driver sorts one block at a time into
+    arrays to broadcast, beside at most SYMBOLS single symbols a language. No rows, or none with a letter, give one block
+    without languages. Code points from U+E000 on are folded onto 8,191 symbols.
     """
     rows = docs.select(docs[text].alias("text"), docs[lang].alias("lang")).where("text is not null and lang is not null")
-    counts = staged(gram_counts(rows), "grams")
     before = F.shiftrightunsigned("gram", 16).bitwiseAND(F.lit(SYMBOLS - 1))
-    orders = [counts]
-    for size in range(ORDER - 1, 0, -1):
-        ending = F.col("gram").bitwiseAND(F.lit((1 << (16 * size)) - 1))
-        orders.append(orders[-1].select("lang", ending.alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("n")))
-    letters = orders[-1].toArrow()
-    names, symbols, n = np.array(letters["lang"].to_pylist(), object), letters["gram"].to_numpy().view(np.uint64), letters["n"].to_numpy().astype(float)
-    alphabet = {}
-    for name in sorted(set(names)):
-        at = np.flatnonzero(names == name)
-        at = at[np.argsort(symbols[at])]
-        alphabet[name] = (symbols[at], n[at])
-    discounts = {name: [0.5] * ORDER for name in alphabet}
-    for k, counted in enumerate(orders):
-        for r in counted.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).collect():
-            discounts[r["lang"]][ORDER - 1 - k] = discount(r["once"], r["twice"])
+    counts, orders = staged(gram_counts(rows), "grams"), []
+    for size in range(ORDER, 0, -1):
+        if orders:
+            ending = F.col("gram").bitwiseAND(F.lit((1 << (16 * size)) - 1))
+            counts = staged(counts.select("lang", ending.alias("gram")).groupBy("lang", "gram").agg(F.count("*").alias("n")), "grams")
+        orders.append(staged(interpolated(counts).withColumn("before", before), "shares"))
+
+    def tables(order: DataFrame) -> dict[str, Table]:
+        found = order.select("lang", "gram", "share", "weight").toArrow()
+        return {name: order_table(found.filter(pc.equal(found["lang"], name))) for name in pc.unique(found["lang"]).to_pylist()}
+
+    letters = tables(orders.pop())
     low, held, bounds = 0, 0, []
-    for r in counts.groupBy(before.alias("symbol")).count().orderBy("symbol").collect():
+    for r in orders[0].groupBy("before").count().orderBy("before").collect():  # one for each symbol
         if held and held + r["count"] > block_grams:
-            bounds.append((low, r["symbol"]))
-            low, held = r["symbol"], 0
+            bounds.append((low, r["before"]))
+            low, held = r["before"], 0
         held += r["count"]
+    empty = Table(*(np.zeros(0, kind) for kind in (np.uint64, float, np.uint64, float)))
     for low, high in [*bounds, (low, SYMBOLS)]:
-        part = counts.where(before.between(low, high - 1)).toArrow()
-        names, grams, n = np.array(part["lang"].to_pylist(), object), part["gram"].to_numpy().view(np.uint64), part["n"].to_numpy()
+        parts = [tables(order.where(F.col("before").between(low, high - 1))) for order in reversed(orders)]
         yield Block(low, high, {
-            name: kneser_ney(grams[names == name], n[names == name], discounts[name], alphabet[name]) for name in alphabet})
+            name: LanguageModel([single, *(part.get(name, empty) for part in parts)], 1.0 / (len(single.grams) + 1))
+            for name, single in letters.items()})
 
 
-def _scan_udf(shared, last: bool):
-    """Adds a block's logarithms to the sums (text by language) so far; the last block gives the predictions."""
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        low, high, models = shared.value
-        names = sorted(models)
-        for column, state in batches:
+def _scan_udf(shared: Sequence[Broadcast]):
+    """Cuts and hashes a text once, adds up the logarithms that its n-grams have in each block, and predicts."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        blocks = [block.value for block in shared]
+        names = sorted(blocks[0].models) if blocks else []
+        for column in batches:
             data, offsets = utf8(column)
             sums, symbols = np.zeros((len(column), len(names))), np.zeros(len(column), np.int64)
-            if len(names) and len(column) and not state.null_count:
-                sums += state.flatten().to_numpy().reshape(sums.shape)
             for a, b in pieces(offsets):
                 points, starts, ends, text_of = words_of(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
                 if not len(starts):
@@ -247,15 +224,17 @@ def _scan_udf(shared, last: bool):
                 symbols[a:b] = np.bincount(text_of, lengths[inverse], b - a).astype(np.int64)
                 unique = keys[unique]
                 before = (unique >> np.uint64(16)) & np.uint64(SYMBOLS - 1)
-                own = (before >= low) & (before < high)
-                for m, name in enumerate(names):
-                    logs = np.zeros(len(unique))
-                    logs[own] = log_probabilities(models[name], unique[own])
-                    word = np.add.reduceat(logs[places], begins)
-                    sums[a:b, m] += np.bincount(text_of, word[inverse], b - a)
-            yield predictions(names, sums, symbols) if last else pa.array(list(sums), pa.list_(pa.float64()))
+                logs = np.zeros((len(names), len(unique)))
+                for low, high, models in blocks:
+                    own = np.flatnonzero((before >= low) & (before < high))
+                    for m, name in enumerate(names if len(own) else []):
+                        logs[m, own] = log_probabilities(models[name], unique[own])
+                for m in range(len(names)):
+                    word = np.add.reduceat(logs[m][places], begins)
+                    sums[a:b, m] = np.bincount(text_of, word[inverse], b - a)
+            yield predictions(names, sums, symbols)
 
-    return F.arrow_udf(run, PREDICTION if last else SUMS).asNondeterministic()
+    return F.arrow_udf(run, PREDICTION).asNondeterministic()
 
 
 def predictions(names: list[str], sums: np.ndarray, symbols: np.ndarray) -> pa.StructArray:
@@ -279,17 +258,15 @@ def identify(docs: DataFrame, blocks: Iterable[Block], text: str = "text", name:
     """
     prepare(docs.sparkSession)
     shared = [docs.sparkSession.sparkContext.broadcast(block) for block in blocks]
-    found = docs.select("*", docs[text].alias(f"{STATE}_text"), F.lit(None).cast(SUMS).alias(STATE))
-    for k, block in enumerate(shared):
-        last = k == len(shared) - 1
-        found = found.withColumn(name if last else STATE, _scan_udf(block, last)(F.col(f"{STATE}_text"), F.col(STATE)))
-    return found.drop(f"{STATE}_text", STATE)
+    return docs.withColumn(name, _scan_udf(shared)(docs[text]))
 
 
 def rejection_limits(predicted: DataFrame, share: float = REJECT_SHARE) -> DataFrame:
-    """(lang, limit): the entropy that ``share`` of the training texts of a language, rightly told, stay within.
+    """(lang, limit): the entropy that ``share`` of a language's texts, rightly told, stay within.
 
-    ``predicted`` has one row a training text: lang (the true one) and prediction. All rows count.
+    ``predicted`` has one row a text that the models have not learned from: lang (the true one) and prediction. All rows
+    count. A language with too few such texts for one to lie beyond that share has no limit, and nothing is rejected.
     """
-    right = predicted.where(F.col("prediction.lang") == F.col("lang"))
-    return right.groupBy("lang").agg(F.percentile_approx("prediction.entropy", share, 10_000).alias("limit"))
+    right = predicted.where(F.col("prediction.lang") == F.col("lang")).groupBy("lang").agg(
+        F.percentile_approx("prediction.entropy", share, 10_000).alias("limit"), F.count("*").alias("texts"))
+    return right.where(F.col("texts") * (1 - share) >= 1).drop("texts")
