@@ -8,7 +8,7 @@ from odd import TEXTS, odd_docs
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from weekmart.llm import components, language, quality, queries, shards, simhash, topk
+from weekmart.llm import components, language, quality, queries, shards, simhash, skew, topk
 
 SF = "/root/testdata/sf0.001"
 
@@ -129,6 +129,47 @@ def test_components_of_fingerprints_equal_all_pairs(spark, monkeypatch, bucket):
     assert all(((r["a"] ^ r["b"]) & ((1 << 64) - 1)).bit_count() <= 4 for r in links.collect())
 
 
+@pytest.mark.parametrize("max_bits", [0, 1, 3, 4])
+def test_divided_buckets_lose_no_link(spark, monkeypatch, max_bits):
+    monkeypatch.setattr(simhash, "BUCKET", 4)
+    monkeypatch.setattr(simhash, "WIDE", 2)
+    random.seed(max_bits)
+    segment, bits = simhash.segments(max_bits)[-1], []  # many that share the last segment, some of them near
+    low, width, _ = segment
+    fixed = random.getrandbits(width) << low
+    for _ in range(60):
+        here = random.getrandbits(64) & ~(((1 << width) - 1) << low) | fixed
+        bits.append(here)
+        for _ in range(2):
+            for bit in random.sample([k for k in range(64) if not low <= k < low + width] or [0], max(max_bits, 1) if width < 64 else 0):
+                here ^= 1 << bit
+            bits.append(here)
+    signed = {p - (1 << 64) if p >> 63 else p for p in bits}
+    prints = spark.createDataFrame([(p,) for p in signed], "fp long")
+    calls, plain = [], simhash.divided
+
+    def spy(keys, wide, limit):
+        split = plain(keys, wide, limit)
+        calls.append((wide.count(), keys.count() - split.count()))
+        return split
+
+    monkeypatch.setattr(simhash, "divided", spy)
+    found = {r["node"]: r["root"] for r in components.connected_components(simhash.near_links(prints, max_bits)).collect()}
+    expected = grouped(signed, lambda a, b: ((a ^ b) & ((1 << 64) - 1)).bit_count() <= max_bits)
+    assert {p: found.get(p, p) for p in signed} == expected
+    assert max_bits < 3 or (calls and calls[0][0] and calls[0][1])
+
+
+def test_hot_keys_are_joined_like_others(spark, monkeypatch):
+    monkeypatch.setattr(skew, "HOT_ROWS", 5)
+    monkeypatch.setattr(skew, "HOT_KEYS", 2)
+    rows = [(None if k == 9 else k, i) for k in range(10) for i in range(k * 3)]
+    df = spark.createDataFrame(rows, "k int, i int")
+    table = df.groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("top"))
+    found = skew.join_by_size(df, table, "k", "n").select("k", "i", "n", "top")
+    assert sorted(tuple(r) for r in found.collect()) == sorted((k, i, k * 3, k * 3 - 1) for k, i in rows if k is not None)
+
+
 def test_components_of_stars_chains_and_nothing(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 200 + k) for k in range(300)] + [(7, 7), (None, 3), (50, 49), (49, 50)]
     found = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(links, "a long, b long")).collect()}

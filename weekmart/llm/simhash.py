@@ -3,7 +3,8 @@
 The 64 bits are cut into few segments, so that of two fingerprints within ``max_bits`` differing bits one segment
 differs by one bit at most (for an even limit, one further segment may be asked to be equal). Each fingerprint is
 indexed under every variant of a segment with one bit taken out; fingerprints that share a variant meet in a bucket and
-are verified by their differing bits. Buckets hold different fingerprints only. A bucket over BUCKET is cut into chunks,
+are verified by their differing bits. Buckets hold different fingerprints only. A bucket that outgrows WIDE times BUCKET is
+divided by the same scheme applied to its remaining bits, if that saves copies. Any other over BUCKET is cut into chunks,
 and each pair of chunks becomes a bucket of its own, so no task gathers an unbounded one. A bucket emits a spanning
 forest of its links, not all pairs; components are then found over all of them.
 """
@@ -15,15 +16,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekmart.llm.components import connected_components
+from weekmart.llm.skew import join_by_size
 from weekmart.llm.text import prepare, column_udf, utf8
-from weekmart.session import staging_path
+from weekmart.session import staged, staging_path
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 BUCKET = 1024
+WIDE = 64
 SMALL = 8
 HOT_KEYS = 50_000
 
@@ -64,14 +67,14 @@ def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerpri
     return docs.withColumn(name, column_udf("bigint", opened)(docs[text]))
 
 
-def segments(max_bits: int) -> list[tuple[int, int, bool]]:
+def segments(max_bits: int, bits: int = 64) -> list[tuple[int, int, bool]]:
     """(lowest bit, width, whether one bit may differ) of each segment for links of up to ``max_bits`` differing bits.
 
     m segments that may differ by one bit and e that must be equal find every link if 2 m + e > max_bits.
     """
     loose, exact = (max_bits + 1) // 2, (max_bits + 1) % 2
-    narrow = max(1, 64 // (loose + exact) - 3) if loose else 64
-    widths, left = [], 64 - narrow * exact
+    narrow = max(1, bits // (loose + exact) - 3) if loose else bits
+    widths, left = [], bits - narrow * exact
     for k in range(loose):
         widths.append((left // (loose - k), True))
         left -= widths[-1][0]
@@ -83,11 +86,11 @@ def segments(max_bits: int) -> list[tuple[int, int, bool]]:
     return placed
 
 
-def variants(max_bits: int):
-    """Array expression of the index keys of the column fp: number of the variant, then the segment without one bit."""
-    keys, number = [], 0
-    for low, width, wild in segments(max_bits):
-        part = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << width) - 1)) if width < 64 else F.col("fp")
+def variants(max_bits: int, word: Column | str = "fp", bits: int = 64) -> Column:
+    """Array of the index keys of the lowest ``bits`` of a word: number of the variant, then the segment without one bit."""
+    keys, number, word = [], 0, F.col(word) if isinstance(word, str) else word
+    for low, width, wild in segments(max_bits, bits):
+        part = F.shiftrightunsigned(word, low).bitwiseAND(F.lit((1 << width) - 1)) if width < 64 else word
         for bit in range(width) if wild else [None]:
             mask = ((1 << width) - 1) & ~(1 << bit) if bit is not None else 0
             left = part if bit is None else part.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask))
@@ -96,6 +99,36 @@ def variants(max_bits: int):
     return F.array(*keys)
 
 
+def inner_variants(max_bits: int) -> Column:
+    """Keys of the bits that a bucket leaves open, by ``number``, that of its variant; null where it leaves none."""
+    keys, number = F.lit(None).cast("array<bigint>"), 0
+    for low, width, wild in segments(max_bits):
+        last = number + (width if wild else 1)
+        if width < 64:
+            above = F.shiftrightunsigned("fp", low + width) if low + width < 64 else F.lit(0).cast("long")
+            rest = F.shiftleft(above, low).bitwiseOR(F.col("fp").bitwiseAND(F.lit((1 << low) - 1)))
+            keys = F.when(F.col("number").between(number, last - 1), variants(max_bits, rest, 64 - width)).otherwise(keys)
+        number = last
+    return keys
+
+
+def copies(count: Column) -> Column:
+    """Rows that the pairs of chunks of a bucket make."""
+    return count * F.greatest(F.ceil(count / F.lit(BUCKET)) - 1, F.lit(1))
+
+
+def divided(keys: DataFrame, wide: DataFrame, max_bits: int) -> DataFrame:
+    """Rows (fp, number, key) in which the buckets listed in ``wide`` give way to inner ones where that makes fewer copies."""
+    inside = F.explode(F.when(F.col("inner").isNotNull(), F.col("inner")).otherwise(F.array(F.lit(0).cast("long"))))
+    split = (
+        keys.join(wide, "key").withColumn("inner", inner_variants(max_bits))
+        .select("fp", "number", "key", "count", inside.alias("part")).withColumn("part", F.xxhash64("key", "part")))
+    cost = split.groupBy("key", "count", "part").agg(F.count("*").alias("n")).groupBy("key", "count").agg(F.sum(copies(F.col("n"))).alias("cost"))
+    chosen = staged(cost.where(F.col("cost") < copies(F.col("count"))).select("key"), "divided-buckets")
+    return keys.join(chosen, "key", "left_anti").select("fp", "number", "key").union(
+        split.join(chosen, "key", "left_semi").select("fp", "number", F.col("part").alias("key")))
+
+
 def bucket_links(buckets: np.ndarray, prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect, within each run of equal ``buckets``, what links of up to ``max_bits`` bits connect."""
     starts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])) if len(buckets) else np.zeros(0, np.int64)
@@ -123,13 +156,17 @@ def bucket_links(buckets: np.ndarray, prints: np.ndarray, max_bits: int) -> tupl
 
 def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Links (a, b) between the different fingerprints in the column fp: enough to connect all that are near."""
-    spark = prints.sparkSession
-    prepare(spark)
-    keys = prints.select("fp", F.explode(variants(max_bits)).alias("key"))
-    path = staging_path(spark, "hot-buckets")
-    keys.groupBy("key").count().where(F.col("count") > BUCKET).write.parquet(path)
-    hot = spark.read.parquet(path)
-    number = hot.count()
+    prepare(prints.sparkSession)
+    keys = prints.select("fp", F.posexplode(variants(max_bits)).alias("number", "key"))
+
+    def over(limit: int) -> tuple[DataFrame, int, int]:
+        hot = staged(keys.groupBy("key").count().where(F.col("count") > limit), "hot-buckets")
+        return hot, *hot.agg(F.count("*"), F.coalesce(F.max("count"), F.lit(0))).first()
+
+    hot, number, largest = over(BUCKET)
+    if largest > WIDE * BUCKET:
+        keys = divided(keys, hot.where(F.col("count") > WIDE * BUCKET), max_bits)
+        hot, number, largest = over(BUCKET)
     if number:
         hot = F.broadcast(hot) if number <= HOT_KEYS else hot
         chunks = F.ceil(F.col("count") / F.lit(BUCKET)).cast("int")
@@ -157,17 +194,16 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def grouped(docs: DataFrame, id: str, text: str, shingle: int, max_bits: int) -> DataFrame:
     """Rows (id, fp, root, component_id): root is the smallest fingerprint reachable, component_id the smallest id."""
-    spark = docs.sparkSession
-    path = staging_path(spark, "fingerprints")
-    with_fingerprint(docs.select(docs[id].alias("id"), docs[text].alias("text")), "text", "fp", shingle).select("id", "fp").write.parquet(path)
-    rows = spark.read.parquet(path)
-    path = staging_path(spark, "distinct-fingerprints")
-    rows.groupBy("fp").agg(F.min("id").alias("first")).write.parquet(path)
-    prints = spark.read.parquet(path)
+    rows = staged(
+        with_fingerprint(docs.select(docs[id].alias("id"), docs[text].alias("text")), "text", "fp", shingle).select("id", "fp"), "fingerprints")
+    prints = staged(rows.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("rows")), "distinct-fingerprints")
     members = connected_components(near_links(prints.select("fp"), max_bits))
-    linked = prints.join(members, prints.fp == members.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    groups = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(linked.join(groups, "root").select("fp", "root", "component_id"), "fp")
+    placed = staged(prints.join(members, prints.fp == members.node, "left").select("fp", "first", "rows", "root"), "linked-fingerprints")
+    linked = placed.where("root is not null")
+    groups = staged(linked.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("prints")), "components")
+    alone = placed.where("root is null").select("fp", "rows", F.col("fp").alias("root"), F.col("first").alias("component_id"))
+    found = join_by_size(linked, groups, "root", "prints").select("fp", "rows", "root", "component_id").union(alone)
+    return join_by_size(rows, staged(found, "classes"), "fp", "rows").select("id", "fp", "root", "component_id")
 
 
 def near_duplicates(
