@@ -53,6 +53,8 @@ def top(spark, rows, k=5):
 def test_scores_equal_all_products(spark, monkeypatch, spread):
     monkeypatch.setattr(topk, "CHUNK_ROWS", 64)
     monkeypatch.setattr(topk, "QUERY_ROWS", 4)
+    monkeypatch.setattr(topk, "GROUP_CHUNKS", 2)
+    monkeypatch.setattr(topk, "GROUP_BLOCKS", 2)
     monkeypatch.setattr(topk, "SEED_ROWS", 30)
     rng = np.random.default_rng(spread)
     rows = [(i, (rng.integers(-spread, spread + 1, 12) * rng.integers(1, 9)).tolist()) for i in range(700)]
