@@ -182,7 +182,7 @@ def write_token_files(
     """Encode whole texts and write their ids in ascending order of ``id``; returns the manifest.
 
     Texts are cut into pre-tokens here, and the tokenizers library's merges give each different one its ids.
-    The texts are spread by ranges of ``id`` (nulls first; equal ids in any order), each task encodes its range and writes files
+    The texts are spread by ranges of ``id`` and, of equal ids, of their place in the input (nulls first), each task encodes its range and writes files
     of about FILE_IDS ids that it names itself. The manifest, a Parquet table that Spark commits in ``folder/manifest``, lists
     those of successful attempts only: a lost executor's files are left out. Null and empty texts have no ids but ``end_id``.
     Columns other than these two are not read. An empty table gives an empty manifest.
@@ -228,8 +228,9 @@ def write_token_files(
         if held:
             yield flush()
 
-    ordered = docs.select(docs[id].cast("long").alias("id"), docs[text].alias("text")).repartitionByRange("id").sortWithinPartitions("id")
-    ordered.mapInArrow(write, "part long, number long, name string, n_docs long, n_ids long").write.mode("overwrite").parquet(f"{folder}/manifest")
+    placed = docs.select(docs[id].cast("long").alias("id"), docs[text].alias("text"), F.monotonically_increasing_id().alias("place"))
+    ordered = placed.repartitionByRange("id", "place").sortWithinPartitions("id", "place")
+    ordered.select("id", "text").mapInArrow(write, "part long, number long, name string, n_docs long, n_ids long").write.mode("overwrite").parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
 
@@ -237,8 +238,11 @@ def read_token_files(spark: SparkSession, folder: str, id: str = "doc_id") -> Da
     """One row a document: its id, ``start`` (ids of all documents before it), ``n_tokens`` and ``ids`` (uint32, little-endian)."""
     folder = qualified(spark, folder)
     manifest = spark.read.parquet(f"{folder}/manifest")
-    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    files = manifest.select("name", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"))
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    within = F.coalesce(F.sum("n_ids").over(earlier.partitionBy("part").orderBy("number")), F.lit(0))
+    parts = manifest.groupBy("part").agg(F.sum("n_ids").alias("ids"))  # one row for each task that wrote
+    parts = parts.select("part", F.coalesce(F.sum("ids").over(earlier.orderBy("part")), F.lit(0)).alias("parts_before"))
+    files = manifest.join(parts, "part").select("name", (F.col("parts_before") + within).alias("first"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = _at(folder)
