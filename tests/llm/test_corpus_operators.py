@@ -300,7 +300,10 @@ def test_blocks_of_models_give_what_whole_models_give(spark):
     whole, cut = list(language.train(docs)), list(language.train(docs, block_grams=2000))
     assert len(whole) == 1 and len(cut) > 4
     assert [b.high for b in cut[:-1]] == [b.low for b in cut[1:]] and (cut[0].low, cut[-1].high) == (0, language.SYMBOLS)
-    grams = language.gram_counts(docs).toArrow().to_pandas()
+    counted = language.gram_counts(docs)
+    dealt = language.interpolated(counted)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in dealt and "SortMergeJoin" not in dealt  # never dealt out by language alone
+    grams = counted.toArrow().to_pandas()
     for name, part in grams.groupby("lang"):
         plain = kneser_ney(part["gram"].to_numpy().view(np.uint64), part["n"].to_numpy())
         for block in cut:

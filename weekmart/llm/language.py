@@ -164,7 +164,8 @@ def interpolated(counts: DataFrame) -> DataFrame:
     kept_back = F.when((once > 0) & (twice > 0), once / (once + 2 * twice)).otherwise(0.5)
     context = Window.partitionBy("lang", F.shiftrightunsigned("gram", 16))
     total, kinds = F.sum("n").over(context), F.count("*").over(context)
-    return counts.join(counts.groupBy("lang").agg(kept_back.alias("less")), "lang").select(
+    discounts = counts.groupBy("lang").agg(kept_back.alias("less"))  # one row a language, of which the driver holds the letters
+    return counts.join(F.broadcast(discounts), "lang").select(
         "lang", "gram", "n", (F.greatest(F.col("n") - F.col("less"), F.lit(0.0)) / total).alias("share"),
         (F.least("less", F.lit(1.0)) * kinds / total).alias("weight"))
 
