@@ -44,7 +44,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, the ids of the whole text, and whether they decode to that text; a null text has no ids."""
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), definition()), definition())
+    coded = bpe.encode_and_decode(docs.select("doc_id", "text"), definition())
     return coded.select(
         "doc_id", F.size("ids").alias("n_tokens"), "ids", (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("decodes"))
 

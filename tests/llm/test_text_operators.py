@@ -5,6 +5,7 @@ import textwrap
 import time
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -147,6 +148,21 @@ def test_encode_and_decode_odd_documents(spark, library, definition):
     assert bpe.encode(docs.limit(0), definition).count() == 0
 
 
+def test_encode_and_decode_share_a_worker(spark, definition):
+    docs = odd_docs(spark)
+    one, two = bpe.encode_and_decode(docs, definition), bpe.decode(bpe.encode(docs, definition), definition)
+    assert sorted(one.columns) == sorted(two.columns)
+    order = ["text", "ids", "decoded"]
+    assert sorted(map(str, one.select(*order).collect())) == sorted(map(str, two.select(*order).collect()))
+
+
+def test_pipeline_encodes_in_one_worker_a_task(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string")
+    coded = corpus_pipeline.encoding_stage(spark, docs, "")
+    assert coded._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [(r["doc_id"], r["n_tokens"] > 0, r["decodes"]) for r in coded.orderBy("doc_id").collect()] == [(1, True, True), (2, False, True)]
+
+
 def test_op9_on_the_smallest_tables(spark, library):
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = queries.op9_bpe(spark, SF).collect()

@@ -322,7 +322,8 @@ class PreTokenCoder:
     """
 
     def __init__(self, vocabulary: Vocabulary, encode_words: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        self.kinds, self.special, self.encode_words = vocabulary.kinds, vocabulary.special, encode_words
+        self.vocabulary, self.encode_words = vocabulary, encode_words
+        self.kinds, self.special = vocabulary.kinds, vocabulary.special
         self.marks = re.compile("(" + "|".join(re.escape(s) for s in self.special) + ")") if self.special else None
         self.memory = WordMemory()
 
@@ -411,41 +412,55 @@ def merging_coder(vocabulary: Vocabulary) -> PreTokenCoder:
     return PreTokenCoder(vocabulary, lambda words: vocabulary.merge_words([w.encode() for w in words]))
 
 
-def _opened_encoder(definition):
-    def opened():
-        coder = kept_coder(definition.value, "merges", merging_coder)
+def _encoding(coder: PreTokenCoder) -> Callable[[pa.Array], pa.Array]:
+    """The ids of a batch of texts."""
+    def apply(column: pa.Array) -> pa.Array:
+        data, offsets = utf8(column)
+        ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for a, b in pieces(offsets):
+            got, each = coder.encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
+            ids.append(got)
+            counts.append(each)
+        ends = np.append(0, np.cumsum(np.concatenate(counts))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+    return apply
+
+
+def _decoding(vocabulary: Vocabulary) -> Callable[[pa.ListArray], pa.Array]:
+    """The texts of a batch of ids."""
+    def apply(column: pa.ListArray) -> pa.Array:
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        counts = np.diff(column.offsets.to_numpy()).astype(np.int64)
+        counts[np.asarray(column.is_null())] = 0
+        ids = column.flatten().to_numpy(zero_copy_only=False)
+        bounds = np.append(0, np.cumsum(counts))
+        texts = []
+        for a, b in pieces(bounds, 1 << 18):
+            part = ids[bounds[a]: bounds[b]]
+            lengths = vocabulary.token_lengths[part]
+            joined = vocabulary.token_bytes[spread(vocabulary.token_starts[part], lengths)].tobytes()
+            ends = np.append(0, np.cumsum(lengths))[bounds[a: b + 1] - bounds[a]].tolist()
+            texts += [joined[i:j].decode("utf-8", "replace") for i, j in zip(ends[:-1], ends[1:])]
+        return pa.array(texts, pa.string())
+    return apply
 
-        def apply(column: pa.Array) -> pa.Array:
-            data, offsets = utf8(column)
-            ids, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-            for a, b in pieces(offsets):
-                got, each = coder.encode(data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a])
-                ids.append(got)
-                counts.append(each)
-            ends = np.append(0, np.cumsum(np.concatenate(counts))).astype(np.int32)
-            return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
-        return apply
-    return opened
+
+def _opened_encoder(definition):
+    return lambda: _encoding(kept_coder(definition.value, "merges", merging_coder))
 
 
 def _opened_decoder(definition):
+    return lambda: _decoding(Vocabulary(definition.value))
+
+
+def _opened_both(definition):
     def opened():
-        vocabulary = Vocabulary(definition.value)
-
-        def apply(column: pa.ListArray) -> pa.Array:
-            column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-            counts = np.diff(column.offsets.to_numpy()).astype(np.int64)
-            counts[np.asarray(column.is_null())] = 0
-            ids = column.flatten().to_numpy(zero_copy_only=False)
-            bounds = np.append(0, np.cumsum(counts))
-            texts = []
-            for a, b in pieces(bounds, 1 << 18):
-                part = ids[bounds[a]: bounds[b]]
-                lengths = vocabulary.token_lengths[part]
-                joined = vocabulary.token_bytes[spread(vocabulary.token_starts[part], lengths)].tobytes()
-                ends = np.append(0, np.cumsum(lengths))[bounds[a: b + 1] - bounds[a]].tolist()
-                texts += [joined[i:j].decode("utf-8", "replace") for i, j in zip(ends[:-1], ends[1:])]
-            return pa.array(texts, pa.string())
+        coder = kept_coder(definition.value, "merges", merging_coder)
+        encoding, decoding = _encoding(coder), _decoding(coder.vocabulary)
+
+        def apply(column: pa.Array) -> pa.Array:
+            ids = encoding(column)
+            return pa.StructArray.from_arrays([ids, decoding(ids)], ["ids", "decoded"])
         return apply
     return opened
 
@@ -467,3 +482,12 @@ def decode(docs: DataFrame, definition: Definition, ids: str = "ids", text: str
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(definition)
     return docs.withColumn(text, column_udf("string", _opened_decoder(shared))(docs[ids]))
+
+
+def encode_and_decode(docs: DataFrame, definition: Definition, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``decode(encode(docs))`` in one Python worker a task instead of two, with one vocabulary: for executors short of memory."""
+    prepare(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(definition)
+    both = "_".join(["both", *docs.columns])  # longer than any column, so no column of the documents
+    coded = docs.withColumn(both, column_udf("struct<ids: array<int>, decoded: string>", _opened_both(shared))(docs[text]))
+    return coded.withColumns({ids: coded[both]["ids"], decoded: coded[both]["decoded"]}).drop(both)
