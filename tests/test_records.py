@@ -111,3 +111,46 @@ def test_lines_meet_their_file_by_block(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert f"SortMergeJoin [{records.FILE}" in plan and "_block" in plan.split("SortMergeJoin")[1][:80]
+
+
+@pytest.fixture()
+def kept(monkeypatch):
+    """Plan and number of rows of what the scan stages, by label."""
+    seen, write_out = {}, records.staged
+
+    def counted(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        out = write_out(df, label)
+        seen[label] = (plan, out.count())
+        return out
+
+    monkeypatch.setattr(records, "staged", counted)
+    return seen
+
+
+def test_lines_of_quoted_fields_are_joined_as_they_are_read(spark, tmp_path, kept):
+    write(tmp_path, "a.csv", [["a", "b"], *[[f"{k}\n\n\nend", "x"] for k in range(300)]])
+    out = r.read_by_header(spark, str(tmp_path))
+    assert out.count() == 300
+    assert kept["torn-records"][1] == 301  # the header among them, no line by itself
+    assert max(rows for _, rows in kept.values()) == 301
+    assert "Exchange" not in kept["torn-records"][0].replace("BroadcastExchange", "") and "Sort" not in kept["torn-records"][0]
+
+
+def test_records_over_batches_and_many_files_a_task(spark, tmp_path):
+    expected = []
+    for n in range(6):
+        rows = [["a", "b"], *[[f"{n}.{k}", "\n" * (k % 4) + "x"] for k in range(50)]]
+        expected += plain(write(tmp_path, f"{n}.csv", rows, end="\n"))[1]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = [tuple(x) for x in r.read_by_header(spark, str(tmp_path)).drop(r.FILE).collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert same(got, expected)
+
+
+def test_blocks_are_aggregated_by_hash(spark, tmp_path, kept):
+    write(tmp_path, "a.csv", [["a", "b"], ["1", "x"]])
+    assert r.read_by_header(spark, str(tmp_path)).count() == 1
+    assert "HashAggregate" in kept["blocks"][0] and "SortAggregate" not in kept["blocks"][0]

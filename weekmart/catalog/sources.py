@@ -14,7 +14,7 @@ from weekmart.functions import dates as d
 from weekmart.operators import mapping as m
 from weekmart.operators.calendar import WEEK
 from weekmart.plans import conform as p
-from weekmart.session import staging_path
+from weekmart.session import staged, staging_path
 from weekmart.sources import readers as r
 from weekmart.sources import schemas as sc
 from weekmart.sources import sinks
@@ -221,7 +221,7 @@ UNION ALL SELECT state, category || chr(10) || 'sagt "' || segment_l2 || '", fü
   sum(lbs), count(*) FROM sellout WHERE distributor = 'R' GROUP BY ALL"""))
 def quoted_line_breaks(spark, sf):
     """Remarks of several lines with quotes, a column name of two lines, files in UTF-8 and in Latin-1, in other column orders."""
-    rows = sellout(spark, sf)
+    rows = staged(sellout(spark, sf).select("distributor", "state", "category", "segment_l2", "lbs"), "s9q-rows")
     remark = F.concat(
         "category", F.lit('\nsagt "'), "segment_l2", F.lit('", für '), "distributor", F.lit("\n\n"),
         F.when(F.col("distributor") == "R", "« Ende").otherwise("– Ende"))
