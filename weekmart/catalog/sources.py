@@ -243,7 +243,7 @@ def read_matching_files(spark, sf):
     """Files of three distributors; one layout lacks the region, another has its columns in another order."""
     rows = sellout(spark, sf).select(
         F.col("state").alias("Region"), F.when(F.col("category") == "PROMO", "Perpared Foods").otherwise(F.col("category")).alias(
-            "Consolidated Category"), F.col("distributor").alias("Distributor"), F.col("lbs").alias("LBS"))
+            "Consolidated Category"), F.col("distributor").alias("Distributor"), F.col("lbs").alias("LBS")), "s9-rows")
     root = staging_path(spark, "s9")
     for flag, columns in (("A", rows.columns), ("N", rows.columns[1:]), ("R", rows.columns[::-1])):
         part = rows.filter(F.col("Distributor") == flag).select(*columns)
