@@ -131,7 +131,7 @@ def whole_run(spark, sf, plan, raw, maps, weeks, is_new, category, columns, grai
         part("history", history, grain, week, F.col("rows")),
         part("region", out["region"], grain, week, other=F.col("sma_8"), source=F.col("distributor")),
         part("sellin_and_sellout", out["sellin_and_sellout"], ["consolidated_category"], week, other=F.col("sellin_lbs"), source=F.col("distributor")),
-        part("totals", out["totals"], ["stage"], rows=F.col("rows")),
+        part("totals", out["totals"].unionByName(out["analyzed_totals"]), ["stage"], rows=F.col("rows")),
         part("invalid_weeks", out["invalid_weeks"], [F.lit("")], week, F.col("rows")),
         part("incomplete_segments", out["incomplete_segments"], [F.concat_ws("|", "grain", "segment")], rows=F.col("rows")),
         part("unmapped_segments", out["unmapped_segments"], segment_keys, source=dated),

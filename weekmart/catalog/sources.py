@@ -117,10 +117,12 @@ CROSS JOIN (SELECT DISTINCT calendar_week_year AS w FROM sellout) LEFT JOIN (
   SELECT state, category, calendar_week_year AS w, nullif(sum(lbs), 26) AS lbs FROM sellout GROUP BY ALL) x USING (state, category, w)"""))
 def wide_to_long(spark, sf):
     """A sheet with one column per week, a blank column, and dashes for missing values."""
-    weeks = sorted(row[0] for row in sellout(spark, sf).select(WEEK).distinct().collect())
+    # summed by week first, so that the cells of a row are not looked through for every order line
+    sums = staged(sellout(spark, sf).groupBy("state", "category", WEEK).agg(F.sum("lbs").alias("lbs")), "s4")
+    weeks = sorted(row[0] for row in sums.select(WEEK).distinct().collect())
     cells = [F.coalesce(F.nullif(F.sum(F.when(F.col(WEEK) == w, F.col("lbs"))), F.lit(26.0)).cast("string"), F.lit("-")).alias(str(w))
              for w in weeks]
-    wide = sellout(spark, sf).groupBy("state", "category").agg(F.lit(None).cast("string").alias(" "), *cells)
+    wide = sums.groupBy("state", "category").agg(F.lit(None).cast("string").alias(" "), *cells)
     return r.wide_to_long(wide, ["state", "category"])
 
 
@@ -171,8 +173,14 @@ def read_selected_columns(spark, sf):
     return out.select("market", "calendar_week", "lbs").groupBy("market", "calendar_week").agg(F.sum("lbs").alias("lbs"))
 
 
+LINES_A_FILE = 4_000_000
+
+
 def shared_files(spark, sf):
-    """One folder of files per year; the last header names the year's first Sunday."""
+    """One folder of files per year; the last header names the year's first Sunday.
+
+    A file has at most about LINES_A_FILE lines, however many tasks made the rows.
+    """
     raw = raw_lines(spark, sf)
     row = {
         "Area": F.lit("A"), "Market": F.when(F.col("c_nationkey") != 9, F.col("n_name")),
@@ -184,9 +192,9 @@ def shared_files(spark, sf):
     raw.select(*[v.alias(k) for k, v in row.items()], F.format_number("l_quantity", 1).alias("LBS"),
                F.year("order_date").alias("year")).write.partitionBy("year").parquet(stored)
     rows, paths = spark.read.parquet(stored), []
-    for year in sorted(row[0] for row in rows.select("year").distinct().collect()):
+    for year, count in sorted(tuple(row) for row in rows.groupBy("year").count().collect()):
         part = rows.filter(F.col("year") == year).drop("year").withColumnRenamed("LBS", f"{year}-01-07 1")
-        paths.append(csv_folder(part, f"s8-{year}"))
+        paths.append(csv_folder(part.coalesce(-(-count // LINES_A_FILE)), f"s8-{year}"))
     return paths
 
 
@@ -241,7 +249,7 @@ SELECT distributor, CASE category WHEN 'PROMO' THEN 'Prepared Foods' ELSE catego
   CASE WHEN distributor <> 'N' THEN state END AS region, sum(lbs) AS lbs FROM sellout GROUP BY ALL"""))
 def read_matching_files(spark, sf):
     """Files of three distributors; one layout lacks the region, another has its columns in another order."""
-    rows = sellout(spark, sf).select(
+    rows = staged(sellout(spark, sf).select(
         F.col("state").alias("Region"), F.when(F.col("category") == "PROMO", "Perpared Foods").otherwise(F.col("category")).alias(
             "Consolidated Category"), F.col("distributor").alias("Distributor"), F.col("lbs").alias("LBS")), "s9-rows")
     root = staging_path(spark, "s9")

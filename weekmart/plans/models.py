@@ -44,8 +44,8 @@ def run_model(
 ) -> dict[str, DataFrame]:
     """History, one report per grain, the comparison with sell-in, totals from delivery to analysis, and what was left out.
 
-    ``totals`` has rows and volume before and after conforming, of the history, and of the history's parts by grain: analyzed,
-    without a week, with an incomplete segment; the parts add up to the history. ``invalid_weeks`` and ``incomplete_segments``
+    ``totals`` has rows and volume before and after conforming, ``analyzed_totals`` those of the history and of its parts by grain:
+    analyzed, without a week, with an incomplete segment; the parts add up to the history. ``invalid_weeks`` and ``incomplete_segments``
     list those rows by key, ``unmapped_segments`` and ``unmapped_products`` the raw keys without a label.
     Conformed rows and merged history feed several results each, so they are staged as Parquet, of which each reads its
     columns. The delivery's totals are observed while it is staged. ``as_of`` dates the unmapped reports.
@@ -61,9 +61,8 @@ def run_model(
     if sellin is not None:
         out["sellin_and_sellout"] = compare(
             sellin, history, calendar, model.spec.label, model.spec.begin, model.spec.end)
-    out["totals"] = (
-        observed_totals(raw, delivered, "before", value).unionByName(totals(fact, "after"))
-        .unionByName(analyzed_totals(history, model.grains, model.spec.densify)))
+    out["totals"] = observed_totals(raw, delivered, "before", value).unionByName(totals(fact, "after"))
+    out["analyzed_totals"] = analyzed_totals(history, model.grains, model.spec.densify)
     out["invalid_weeks"] = invalid_weeks(history)
     if model.spec.densify:
         out["incomplete_segments"] = incomplete_by_grain(history, model.grains)

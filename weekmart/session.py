@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+TASK_BYTES_SETTING = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+PARTITIONS_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+TASK_BYTES, TASK_ROWS = "8m", 100_000
 
 
 def local_session(cores: str = "8", app: str = "weekmart", memory: str = "8g") -> SparkSession:
@@ -63,3 +66,17 @@ def staged(keys: DataFrame, label: str = "keys") -> DataFrame:
     path = staging_path(keys.sparkSession, label)
     keys.write.parquet(path)
     return keys.sparkSession.read.schema(keys.schema).parquet(path)
+
+
+def bound_tasks(spark: SparkSession, rows: int) -> None:
+    """Let a larger fact make more tasks instead of larger ones.
+
+    Adaptive execution merges the partitions of a shuffle down to one a core, up to 64 MB compressed, and what a task sorts and
+    hashes is many times that. The bytes are lowered unless the user has set them; a shuffle begins with a partition for
+    every TASK_ROWS of the fact's rows where that is more than Spark's own number, and is raised only.
+    """
+    if spark.conf.get(TASK_BYTES_SETTING, None) is None:
+        spark.conf.set(TASK_BYTES_SETTING, TASK_BYTES)
+    known = max(int(spark.conf.get(PARTITIONS_SETTING, None) or 0), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if rows // TASK_ROWS > known:
+        spark.conf.set(PARTITIONS_SETTING, str(rows // TASK_ROWS))
