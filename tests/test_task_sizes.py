@@ -1,5 +1,8 @@
+import datetime
+
 from weekmart import session
 from weekmart.catalog import base
+from weekmart.plans.marts import inventory
 
 
 def test_larger_facts_make_more_tasks(spark, tmp_path, monkeypatch):
@@ -21,3 +24,17 @@ def test_settings_of_the_user_stay(spark):
     small = spark.newSession()
     session.bound_tasks(small, 100)
     assert small.conf.get(session.PARTITIONS_SETTING, None) is None
+
+
+def test_inventory_is_dealt_out_by_rows(spark, rows):
+    own = spark.newSession()
+    own.conf.set(session.PARTITIONS_SETTING, "23")
+    day = datetime.date(2020, 4, 1)
+    snapshots = own.createDataFrame([("1", day, 2.0), ("2", day, 3.0)], "manufacturer_gtin string, date date, on_hand double")
+    skus = own.createDataFrame([("1", "M1", 1), ("2", "M2", 1)], "manufacturer_gtin string, maker_sku_id string, row_order int")
+    products = own.createDataFrame([("M1", "Sweet Potato")], "maker_sku_id string, category string")
+    sales = own.createDataFrame([("M1", "A"), ("M1", "B"), ("M1", "B"), ("M2", None)], "maker_sku_id string, brand_type string")
+    out = inventory(snapshots, skus, products, sales, ["brand_type"])
+    assert out.rdd.getNumPartitions() == 23  # not merged by bytes
+    assert rows(out, "maker_sku_id", "category", "brand_type", "on_hand") == [
+        ("M1", "Sweet Potato", "A", 2.0), ("M1", "Sweet Potato", "B", 2.0), ("M2", None, None, 3.0)]

@@ -12,7 +12,7 @@ from weekmart.functions import dates as d
 from weekmart.operators import mapping as m
 from weekmart.operators.history import first_file_wins, stack
 from weekmart.plans.sellin import Link, star_extract
-from weekmart.session import staged
+from weekmart.session import dealt, staged
 
 COMPILED = (
     "city", "region", "segment_l1", "segment_l2", "service_type", "consolidated_category", "distributor", "lbs",
@@ -68,7 +68,8 @@ def inventory(
     """
     df = snapshots.withColumn("week_ending_sun", d.sunday_on_or_after(F.col("date")))
     df = df.join(m.last_mapping(skus, "manufacturer_gtin", "maker_sku_id", "row_order"), "manufacturer_gtin", "left")
-    df = df.join(products, "maker_sku_id", "left")
+    # dealt out before the joins by SKU, the last of which multiplies rows
+    df = dealt(df, "maker_sku_id").join(products, "maker_sku_id", "left")
     df = df.withColumn("consolidated_category", c.category_contains(F.col("category"), c.POTATO, keep_null=True))
     sold = sales.select("maker_sku_id", *attributes).dropna("any").distinct()
     return df.join(sold, "maker_sku_id", "left")

@@ -80,3 +80,13 @@ def bound_tasks(spark: SparkSession, rows: int) -> None:
     known = max(int(spark.conf.get(PARTITIONS_SETTING, None) or 0), int(spark.conf.get("spark.sql.shuffle.partitions")))
     if rows // TASK_ROWS > known:
         spark.conf.set(PARTITIONS_SETTING, str(rows // TASK_ROWS))
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by their keys over as many tasks as a shuffle begins with, not merged by their compressed bytes.
+
+    For rows that the next step multiplies: the bytes do not tell what a task will hold.
+    """
+    conf = df.sparkSession.conf
+    tasks = max(int(conf.get(PARTITIONS_SETTING, None) or 0), int(conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *keys)
