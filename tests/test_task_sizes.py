@@ -1,8 +1,11 @@
 import datetime
 
+from pyspark.sql import functions as F
+
 from weekmart import session
 from weekmart.catalog import base
 from weekmart.plans.marts import inventory
+from weekmart.plans.sellin import Link, star_extract
 
 
 def test_larger_facts_make_more_tasks(spark, tmp_path, monkeypatch):
@@ -26,6 +29,31 @@ def test_settings_of_the_user_stay(spark):
     assert small.conf.get(session.PARTITIONS_SETTING, None) is None
 
 
+def test_dimensions_are_not_broadcast_by_the_size_of_their_files(spark, tmp_path):
+    """A file of 1 MB is under Spark's threshold, its rows times six are not."""
+    spark.range(40).selectExpr("id AS l_orderkey").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(40).selectExpr("id AS o_orderkey", "current_timestamp() AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(300_000).selectExpr("id AS customer_id", "repeat('x', 20) AS name").write.parquet(f"{tmp_path}/customer.parquet")
+    own = spark.newSession()
+    base.order_lines(own, str(tmp_path))
+    side = own.read.parquet(f"{tmp_path}/customer.parquet").withColumn("channel", F.explode(F.array(*map(F.lit, "ABCDEF"))))
+    facts = own.createDataFrame([(1, "A", 2.0), (2, "B", 3.0), (9, "Z", 5.0)], "customer_id long, channel string, lbs double")
+    out = star_extract(facts, [Link(side, {"customer_id": "customer_id", "channel": "channel"})], [], {"name": F.col("name")}, {"lbs": F.col("lbs")})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert [tuple(r) for r in out.collect()] == [("x" * 20, 5.0)]
+
+
+def test_broadcasts_measured_and_settings_of_the_user(spark):
+    own = spark.newSession()
+    session.bound_tasks(own, 10)
+    assert own.conf.get(session.FILE_BROADCAST_SETTING) == "256k" and own.conf.get(session.MEASURED_BROADCAST_SETTING) == "10m"
+    other = spark.newSession()
+    other.conf.set(session.FILE_BROADCAST_SETTING, "-1")
+    session.bound_tasks(other, 10)
+    assert other.conf.get(session.FILE_BROADCAST_SETTING) == "-1" and other.conf.get(session.MEASURED_BROADCAST_SETTING, None) is None
+
+
 def test_inventory_is_dealt_out_by_rows(spark, rows):
     own = spark.newSession()
     own.conf.set(session.PARTITIONS_SETTING, "23")

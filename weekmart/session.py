@@ -11,6 +11,9 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 TASK_BYTES_SETTING = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 PARTITIONS_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 TASK_BYTES, TASK_ROWS = "8m", 100_000
+FILE_BROADCAST_SETTING = "spark.sql.autoBroadcastJoinThreshold"
+MEASURED_BROADCAST_SETTING = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+FILE_BROADCAST, MEASURED_BROADCAST = "256k", "10m"
 
 
 def local_session(cores: str = "8", app: str = "weekmart", memory: str = "8g") -> SparkSession:
@@ -74,9 +77,17 @@ def bound_tasks(spark: SparkSession, rows: int) -> None:
     Adaptive execution merges the partitions of a shuffle down to one a core, up to 64 MB compressed, and what a task sorts and
     hashes is many times that. The bytes are lowered unless the user has set them; a shuffle begins with a partition for
     every TASK_ROWS of the fact's rows where that is more than Spark's own number, and is raised only.
+
+    Before a query runs Spark knows a dimension by the size of its files alone. As a hashed relation that every task holds it is
+    some forty times that, and again as many times as its rows are exploded. So only very small files are broadcast unseen;
+    any other table is shuffled, and adaptive execution broadcasts it if its rows, as measured, are few.
     """
     if spark.conf.get(TASK_BYTES_SETTING, None) is None:
         spark.conf.set(TASK_BYTES_SETTING, TASK_BYTES)
+    if spark.conf.get(FILE_BROADCAST_SETTING, None) is None:
+        spark.conf.set(FILE_BROADCAST_SETTING, FILE_BROADCAST)
+        if spark.conf.get(MEASURED_BROADCAST_SETTING, None) is None:
+            spark.conf.set(MEASURED_BROADCAST_SETTING, MEASURED_BROADCAST)
     known = max(int(spark.conf.get(PARTITIONS_SETTING, None) or 0), int(spark.conf.get("spark.sql.shuffle.partitions")))
     if rows // TASK_ROWS > known:
         spark.conf.set(PARTITIONS_SETTING, str(rows // TASK_ROWS))
