@@ -48,6 +48,7 @@ def test_broadcasts_measured_and_settings_of_the_user(spark):
     own = spark.newSession()
     session.bound_tasks(own, 10)
     assert own.conf.get(session.FILE_BROADCAST_SETTING) == "256k" and own.conf.get(session.MEASURED_BROADCAST_SETTING) == "10m"
+    assert own.conf.get(session.SPLIT_BYTES_SETTING) == "32m" and own.conf.get(session.OPEN_COST_SETTING) == "1m"
     other = spark.newSession()
     other.conf.set(session.FILE_BROADCAST_SETTING, "-1")
     session.bound_tasks(other, 10)

@@ -13,7 +13,9 @@ PARTITIONS_SETTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 TASK_BYTES, TASK_ROWS = "8m", 100_000
 FILE_BROADCAST_SETTING = "spark.sql.autoBroadcastJoinThreshold"
 MEASURED_BROADCAST_SETTING = "spark.sql.adaptive.autoBroadcastJoinThreshold"
-FILE_BROADCAST, MEASURED_BROADCAST = "256k", "10m"
+SPLIT_BYTES_SETTING = "spark.sql.files.maxPartitionBytes"
+OPEN_COST_SETTING = "spark.sql.files.openCostInBytes"
+FILE_BROADCAST, MEASURED_BROADCAST, SPLIT_BYTES, OPEN_COST = "256k", "10m", "32m", "1m"
 
 
 def local_session(cores: str = "8", app: str = "weekmart", memory: str = "8g") -> SparkSession:
@@ -80,10 +82,12 @@ def bound_tasks(spark: SparkSession, rows: int) -> None:
 
     Before a query runs Spark knows a dimension by the size of its files alone. As a hashed relation that every task holds it is
     some forty times that, and again as many times as its rows are exploded. So only very small files are broadcast unseen;
-    any other table is shuffled, and adaptive execution broadcasts it if its rows, as measured, are few.
+    any other table is shuffled, and adaptive execution broadcasts it if its rows, as measured, are few. Splits of files are
+    smaller too: a task that sums or deals out what it reads holds rows of its whole split.
     """
-    if spark.conf.get(TASK_BYTES_SETTING, None) is None:
-        spark.conf.set(TASK_BYTES_SETTING, TASK_BYTES)
+    for setting, value in ((TASK_BYTES_SETTING, TASK_BYTES), (SPLIT_BYTES_SETTING, SPLIT_BYTES), (OPEN_COST_SETTING, OPEN_COST)):
+        if spark.conf.get(setting, None) is None:
+            spark.conf.set(setting, value)
     if spark.conf.get(FILE_BROADCAST_SETTING, None) is None:
         spark.conf.set(FILE_BROADCAST_SETTING, FILE_BROADCAST)
         if spark.conf.get(MEASURED_BROADCAST_SETTING, None) is None:
