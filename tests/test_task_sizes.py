@@ -3,7 +3,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from weekmart import session
-from weekmart.catalog import base
+from weekmart.catalog import base, sources
 from weekmart.plans.marts import inventory
 from weekmart.plans.sellin import Link, star_extract
 
@@ -67,3 +67,14 @@ def test_inventory_is_dealt_out_by_rows(spark, rows):
     assert out.rdd.getNumPartitions() == 23  # not merged by bytes
     assert rows(out, "maker_sku_id", "category", "brand_type", "on_hand") == [
         ("M1", "Sweet Potato", "A", 2.0), ("M1", "Sweet Potato", "B", 2.0), ("M2", None, None, 3.0)]
+
+
+def test_wide_sheet_is_pivoted(spark, rows, monkeypatch):
+    """Each sum goes to its cell at once: no condition for every week."""
+    facts = spark.createDataFrame([("a", "x", 200001, 20.0), ("a", "x", 200001, 6.0), ("a", "x", 200002, 1.5), ("b", "y", 200002, None)],
+                                  "state string, category string, calendar_week_year int, lbs double")
+    monkeypatch.setattr(sources, "sellout", lambda *_: facts)
+    out = sources.wide_to_long(spark, "")
+    assert "pivotfirst" in out._jdf.queryExecution().executedPlan().toString().lower()
+    assert rows(out, "state", "category", "calendar_week", "lbs") == [
+        ("a", "x", 200001, None), ("a", "x", 200002, 1.5), ("b", "y", 200001, None), ("b", "y", 200002, None)]

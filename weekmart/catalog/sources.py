@@ -120,9 +120,10 @@ def wide_to_long(spark, sf):
     # summed by week first, so that the cells of a row are not looked through for every order line
     sums = staged(sellout(spark, sf).groupBy("state", "category", WEEK).agg(F.sum("lbs").alias("lbs")), "s4")
     weeks = sorted(row[0] for row in sums.select(WEEK).distinct().collect())
-    cells = [F.coalesce(F.nullif(F.sum(F.when(F.col(WEEK) == w, F.col("lbs"))), F.lit(26.0)).cast("string"), F.lit("-")).alias(str(w))
-             for w in weeks]
-    wide = sums.groupBy("state", "category").agg(F.lit(None).cast("string").alias(" "), *cells)
+    # pivoted, a sum goes to its own cell; a condition for each week would look at every sum once a week
+    cells = [F.coalesce(F.nullif(F.col(f"`{w}`"), F.lit(26.0)).cast("string"), F.lit("-")).alias(str(w)) for w in weeks]
+    wide = sums.groupBy("state", "category").pivot(WEEK, weeks).agg(F.sum("lbs"))
+    wide = wide.select("state", "category", F.lit(None).cast("string").alias(" "), *cells)
     return r.wide_to_long(wide, ["state", "category"])
 
 
