@@ -1,4 +1,5 @@
 import datetime
+import threading
 
 from pyspark.sql import functions as F
 
@@ -78,3 +79,17 @@ def test_wide_sheet_is_pivoted(spark, rows, monkeypatch):
     assert "pivotfirst" in out._jdf.queryExecution().executedPlan().toString().lower()
     assert rows(out, "state", "category", "calendar_week", "lbs") == [
         ("a", "x", 200001, None), ("a", "x", 200002, 1.5), ("b", "y", 200001, None), ("b", "y", 200002, None)]
+
+
+def test_years_are_written_side_by_side(spark, monkeypatch):
+    raw = spark.createDataFrame([(1, "N", "5-LOW", None, 3, "p", 4.0, datetime.date(y, 2, 1)) for y in (1999, 2000)],
+        "c_nationkey int, n_name string, o_orderpriority string, market_segment string, l_partkey long, p_name string, l_quantity double, order_date date")
+    monkeypatch.setattr(sources, "raw_lines", lambda *_: raw)
+    both, write = threading.Barrier(2, timeout=60), sources.csv_folder
+
+    def waiting(*args, **options):
+        both.wait()
+        return write(*args, **options)
+    monkeypatch.setattr(sources, "csv_folder", waiting)
+    paths = sources.shared_files(spark, "")
+    assert [spark.read.option("header", "true").csv(p).columns[-1] for p in paths] == ["1999-01-07 1", "2000-01-07 1"]

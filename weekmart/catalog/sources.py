@@ -4,6 +4,7 @@ below the shared folder, and then read back through the reader under test."""
 from __future__ import annotations
 
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -192,11 +193,15 @@ def shared_files(spark, sf):
     stored = staging_path(spark, "s8")
     raw.select(*[v.alias(k) for k, v in row.items()], F.format_number("l_quantity", 1).alias("LBS"),
                F.year("order_date").alias("year")).write.partitionBy("year").parquet(stored)
-    rows, paths = spark.read.parquet(stored), []
-    for year, count in sorted(tuple(row) for row in rows.groupBy("year").count().collect()):
+    rows = spark.read.parquet(stored)
+
+    def one_year(year, count):
         part = rows.filter(F.col("year") == year).drop("year").withColumnRenamed("LBS", f"{year}-01-07 1")
-        paths.append(csv_folder(part.coalesce(-(-count // LINES_A_FILE)), f"s8-{year}"))
-    return paths
+        return csv_folder(part.coalesce(-(-count // LINES_A_FILE)), f"s8-{year}")
+
+    years = sorted(tuple(row) for row in rows.groupBy("year").count().collect())
+    with ThreadPoolExecutor(8) as pool:  # a year has fewer files than there are cores
+        return list(pool.map(lambda year: one_year(*year), years))
 
 
 SHARED = with_ctes(["lines"], RAW, f"""

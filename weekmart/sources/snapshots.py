@@ -138,7 +138,8 @@ def _load(df: DataFrame, path: str, keys: Sequence[str], whole: bool, gone: Data
     version = Version(0, "", tuple(keys), StructType([df.schema[c] for c in df.columns]))
     written = spark.read.schema(version.schema).parquet(f"{root}/data/{load}")
     folder = F.concat(F.lit(load), F.element_at(F.split("_metadata.file_path", F.lit(load)), -1))
-    rows = written.select(*keys, F.regexp_replace(folder, "/[^/]*$", "").alias("_uri")).distinct().collect()  # one for each partition
+    # the first row of each file tells its folder
+    rows = written.filter("_metadata.row_index = 0").select(*keys, F.regexp_replace(folder, "/[^/]*$", "").alias("_uri")).distinct().collect()  # one for each partition
     listed = [(*r[:-1], unquote(urlsplit(r[-1]).path)) for r in rows]
     mine = spark.createDataFrame(listed, _listing(version))
     touched = mine.select(*keys) if gone is None else mine.select(*keys).unionByName(gone.select(*keys)).distinct()
